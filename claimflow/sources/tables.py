@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions.clock import stamp
 from claimflow.schemas import TABLES
+from claimflow.sources.dictionaries import dictionaries
 
 _COMMIT = "version long, table string, path string"
 
@@ -71,6 +72,10 @@ class StateTables:
         self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(f"{self.root}/commits")
         return True
 
+    def seed(self) -> bool:
+        """Version 0: the dictionaries."""
+        return self.commit(0, dictionaries(self.spark))
+
 
 def append_history(batch: DataFrame, path: str) -> None:
     """Raw history: append-only, one folder per capture date so that reads can prune."""
