@@ -32,15 +32,23 @@ def batch(spark, sf):
     return n.standardise(w.batch_records(spark, sf)).checkpoint()
 
 
+class State(w.Claims):
+    """The stored part of the binding."""
+
+    def __missing__(self, name):
+        # ids of the binding are text, those of the warehouse are not: people start empty
+        if name in ("party", "contact", "raw_latest", "raw_history", "workflow_event"):
+            self[name] = empty(self.spark, name)
+        elif name in ("queue", "vehicle", "event", "step", "document", "sla", "user_history", "process"):
+            table = super().__missing__(name)
+            self[name] = w.known(table, self.spark, self.sf, "id" if name == "process" else "process")
+        else:
+            super().__missing__(name)
+        return self[name]
+
+
 def state(spark, sf):
-    tables = w.claims(spark, sf)
-    for name in ("queue", "vehicle", "event", "step", "document", "sla", "user_history"):
-        tables[name] = w.known(tables[name], spark, sf)
-    tables["process"] = w.known(tables["process"], spark, sf, "id")
-    # ids of the binding are text, those of the warehouse are not: people start empty
-    for name in ("party", "contact", "raw_latest", "raw_history", "workflow_event"):
-        tables[name] = empty(spark, name)
-    return tables
+    return State(spark, sf)
 
 
 def _loaded(spark, sf, table):

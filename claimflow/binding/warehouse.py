@@ -8,40 +8,24 @@ same derivation in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.schemas import RECORD, TABLES
 from claimflow.sources.dictionaries import dictionaries
 from claimflow.sources.tables import load
 
-HOUR = "interval 1 hour"
 URGENT, HIGH, MEDIUM, UNSPECIFIED, LOW = "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"
 
 
-def _case(col: str, values: dict) -> Column:
-    """Value by the content of a column, NULL for anything else."""
-    out = F.lit(None)
-    for key, value in values.items():
-        value = value if isinstance(value, Column) else F.lit(value)
-        out = F.when(F.col(col) == key, value).otherwise(out)
-    return out
-
-
-def _text(*parts) -> Column:
-    return F.concat(*[part.cast("string") if isinstance(part, Column) else F.lit(part) for part in parts])
-
-
-def _later(col: str, interval: str) -> Column:
-    return F.col(col) + F.expr(f"interval {interval}")
-
-
-def _fit(df: DataFrame, table: str, skip: tuple[str, ...] = ()) -> DataFrame:
-    """Table columns in order; ``skip`` keeps a text key where the table has a long."""
-    return df.select(*[
-        F.col(f.name) if f.name in skip
-        else (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in TABLES[table].fields
+def _table(df: DataFrame, name: str, columns: dict[str, str], text_id: bool = False) -> DataFrame:
+    """A table in its schema from one expression per column; absent columns are NULL."""
+    return df.selectExpr(*[
+        f"{columns['id']} AS id" if text_id and f.name == "id"
+        else f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in TABLES[name].fields
     ])
 
 
@@ -52,80 +36,64 @@ def cases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def process(spark: SparkSession, sf: str) -> DataFrame:
-    rows = cases(spark, sf).select(
-        F.col("o_orderkey").alias("id"), _text("C", F.col("o_orderkey")).alias("claim"),
-        F.coalesce(_case("o_orderpriority", {URGENT: 2, HIGH: 1}), F.lit(0)).alias("file_type"),
-        F.when(F.col("o_orderpriority") != LOW, F.col("c_nationkey")).alias("portal_status"),
-        F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("uf"), F.lit("SEGURADORA CLIENTE").alias("company"),
-        F.when(~((F.col("o_orderpriority") == UNSPECIFIED) & (F.col("o_orderstatus") == "O")), F.col("o_orderdate")).alias("opened"),
-        _later("o_orderdate", "-1 day").alias("occurred"), _text("FASE ", F.col("o_orderstatus")).alias("phase"),
-        (F.col("o_totalprice") > 250000).cast("int").alias("alert"), _later("o_orderdate", "2 hours").alias("loaded_at"),
-        F.lit(1).alias("active"), "o_orderstatus",
-    )
-    return rows
+    return _table(cases(spark, sf), "process", {
+        "id": "o_orderkey", "claim": "concat('C', o_orderkey)",
+        "file_type": f"CASE o_orderpriority WHEN '{URGENT}' THEN 2 WHEN '{HIGH}' THEN 1 ELSE 0 END",
+        "portal_status": f"CASE WHEN o_orderpriority <> '{LOW}' THEN c_nationkey END",
+        "uf": "lpad(CAST(c_nationkey AS STRING), 2, '0')", "company": "'SEGURADORA CLIENTE'",
+        "opened": f"CASE WHEN NOT (o_orderpriority = '{UNSPECIFIED}' AND o_orderstatus = 'O') THEN o_orderdate END",
+        "occurred": "o_orderdate - INTERVAL 1 DAY", "phase": "concat('FASE ', o_orderstatus)",
+        "alert": "o_totalprice > 250000", "loaded_at": "o_orderdate + INTERVAL 2 HOURS", "active": "1",
+    })
 
 
 def queue(spark: SparkSession, sf: str) -> DataFrame:
-    failed = F.col("o_orderstatus") == "P"
-    rows = load(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("process"),
-        _case("o_orderstatus", {"O": 1, "P": 3, "F": 2}).alias("status"),
-        F.when(F.col("o_orderstatus") == "O", 0).otherwise(1).alias("attempts"),
-        F.when(failed, _later("o_orderdate", "9 hours")).alias("slot"),
-        F.when(failed, F.lit("HTTP 500")).alias("message"), F.col("o_orderdate").alias("loaded_at"),
-        (F.col("o_orderpriority") != UNSPECIFIED).cast("int").alias("active"),
-    )
-    return _fit(rows, "queue")
+    return _table(load(spark, sf, "orders"), "queue", {
+        "id": "o_orderkey", "process": "o_orderkey", "status": "CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 3 ELSE 2 END",
+        "attempts": "CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END",
+        "slot": "CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 9 HOURS END",
+        "message": "CASE WHEN o_orderstatus = 'P' THEN 'HTTP 500' END", "loaded_at": "o_orderdate",
+        "active": f"o_orderpriority <> '{UNSPECIFIED}'",
+    })
 
 
 def vehicle(spark: SparkSession, sf: str) -> DataFrame:
     first = load(spark, sf, "lineitem", ["l_orderkey", "l_partkey"]).groupBy("l_orderkey").agg(F.min("l_partkey").alias("p_partkey"))
-    rows = first.join(load(spark, sf, "part"), "p_partkey").select(
-        F.col("l_orderkey").alias("id"), F.col("l_orderkey").alias("process"), _text("P", F.col("p_partkey")).alias("plate"),
-        _text("CH", F.col("p_partkey")).alias("chassis"), F.col("p_brand").alias("brand"), F.col("p_name").alias("model"),
-        F.col("p_type").alias("submodel"), (F.col("p_size") + 1990).alias("year"), F.col("p_retailprice").alias("value"),
-        (F.col("p_size") > 25).cast("int").alias("encumbered"),
-    )
-    return _fit(rows, "vehicle")
+    return _table(first.join(load(spark, sf, "part"), "p_partkey"), "vehicle", {
+        "id": "l_orderkey", "process": "l_orderkey", "plate": "concat('P', p_partkey)", "chassis": "concat('CH', p_partkey)",
+        "brand": "p_brand", "model": "p_name", "submodel": "p_type", "year": "p_size + 1990", "value": "p_retailprice",
+        "encumbered": "p_size > 25",
+    })
 
 
 def party(spark: SparkSession, sf: str) -> DataFrame:
     """One insured per order; its returned and accepted lines name brokers and analysts."""
-    insured = cases(spark, sf).select(
-        _text(F.col("o_orderkey"), ":I").alias("id"), F.col("o_orderkey").alias("process"),
-        F.when(F.col("o_orderpriority") == URGENT, 2).otherwise(1).alias("type"),
-        _text("  ", F.replace(F.col("c_name"), F.lit("#"), F.lit("   ")), " ").alias("name"),
-        F.coalesce(
-            _case("c_mktsegment", {
-                "BUILDING": _text(F.col("c_custkey"), ".0"), "MACHINERY": _text("123456789012", F.col("c_custkey"))}),
-            F.when(F.col("c_mktsegment") != "HOUSEHOLD", _text("123.045", F.col("c_custkey"))),
-        ).alias("tax_id"),
-    )
-    lines = load(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_returnflag"]).filter(
-        F.col("l_returnflag").isin("R", "A")).distinct()
-    others = lines.join(load(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left").select(
-        F.when(F.col("l_returnflag") == "R", _text(F.col("l_orderkey"), ":B:", F.col("l_suppkey")))
-        .otherwise(_text(F.col("l_orderkey"), ":A:", F.col("l_suppkey"))).alias("id"),
-        F.col("l_orderkey").alias("process"), F.when(F.col("l_returnflag") == "R", 3).otherwise(4).alias("type"),
-        F.when(F.col("l_returnflag") == "R", F.col("s_name")).otherwise(_text("Analyst ", F.col("l_suppkey"))).alias("name"),
-        F.lit(None).cast("string").alias("tax_id"),
-    )
-    return _fit(insured.unionByName(others), "party", skip=("id",))
+    insured = _table(cases(spark, sf), "party", {
+        "id": "concat(o_orderkey, ':I')", "process": "o_orderkey", "type": f"CASE WHEN o_orderpriority = '{URGENT}' THEN 2 ELSE 1 END",
+        "name": "concat('  ', replace(c_name, '#', '   '), ' ')",
+        "tax_id": """CASE c_mktsegment WHEN 'BUILDING' THEN concat(c_custkey, '.0') WHEN 'MACHINERY' THEN concat('123456789012', c_custkey)
+                     WHEN 'HOUSEHOLD' THEN NULL ELSE concat('123.045', c_custkey) END""",
+    }, text_id=True)
+    lines = load(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_returnflag"]).filter("l_returnflag IN ('R', 'A')").distinct()
+    others = lines.join(load(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return insured.unionByName(_table(others, "party", {
+        "id": "concat(l_orderkey, CASE WHEN l_returnflag = 'R' THEN ':B:' ELSE ':A:' END, l_suppkey)", "process": "l_orderkey",
+        "type": "CASE WHEN l_returnflag = 'R' THEN 3 ELSE 4 END",
+        "name": "CASE WHEN l_returnflag = 'R' THEN s_name ELSE concat('Analyst ', l_suppkey) END",
+    }, text_id=True))
 
 
 def contact(spark: SparkSession, sf: str) -> DataFrame:
     """Each line is a contact of the insured, and of its broker or analyst."""
     lines = load(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_quantity"])
-    phone = F.col("l_linenumber").isin(2, 4, 6)
-    own = _text(F.col("l_orderkey"), ":I")
-    other = _case("l_returnflag", {
-        "R": _text(F.col("l_orderkey"), ":B:", F.col("l_suppkey")), "A": _text(F.col("l_orderkey"), ":A:", F.col("l_suppkey"))})
-    return lines.select(
-        F.explode(F.filter(F.array(own, other), lambda p: p.isNotNull())).alias("party"),
-        F.when(phone, 2).otherwise(3).alias("type"), F.when(phone, F.col("l_linenumber") + 10).alias("area"),
-        F.when(phone, _text("9", F.lpad(F.col("l_partkey").cast("string"), 8, "0")))
-        .when(F.col("l_quantity") > 45, "").otherwise(_text("p", F.col("l_partkey"), "@mail.com")).alias("value"),
-        _case("l_returnflag", {"R": 1, "A": 0}).cast("int").alias("principal"),
+    other = "CASE l_returnflag WHEN 'R' THEN concat(l_orderkey, ':B:', l_suppkey) WHEN 'A' THEN concat(l_orderkey, ':A:', l_suppkey) END"
+    return lines.selectExpr(
+        f"explode(array_compact(array(concat(l_orderkey, ':I'), {other}))) AS party",
+        "CASE WHEN l_linenumber IN (2, 4, 6) THEN 2 ELSE 3 END AS type",
+        "CASE WHEN l_linenumber IN (2, 4, 6) THEN l_linenumber + 10 END AS area",
+        """CASE WHEN l_linenumber IN (2, 4, 6) THEN concat('9', lpad(CAST(l_partkey AS STRING), 8, '0'))
+                WHEN l_quantity > 45 THEN '' ELSE concat('p', l_partkey, '@mail.com') END AS value""",
+        "CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS principal",
     )
 
 
@@ -133,163 +101,176 @@ CONTACT_TIE = ("value", "area")
 
 
 def user_history(spark: SparkSession, sf: str) -> DataFrame:
-    ended = F.max("l_returnflag") == "R"
-    rows = load(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag"]).groupBy(
-        F.col("l_orderkey").alias("process"), F.col("l_suppkey").alias("user_id")).agg(
-        F.min("l_shipdate").alias("entered_at"), F.when(ended, F.max("l_shipdate")).alias("left_at"),
-        F.when(ended, 0).otherwise(1).alias("is_current"))
-    return _fit(rows, "user_history")
+    rows = load(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag"]).groupBy("l_orderkey", "l_suppkey").agg(
+        F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"), (F.max("l_returnflag") == "R").alias("ended"))
+    return _table(rows, "user_history", {
+        "process": "l_orderkey", "user_id": "l_suppkey", "entered_at": "first", "left_at": "CASE WHEN ended THEN last END",
+        "is_current": "NOT ended",
+    })
 
 
 def robot_user(spark: SparkSession, sf: str) -> DataFrame:
-    rows = load(spark, sf, "supplier", ["s_suppkey", "s_name"]).select(
-        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), _text("user", F.col("s_suppkey")).alias("login"),
-        _text("s", F.col("s_suppkey"), "@op.com").alias("email"))
-    return _fit(rows, "robot_user")
+    return _table(load(spark, sf, "supplier", ["s_suppkey", "s_name"]), "robot_user", {
+        "id": "s_suppkey", "name": "s_name", "login": "concat('user', s_suppkey)", "email": "concat('s', s_suppkey, '@op.com')"})
 
 
 def event(spark: SparkSession, sf: str) -> DataFrame:
-    rows = load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"]).select(
-        F.col("l_orderkey").alias("process"), F.col("l_linenumber").alias("event"),
-        F.when(F.col("l_returnflag") == "N", "").otherwise(_text("Event ", F.col("l_returnflag"))).alias("text"),
-        F.col("l_shipdate").alias("happened_at"), _later("l_shipdate", "2 hours").alias("loaded_at"))
-    return _fit(rows, "event")
+    return _table(load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate"]), "event", {
+        "process": "l_orderkey", "event": "l_linenumber",
+        "text": "CASE WHEN l_returnflag = 'N' THEN '' ELSE concat('Event ', l_returnflag) END",
+        "happened_at": "l_shipdate", "loaded_at": "l_shipdate + INTERVAL 2 HOURS"})
 
 
 def step(spark: SparkSession, sf: str) -> DataFrame:
-    rows = load(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate"]).select(
-        F.col("l_orderkey").alias("process"), F.col("l_partkey").alias("task"), _text("Task ", F.col("l_linestatus")).alias("name"),
-        F.col("l_returnflag").alias("status"), F.col("l_shipdate").alias("happened_at"),
-        _later("l_shipdate", "3 hours").alias("loaded_at"))
-    return _fit(rows, "step")
+    return _table(load(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_linestatus", "l_returnflag", "l_shipdate"]), "step", {
+        "process": "l_orderkey", "task": "l_partkey", "name": "concat('Task ', l_linestatus)", "status": "l_returnflag",
+        "happened_at": "l_shipdate", "loaded_at": "l_shipdate + INTERVAL 3 HOURS"})
 
 
 def document(spark: SparkSession, sf: str) -> DataFrame:
-    rows = load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_linestatus"]).groupBy(
-        F.col("l_orderkey").alias("process"), _text("Doc ", F.col("l_linenumber")).alias("name")).agg(
+    rows = load(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_linestatus"]).groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_linestatus").alias("status"))
-    return _fit(rows, "document")
+    return _table(rows, "document", {"process": "l_orderkey", "name": "concat('Doc ', l_linenumber)", "status": "status"})
 
 
 def sla(spark: SparkSession, sf: str) -> DataFrame:
-    rows = load(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus"]).select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("process"), F.col("o_orderdate").alias("received"),
-        (F.col("o_orderdate") + F.expr("interval '10:00:59' hour to second")).alias("captured"),
-        F.when(F.col("o_orderstatus") == "F", _later("o_orderdate", "1 day")).alias("sent"),
-        F.lit("PENDENTE_ENVIO").alias("status"))
-    return _fit(rows, "sla")
-
-
-def claims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """All state tables of the binding."""
-    nation, region = load(spark, sf, "nation"), load(spark, sf, "region")
-    portal_status = nation.select(
-        F.col("n_nationkey").alias("code"), F.col("n_name").alias("label"), _text("CTX ", F.col("n_regionkey")).alias("context"),
-        F.col("n_regionkey").alias("operator_status"), F.lit(0).alias("final"), F.lit(1).alias("active"))
-    operator_status = region.select(
-        F.col("r_regionkey").alias("code"), F.col("r_name").alias("label"), F.lit(1).alias("active"))
-    return {
-        **dictionaries(spark),
-        "process": _fit(process(spark, sf), "process"), "queue": queue(spark, sf), "vehicle": vehicle(spark, sf),
-        "party": party(spark, sf), "contact": contact(spark, sf), "event": event(spark, sf), "step": step(spark, sf),
-        "document": document(spark, sf), "sla": sla(spark, sf), "user_history": user_history(spark, sf),
-        "robot_user": robot_user(spark, sf), "portal_status": portal_status, "operator_status": operator_status,
-    }
+    return _table(load(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus"]), "sla", {
+        "id": "o_orderkey", "process": "o_orderkey", "received": "o_orderdate",
+        "captured": "o_orderdate + INTERVAL '10:00:59' HOUR TO SECOND",
+        "sent": "CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY END", "status": "'PENDENTE_ENVIO'"})
+
+
+def portal_status(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(load(spark, sf, "nation"), "portal_status", {
+        "code": "n_nationkey", "label": "n_name", "context": "concat('CTX ', n_regionkey)", "operator_status": "n_regionkey",
+        "final": "0", "active": "1"})
+
+
+def operator_status(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(load(spark, sf, "region"), "operator_status", {"code": "r_regionkey", "label": "r_name", "active": "1"})
+
+
+_BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (
+        process, queue, vehicle, party, contact, user_history, robot_user, event, step, document, sla, portal_status, operator_status)
+}
+
+
+class Claims(dict):
+    """The state tables of the binding, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        super().__init__()
+        self.spark, self.sf = spark, sf
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in _BUILDERS:
+            self[name] = _BUILDERS[name](self.spark, self.sf)
+        else:
+            self[name] = dictionaries(self.spark, name)[name]
+        return self[name]
+
+
+def claims(spark: SparkSession, sf: str) -> Claims:
+    return Claims(spark, sf)
 
 
 # --- portal records ---------------------------------------------------------
 
 
+def _case(column: str, values: dict[str, str]) -> str:
+    """CASE over the content of a column, NULL for anything else."""
+    return f"CASE {column} " + " ".join(f"WHEN '{key}' THEN {value}" for key, value in values.items()) + " END"
+
+
+def _priority(*values: str | None) -> str:
+    names = (URGENT, HIGH, MEDIUM, UNSPECIFIED, LOW)
+    return _case("o_orderpriority", {name: value for name, value in zip(names, values) if value is not None})
+
+
+def _status(**values: str) -> str:
+    return _case("o_orderstatus", values)
+
+
+_AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)"
+_N = "CAST(left(o_orderpriority, 1) AS INT)"
+_LOG = f"""transform(filter(sequence(0, {_N} - 1), i -> i > 0), i -> named_struct(
+    'dataHoraEvento', CASE WHEN i <> 2 THEN CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate) * 1000 + i * 3600000 + 789 AS STRING) END,
+    'idEvento', CASE WHEN i <> 4 THEN CAST(i - 1 AS BIGINT) END,
+    'evento', CASE WHEN i < 3 THEN concat(' Event ', i) END,
+    'statusProcesso', CASE WHEN i = 3 THEN concat('Status ', o_orderstatus) END,
+    'observacao', 'nan'))"""
+_PAPERS = f"""transform(sequence(1, {_N}), i -> named_struct(
+    'dsDocumento', CASE WHEN i = 1 THEN ' Report ' END, 'nomeDocumento', CASE WHEN i <= 2 THEN 'nan' END,
+    'descricao', concat('Doc ', i % 2), 'dsStatus', CAST(NULL AS STRING),
+    'statusDocumento', CASE WHEN i = 3 THEN 'none' END, 'status', concat('S', i)))"""
+
+_RECORD = {
+    "idProcesso": "o_orderkey",
+    "idStatusCorrente": _status(O="concat(c_nationkey, '.0')", P="CAST(c_nationkey AS STRING)", F="'nan'"),
+    "idCicloCorrente": _priority("CAST(o_custkey AS STRING)", "CAST(o_custkey AS STRING)", "concat(o_custkey, '.0')", "'0'"),
+    "idUsuario": "c_nationkey + 1",
+    "noSinistro": "concat('C', o_orderkey)",
+    "tpExpediente": _priority("' trc '", "'DPA'", "'XYZ'"),
+    "status_processo": _status(O="''", P="' EM ANALISE '"),
+    "dsStatusCorrenteProcesso": _priority("''", "'FINALIZADO'", "'CANCELADO'"),
+    "dsStatus": _priority("'DS URGENT'", None, None, None, "'null'"),
+    "flAlerta": _priority("'S'", "'true'", "' sim '", "'N'"),
+    "flBaixaGravame": _status(O="'1'", P="'SIM'", F="'nao'"),
+    "dsUF": _status(O="' rjx'", F="'nan'"),
+    "ddd": _case("c_mktsegment", {"BUILDING": "'11'", "MACHINERY": "'21.0'", "FURNITURE": "'x1'", "AUTOMOBILE": "''"}),
+    "nmBeneficiario": _status(O="c_name", P="c_name"),
+    "nomeSegurado": "concat('  ', c_name, '  ')",
+    "cpfCnpj": _priority("concat(o_custkey, '.0')", "concat('12345678901', o_custkey)"),
+    "cpfSegurado": "lpad(CAST(o_custkey AS STRING), 11, '7')",
+    "emailBeneficiario": _case("c_mktsegment", {
+        "BUILDING": "concat('a', o_custkey, '@x.com; b', o_custkey, '@y.com.br , bad')", "MACHINERY": "concat('solo', o_custkey, '@x.com')",
+        "FURNITURE": "'none'"}),
+    "emailSegurado": "concat('s', o_custkey, '@z.com,s', o_custkey, '@z.com')",
+    "telefoneBeneficiario": _priority(
+        "concat('(11) 9', lpad(CAST(o_custkey AS STRING), 8, '0'))", "lpad(CAST(o_custkey AS STRING), 8, '3')", "'123-4567'", "'None'"),
+    "nmCorretor": _status(O="concat('Broker ', o_custkey)", P="' nan '"),
+    "emailCorretor": _priority("concat(' br', o_custkey, '@b.com ')", "'no mail'"),
+    "telefoneCorretor": "concat('21', lpad(CAST(o_custkey AS STRING), 9, '9'))",
+    "dddCorr": _priority("'0'", "'31'", "'nan'"),
+    "nmAnalista": _priority("concat('Ana ', o_custkey)", "'None'", "concat('Ana ', o_custkey)"),
+    "emailAnalistaTw": _priority("concat('ana', o_custkey, '@t.com')", "'x@t.com'"),
+    "placaVeiculo": _status(O="concat(' abc', o_custkey, ' ')", F="'nan'"),
+    "placa": _status(P="''"),
+    "nmMarca": _status(O="'BRAND O'"),
+    "marca": "' Marca '",
+    "dsModelo": _status(P="'MODEL P'"),
+    "nrChassi": "concat('CH', o_orderkey)",
+    "subModelo": _priority("' SUB '"),
+    "vrFipe": _priority(f"replace({_AMOUNT}, '.', ',')", f"concat('1.', replace({_AMOUNT}, '.', ','))", _AMOUNT, "'R$ 10,00'"),
+    "valorMercado": "'nan'",
+    "anoVeiculo": _priority("'2019.0'", "'nan'", "'2020'", "'abc'"),
+    "ano": "'1999'",
+    "dtSinistro": _priority("date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')", "'nan'"),
+    "dtAberturaSinistro": "date_format(o_orderdate, 'yyyy-MM-dd')",
+    "usuario_origem": f"CASE WHEN o_orderpriority <> '{LOW}' THEN concat('user', c_nationkey + 1) END",
+    "logWorkFlow": _LOG,
+    "documentos": f"CASE WHEN o_orderstatus = 'O' THEN {_PAPERS} END",
+    "listaDocumentos": f"CASE WHEN o_orderstatus <> 'F' THEN {_PAPERS} END",
+}
+
+
+def _as_records(rows: DataFrame) -> DataFrame:
+    columns = [f"CAST({_RECORD.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in RECORD.fields]
+    return rows.selectExpr(*columns, "o_orderkey AS _order")
+
+
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """One dirty portal record per order, in the landed schema, with its reading order."""
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    priority, status, segment = "o_orderpriority", "o_orderstatus", "c_mktsegment"
-    number = F.substring(priority, 1, 1).cast("int")  # 1 to 5
-    millis = F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col("o_orderdate")) * 1000
-
-    def workflow(i: Column) -> Column:
-        return F.struct(
-            F.when(i != 2, (millis + i * 3600000 + 789).cast("string")).alias("dataHoraEvento"),
-            F.when(i != 4, (i - 1).cast("long")).alias("idEvento"),
-            F.when(i < 3, _text(" Event ", i)).alias("evento"),
-            F.when(i == 3, _text("Status ", F.col(status))).alias("statusProcesso"),
-            F.lit("nan").alias("observacao"),
-        )
-
-    def document_entry(i: Column) -> Column:
-        return F.struct(
-            F.when(i == 1, F.lit(" Report ")).alias("dsDocumento"), F.when(i <= 2, F.lit("nan")).alias("nomeDocumento"),
-            _text("Doc ", i % 2).alias("descricao"), F.lit(None).cast("string").alias("dsStatus"),
-            F.when(i == 3, F.lit("none")).alias("statusDocumento"), _text("S", i).alias("status"),
-        )
-
-    log = F.transform(F.filter(F.sequence(F.lit(0), number - 1), lambda i: i > 0), workflow)
-    papers = F.transform(F.sequence(F.lit(1), number), document_entry)
-    amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    values = {
-        "idProcesso": key,
-        "idStatusCorrente": _case(status, {"O": _text(F.col("c_nationkey"), ".0"), "P": F.col("c_nationkey").cast("string"), "F": "nan"}),
-        "idCicloCorrente": _case(priority, {URGENT: cust.cast("string"), HIGH: cust.cast("string"), MEDIUM: _text(cust, ".0"), UNSPECIFIED: "0"}),
-        "idUsuario": (F.col("c_nationkey") + 1).cast("int"),
-        "noSinistro": _text("C", key),
-        "tpExpediente": _case(priority, {URGENT: " trc ", HIGH: "DPA", MEDIUM: "XYZ"}),
-        "status_processo": _case(status, {"O": "", "P": " EM ANALISE "}),
-        "dsStatusCorrenteProcesso": _case(priority, {URGENT: "", HIGH: "FINALIZADO", MEDIUM: "CANCELADO"}),
-        "dsStatus": _case(priority, {URGENT: "DS URGENT", LOW: "null"}),
-        "flAlerta": _case(priority, {URGENT: "S", HIGH: "true", MEDIUM: " sim ", UNSPECIFIED: "N"}),
-        "flBaixaGravame": _case(status, {"O": "1", "P": "SIM", "F": "nao"}),
-        "dsUF": _case(status, {"O": " rjx", "F": "nan"}),
-        "ddd": _case(segment, {"BUILDING": "11", "MACHINERY": "21.0", "FURNITURE": "x1", "AUTOMOBILE": ""}),
-        "nmBeneficiario": F.when(F.col(status) != "F", F.col("c_name")),
-        "nomeSegurado": _text("  ", F.col("c_name"), "  "),
-        "cpfCnpj": _case(priority, {URGENT: _text(cust, ".0"), HIGH: _text("12345678901", cust)}),
-        "cpfSegurado": F.lpad(cust.cast("string"), 11, "7"),
-        "emailBeneficiario": _case(segment, {
-            "BUILDING": _text("a", cust, "@x.com; b", cust, "@y.com.br , bad"), "MACHINERY": _text("solo", cust, "@x.com"), "FURNITURE": "none"}),
-        "emailSegurado": _text("s", cust, "@z.com,s", cust, "@z.com"),
-        "telefoneBeneficiario": _case(priority, {
-            URGENT: _text("(11) 9", F.lpad(cust.cast("string"), 8, "0")), HIGH: F.lpad(cust.cast("string"), 8, "3"),
-            MEDIUM: "123-4567", UNSPECIFIED: "None"}),
-        "nmCorretor": _case(status, {"O": _text("Broker ", cust), "P": " nan "}),
-        "emailCorretor": _case(priority, {URGENT: _text(" br", cust, "@b.com "), HIGH: "no mail"}),
-        "telefoneCorretor": _text("21", F.lpad(cust.cast("string"), 9, "9")),
-        "dddCorr": _case(priority, {URGENT: "0", HIGH: "31", MEDIUM: "nan"}),
-        "nmAnalista": _case(priority, {URGENT: _text("Ana ", cust), HIGH: "None", MEDIUM: _text("Ana ", cust)}),
-        "emailAnalistaTw": _case(priority, {URGENT: _text("ana", cust, "@t.com"), HIGH: "x@t.com"}),
-        "placaVeiculo": _case(status, {"O": _text(" abc", cust, " "), "F": "nan"}),
-        "placa": _case(status, {"P": ""}),
-        "nmMarca": _case(status, {"O": "BRAND O"}),
-        "marca": F.lit(" Marca "),
-        "dsModelo": _case(status, {"P": "MODEL P"}),
-        "nrChassi": _text("CH", key),
-        "subModelo": _case(priority, {URGENT: " SUB "}),
-        "vrFipe": _case(priority, {
-            URGENT: F.replace(amount, F.lit("."), F.lit(",")), HIGH: _text("1.", F.replace(amount, F.lit("."), F.lit(","))),
-            MEDIUM: amount, UNSPECIFIED: "R$ 10,00"}),
-        "valorMercado": F.lit("nan"),
-        "anoVeiculo": _case(priority, {URGENT: "2019.0", HIGH: "nan", MEDIUM: "2020", UNSPECIFIED: "abc"}),
-        "ano": F.lit("1999"),
-        "dtSinistro": _case(priority, {URGENT: F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), HIGH: "nan"}),
-        "dtAberturaSinistro": F.date_format("o_orderdate", "yyyy-MM-dd"),
-        "usuario_origem": F.when(F.col(priority) != LOW, _text("user", F.col("c_nationkey") + 1)),
-        "logWorkFlow": log,
-        "documentos": F.when(F.col(status) == "O", papers),
-        "listaDocumentos": F.when(F.col(status) != "F", papers),
-    }
-    columns = [
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RECORD.fields
-    ]
-    return cases(spark, sf).select(*columns, key.alias("_order"))
+    return _as_records(cases(spark, sf))
+
+
+def batch_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What the portal shows now: orders that are not finished."""
+    return _as_records(cases(spark, sf).filter("o_orderstatus <> 'F'"))
 
 
 def known(table: DataFrame, spark: SparkSession, sf: str, key: str = "process") -> DataFrame:
     """Rows of the processes stored before the batch: orders that are not open."""
-    ids = load(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus") != "O").select(
-        F.col("o_orderkey").alias(key))
+    ids = load(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).filter("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias(key))
     return table.join(ids, key, "left_semi").select(*table.columns)
-
-
-def batch_records(spark: SparkSession, sf: str) -> DataFrame:
-    """What the portal shows now: orders that are not finished."""
-    orders = load(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]).filter(F.col("o_orderstatus") != "F")
-    return records(spark, sf).join(orders.select(F.col("o_orderkey").alias("idProcesso")), "idProcesso", "left_semi")

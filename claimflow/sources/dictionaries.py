@@ -54,8 +54,8 @@ def area_rows() -> list[tuple[int, str, str, str]]:
     return [(int(code), uf, *STATES[uf]) for code, uf in zip(words[::2], words[1::2])]
 
 
-def dictionaries(spark: SparkSession) -> dict[str, DataFrame]:
-    """The seed tables, ready to be written once as parquet."""
+def dictionaries(spark: SparkSession, *names: str) -> dict[str, DataFrame]:
+    """The seed tables (all, or the named ones), ready to be written once as parquet."""
     seeds = {
         "file_type": [(*row, 1) for row in FILE_TYPES],
         "queue_status": [(*row, 1) for row in QUEUE_STATUSES],
@@ -64,7 +64,7 @@ def dictionaries(spark: SparkSession) -> dict[str, DataFrame]:
         "area_code": [(*row, 1) for row in area_rows()],
         "parameter": PARAMETERS,
     }
-    return {name: spark.createDataFrame(rows, TABLES[name]) for name, rows in seeds.items()}
+    return {name: spark.createDataFrame(rows, TABLES[name]) for name, rows in seeds.items() if not names or name in names}
 
 
 def load_area_map(areas: DataFrame) -> DataFrame:
