@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
 from claimflow.functions.clock import stamp
+from claimflow.session import work_dir
 
 # --- guards -----------------------------------------------------------------
 
@@ -192,30 +193,43 @@ def changed_count(before: DataFrame, after: DataFrame, key: str, columns: list[s
 # --- star join with hot keys ------------------------------------------------
 
 
+def hot_keys(key: str, satellites: dict[str, DataFrame], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows in some satellite, and the largest of those.
+
+    One pass over the key columns, counted per map task before the shuffle. At most
+    ``total rows / hot_rows`` keys come out.
+    """
+    sizes = reduce(
+        DataFrame.unionByName, [df.select(key, F.lit(name).alias("_name")) for name, df in satellites.items()]
+    ).groupBy(key, "_name").count().filter(F.col("count") > hot_rows)
+    return sizes.groupBy(key).agg(F.max_by("_name", F.struct("count", "_name")).alias("_spread"))
+
+
 def star_join(
-    base: DataFrame, key: str, satellites: list[tuple[str, DataFrame, str]], hot_rows: int = 1_000_000, salts: int = 64,
+    base: DataFrame, key: str, satellites: list[tuple[str, DataFrame, str]], hot_rows: int | None = 1_000_000,
+    salts: int = 64,
 ) -> DataFrame:
-    """Join satellites to ``base`` on one key, without loading a hot key into one task.
+    """Join satellites (name, table, join type) to ``base`` without loading a hot key into one task.
 
     A left join must keep every row of its left side, so Spark cannot split a hot key
-    of the right side. Here the keys with more than ``hot_rows`` rows in a satellite
-    are counted first (one pre-aggregated pass over the key columns). For such a key
-    the largest satellite spreads its rows over the salts and everything else is
-    repeated per salt. A base row whose salt drew nothing from that satellite is
-    dropped again: the satellite is known to hold the key, so another copy matched.
+    of the right side. The hot keys are therefore looked for first; without any, which
+    is the normal case, the joins are plain. For a hot key the largest satellite
+    spreads its rows over the salts and everything else is repeated per salt. A base
+    row whose salt drew nothing from that satellite is dropped again: the satellite is
+    known to hold the key, so another copy matched.
 
-    At most ``total rows / hot_rows`` keys can be hot, which bounds the broadcast.
     Satellites are spread by a hash of their columns, so they need a row id.
     """
-    sizes = reduce(
-        DataFrame.unionByName, [df.select(key, F.lit(name).alias("_name")) for name, df, _ in satellites]
-    ).groupBy(key, "_name").count().filter(F.col("count") > hot_rows)
-    hot = F.broadcast(
-        sizes.groupBy(key).agg(F.max_by("_name", F.struct("count", "_name")).alias("_spread"))
-    )
+    hot = None
+    if hot_rows is not None:
+        work_dir(base.sparkSession)
+        found = hot_keys(key, {name: df for name, df, _ in satellites}, hot_rows).checkpoint()
+        hot = None if found.isEmpty() else F.broadcast(found)
+    if hot is None:
+        return reduce(lambda left, satellite: left.join(satellite[1], key, satellite[2]), satellites, base)
+
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     once = F.array(F.lit(0))
-
     out = base.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_spread").isNull(), once).otherwise(every))
     )

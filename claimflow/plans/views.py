@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
 from claimflow.operators import relational as r
+from claimflow.session import work_dir
 
 Tables = dict[str, DataFrame]
 
@@ -32,17 +33,22 @@ def _labelled_process(t: Tables, user_columns: dict[str, str]) -> DataFrame:
     ).withColumnRenamed("id", "_process")
 
 
+ROLES = {"insured": (1, 2), "broker": (3,), "analyst": (4,)}
+
+
 def _parties(t: Tables, contact_tie: tuple[str, ...]) -> dict[str, DataFrame]:
     """Parties by role with their best e-mail and phone."""
     best = r.best_contact(t["contact"], {"email": 3, "phone": 2}, tie=contact_tie).withColumnRenamed("party", "id")
-    shared = t["party"].join(best, "id", "left")
+    work_dir(best.sparkSession)
+    # three roles read it: written once, contacts are scanned and aggregated once
+    shared = t["party"].join(best, "id", "left").checkpoint()
 
     def role(prefix: str, types: tuple[int, ...]) -> DataFrame:
         rows = r.party_of_type(shared, *types)
         names = ("id", "type", "name", "tax_id", "email_value", "phone_area", "phone_value")
         return rows.select(F.col("process").alias("_process"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
 
-    return {"insured": role("insured", (1, 2)), "broker": role("broker", (3,)), "analyst": role("analyst", (4,))}
+    return {name: role(name, types) for name, types in ROLES.items()}
 
 
 def _vehicle(t: Tables) -> DataFrame:
@@ -63,7 +69,7 @@ def _prefixed(table: DataFrame, prefix: str, names: tuple[str, ...]) -> DataFram
     return table.select(F.col("process").alias("_process"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
 
 
-def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int = 1_000_000) -> DataFrame:
+def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int | None = 1_000_000) -> DataFrame:
     """Dispatchable queue rows, 37 columns. Several parties of a role multiply a row, as they should."""
     parties = _parties(t, contact_tie)
     queue = _prefixed(dispatchable(t["queue"]), "queue", ("id", "slot"))
@@ -107,7 +113,7 @@ def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int
     )
 
 
-def history(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int = 1_000_000) -> DataFrame:
+def history(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int | None = 1_000_000) -> DataFrame:
     """Every process with its queue, SLA, people and vehicle, 37 columns."""
     parties = _parties(t, contact_tie)
     insured = r.with_labels(parties["insured"], (t["party_type"], "code", "insured_type", {"insured_role": "label"}))
