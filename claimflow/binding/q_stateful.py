@@ -74,9 +74,8 @@ def _stream(spark, sf):
 def stream_latest(spark, sf):
     out = fresh_path(spark, "latest")
     history = _stream(spark, sf).withColumn("at", F.struct("ts", "event_id"))
-    latest_rows = i.latest_per_key(history, "user_id", "props", "at").select("user_id", "props")
-    i.run_to_end(i.write_latest(latest_rows, out, f"{out}-progress"))
-    return spark.read.parquet(out).select("user_id", "props")
+    i.run_to_end(i.write_latest(i.latest_per_key(history, "user_id", "props", "at"), out, f"{out}-progress"))
+    return i.read_latest(spark, out, "user_id", "props", "at").select("user_id", "props")
 
 
 @query("stream_slots", _chain("user_id"))

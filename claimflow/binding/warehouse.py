@@ -194,16 +194,30 @@ def _status(**values: str) -> str:
 
 _AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)"
 _N = "CAST(left(o_orderpriority, 1) AS INT)"
-_LOG = f"""transform(filter(sequence(0, {_N} - 1), i -> i > 0), i -> named_struct(
-    'dataHoraEvento', CASE WHEN i <> 2 THEN CAST(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate) * 1000 + i * 3600000 + 789 AS STRING) END,
-    'idEvento', CASE WHEN i <> 4 THEN CAST(i - 1 AS BIGINT) END,
-    'evento', CASE WHEN i < 3 THEN concat(' Event ', i) END,
-    'statusProcesso', CASE WHEN i = 3 THEN concat('Status ', o_orderstatus) END,
-    'observacao', 'nan'))"""
-_PAPERS = f"""transform(sequence(1, {_N}), i -> named_struct(
-    'dsDocumento', CASE WHEN i = 1 THEN ' Report ' END, 'nomeDocumento', CASE WHEN i <= 2 THEN 'nan' END,
-    'descricao', concat('Doc ', i % 2), 'dsStatus', CAST(NULL AS STRING),
-    'statusDocumento', CASE WHEN i = 3 THEN 'none' END, 'status', concat('S', i)))"""
+_MILLIS = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate) * 1000"
+
+
+def _workflow(i: int) -> str:
+    """Workflow entry i: the second has no date, the fourth no event id."""
+    return (
+        "named_struct("
+        f"'dataHoraEvento', {f'CAST({_MILLIS} + {i * 3600000 + 789} AS STRING)' if i != 2 else 'CAST(NULL AS STRING)'}, "
+        f"'idEvento', {f'CAST({i - 1} AS BIGINT)' if i != 4 else 'CAST(NULL AS BIGINT)'}, "
+        f"'evento', {f"' Event {i}'" if i < 3 else 'CAST(NULL AS STRING)'}, "
+        f"'statusProcesso', {"concat('Status ', o_orderstatus)" if i == 3 else 'CAST(NULL AS STRING)'}, 'observacao', 'nan')"
+    )
+
+
+def _paper(i: int) -> str:
+    return (
+        f"named_struct('dsDocumento', {"' Report '" if i == 1 else 'CAST(NULL AS STRING)'}, "
+        f"'nomeDocumento', {"'nan'" if i <= 2 else 'CAST(NULL AS STRING)'}, 'descricao', 'Doc {i % 2}', 'dsStatus', CAST(NULL AS STRING), "
+        f"'statusDocumento', {"'none'" if i == 3 else 'CAST(NULL AS STRING)'}, 'status', 'S{i}')"
+    )
+
+
+_LOG = f"slice(array({', '.join(_workflow(i) for i in range(1, 5))}), 1, {_N} - 1)"
+_PAPERS = f"slice(array({', '.join(_paper(i) for i in range(1, 6))}), 1, {_N})"
 
 _RECORD = {
     "idProcesso": "o_orderkey",

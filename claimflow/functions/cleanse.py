@@ -37,7 +37,8 @@ def clamp(col: Column, length: int) -> Column:
 
 def text_or_null(col: Column, length: int, sentinels: tuple[str, ...] = BLANK) -> Column:
     """Stripped and clamped text, NULL when it says nothing."""
-    return clamp(nullify(strip(col), sentinels), length)
+    text = strip(col)
+    return F.when(~F.lower(text).isin(*sentinels), clamp(text, length))
 
 
 def flag01(col: Column) -> Column:
@@ -59,7 +60,8 @@ def party_type_code(col: Column) -> Column:
 
 def to_number(col: Column) -> Column:
     """Decimal or scientific text as double; anything else, NaN and infinity included, is NULL."""
-    text = F.regexp_replace(strip(col), "(?<=[0-9])_(?=[0-9])", "")
+    text = strip(col)
+    text = F.when(text.contains("_"), F.regexp_replace(text, "(?<=[0-9])_(?=[0-9])", "")).otherwise(text)
     value = F.when(text.rlike(_NUMBER), text).try_cast("double")
     return F.when(F.abs(value) < float("inf"), value)
 
@@ -77,13 +79,13 @@ def to_money(col: Column) -> Column:
     return col.try_cast("decimal(18,2)")
 
 
-def parse_year(col: Column) -> Column:
-    return to_number(nullify(col)).try_cast("int")
+def parse_int(col: Column) -> Column:
+    """Whole number from text such as '7' or '7.0', cut towards zero; plain digits take the short way."""
+    return F.coalesce(col.try_cast("int"), to_number(col).try_cast("int"))
 
 
-def parse_int(col: Column) -> Column:
-    """Whole number from text such as '7' or '7.0'."""
-    return to_number(nullify(col)).try_cast("int")
+def parse_year(col: Column) -> Column:
+    return parse_int(col)
 
 
 def area_number(col: Column) -> Column:

@@ -68,8 +68,8 @@ def resolve_phase(*candidates: Column, default: str = DEFAULT_PHASE) -> Column:
 
 def event_stamp(millis: Column) -> Column:
     """Local time (whole seconds) of an epoch-milliseconds text; NULL if unusable."""
-    number = c.to_number(millis.cast("string"))
-    usable = (number != 0) & (F.abs(number) <= 9223372036854)
+    number = F.coalesce(millis.try_cast("long"), F.floor(c.to_number(millis)).try_cast("long"))
+    usable = (number != 0) & number.between(-9223372036854, 9223372036854)
     seconds = F.floor(F.when(usable, number) / 1000).cast("long") - LOCAL_SHIFT_SECONDS
     origin = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
     return F.timestamp_add("SECOND", seconds, origin)
@@ -90,7 +90,7 @@ def normalise_events(log: Column) -> Column:
 
 
 def min_event_date(events: Column) -> Column:
-    return F.array_min(F.transform(events, lambda e: e["happened_at"]))
+    return F.array_min(events["happened_at"])
 
 
 def normalise_documents(*lists: Column) -> Column:
@@ -118,10 +118,9 @@ def _aliased(name: str) -> Column:
 def standardise(records: DataFrame) -> DataFrame:
     """One typed row per portal record, under one name per value."""
     phase = resolve_phase(F.col("status_processo"), F.col("dsStatusCorrenteProcesso"), F.col("dsStatus"))
-    events = normalise_events(F.col("logWorkFlow"))
     present = [name for name in RECORD.fieldNames() if name in records.columns]
     order = [F.col("_order")] if "_order" in records.columns else []
-    return with_id(records).select(
+    rows = with_id(records).select(
         F.col("idProcesso").alias("id"),
         F.col("noSinistro").alias("claim"),
         F.upper(c.strip(F.coalesce(F.col("tpExpediente"), F.lit("")))).alias("file_type_text"),
@@ -140,14 +139,15 @@ def standardise(records: DataFrame) -> DataFrame:
         F.col("telefoneCorretor").alias("broker_phone"),
         F.col("dddCorr").alias("broker_ddd"),
         *[_aliased(name) for name in ALIASES],
-        events.alias("events"),
-        min_event_date(events).alias("opened"),
+        normalise_events(F.col("logWorkFlow")).alias("events"),
         normalise_documents(*[F.col(name) for name in DOCUMENT_LISTS]).alias("documents"),
         F.col("idUsuario").alias("user_id"),
         F.coalesce(F.col("usuario_origem"), F.lit("SISTEMA")).alias("user_name"),
         to_raw_json(*present).alias("raw_json"),
         *order,
     )
+    # a second step, so that the events are built once
+    return rows.withColumn("opened", min_event_date(F.col("events")))
 
 
 def explode_events(records: DataFrame) -> DataFrame:

@@ -43,15 +43,13 @@ def missing_from(state: DataFrame, batch: DataFrame, keys: list[str]) -> DataFra
 # --- lookups ----------------------------------------------------------------
 
 
-def lookup(df: DataFrame, pairs: DataFrame, key: Column, default: Column, name: str, fixed: bool = False) -> DataFrame:
+def lookup(df: DataFrame, pairs: DataFrame, key: Column, default: Column, name: str) -> DataFrame:
     """Add ``name``: the value of a (code, value) table with one row per code, else ``default``.
 
-    ``fixed`` marks a table of known small size, which may be broadcast by hint;
-    for any other Spark decides by its size.
+    Spark broadcasts the table if it is small enough.
     """
     code, value = pairs.columns
     side = pairs.select(F.col(code).alias("_code"), F.col(value).alias("_value"))
-    side = F.broadcast(side) if fixed else side
     return (
         df.withColumn("_key", key)
         .join(side, F.col("_key") == F.col("_code"), "left")
@@ -64,13 +62,13 @@ def resolve_uf(df: DataFrame, area_map: DataFrame, area: str = "ddd", state: str
     """State by area code, else the first two letters of the state text (SP if missing)."""
     text = F.coalesce(c.nullify(F.col(state), c.BLANK_STATE), F.lit("SP"))
     own = F.upper(c.clamp(c.strip(text), 2))
-    return lookup(df, area_map, c.area_number(F.col(area)), own, name, fixed=True)
+    return lookup(df, area_map, c.area_number(F.col(area)), own, name)
 
 
 def repair_uf(df: DataFrame, area_map: DataFrame, area: str = "ddd", state: str = "uf_text", name: str = "uf") -> DataFrame:
     """As ``resolve_uf``, but the state text is kept at full length."""
     own = F.coalesce(c.nullify(F.upper(c.strip(F.col(state))), c.BLANK_STATE), F.lit("SP"))
-    return lookup(df, area_map, c.area_number(F.col(area)), own, name, fixed=True)
+    return lookup(df, area_map, c.area_number(F.col(area)), own, name)
 
 
 def with_labels(df: DataFrame, *joins: tuple[DataFrame, str, str, dict[str, str]]) -> DataFrame:

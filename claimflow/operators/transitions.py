@@ -7,8 +7,6 @@ batch is broadcast and the state is neither shuffled nor multiplied.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,11 +98,16 @@ def insert_absent(state: DataFrame, batch: DataFrame, keys: list[str], order: st
 
     Inside the batch the first in ``order`` counts; without it the batch must be unique by ``keys``.
     """
+    return state.unionByName(absent_rows(state, batch, keys, order))
+
+
+def absent_rows(state: DataFrame, batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """Only the rows ``insert_absent`` appends."""
     if order:
-        rest = [name for name in batch.columns if name not in keys]
-        first = F.min_by(F.struct(*[name for name in rest if name != order]), F.col(order))
+        rest = [name for name in batch.columns if name not in (*keys, order)]
+        first = F.min_by(F.struct(*rest), F.col(order))
         batch = batch.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*")
-    return state.unionByName(r.missing_in(batch, state, keys).select(*state.columns))
+    return r.missing_in(batch, state, keys).select(*state.columns)
 
 
 def update_where(state: DataFrame, ids: DataFrame, key: str, condition: Column, values: dict[str, Column]) -> DataFrame:
@@ -280,6 +283,18 @@ def user_history_rows(batch: DataFrame, now) -> DataFrame:
 # --- dictionaries -----------------------------------------------------------
 
 
+def new_labels(dictionary: DataFrame, batch: DataFrame, prefix: str, upgrade: bool, **defaults) -> DataFrame:
+    """One dictionary row per code of the batch: the best label, or the first one without ``upgrade``."""
+    rank = F.struct(_is_waiting("label", prefix).alias("waiting"), F.col("_order")) if upgrade else F.struct("_order")
+    news = batch.groupBy("code").agg(F.min_by("label", rank).alias("label"))
+    for name, value in defaults.items():
+        news = news.withColumn(name, F.lit(value))
+    return news.select(*[
+        (F.col(f) if f in news.columns else F.lit(None)).cast(dictionary.schema[f].dataType).alias(f)
+        for f in dictionary.columns
+    ])
+
+
 def grow_dictionary(dictionary: DataFrame, batch: DataFrame, prefix: str, upgrade: bool = True, **defaults) -> DataFrame:
     """Add new codes; replace a placeholder label by a real one.
 
@@ -288,14 +303,7 @@ def grow_dictionary(dictionary: DataFrame, batch: DataFrame, prefix: str, upgrad
     ``upgrade`` the first label counts as it is and stored labels stay.
     """
     waiting = _is_waiting("label", prefix)
-    rank = F.struct(waiting.alias("waiting"), F.col("_order")) if upgrade else F.struct("_order")
-    news = batch.groupBy("code").agg(F.min_by("label", rank).alias("label"))
-    for name, value in defaults.items():
-        news = news.withColumn(name, F.lit(value))
-    news = news.select(*[
-        (F.col(f) if f in news.columns else F.lit(None)).cast(dictionary.schema[f].dataType).alias(f)
-        for f in dictionary.columns
-    ])
+    news = new_labels(dictionary, batch, prefix, upgrade, **defaults)
     out = dictionary
     if upgrade:
         side = news.filter(~waiting).select("code", F.col("label").alias("_label"))
@@ -325,36 +333,31 @@ def event_labels(batch: DataFrame) -> DataFrame:
     )
 
 
-def _grown(state: State, batch: DataFrame, upgrade: bool) -> State:
-    return {
-        "portal_status": grow_dictionary(
-            state["portal_status"], status_labels(batch), STATUS_PREFIX, upgrade, final=0, active=1),
-        "workflow_event": grow_dictionary(
-            state["workflow_event"], event_labels(batch), EVENT_PREFIX, upgrade, phase=NEW_EVENT_PHASE, active=1),
-    }
+_DICTIONARIES = {
+    "portal_status": (status_labels, STATUS_PREFIX, {"final": 0, "active": 1}),
+    "workflow_event": (event_labels, EVENT_PREFIX, {"phase": NEW_EVENT_PHASE, "active": 1}),
+}
 
 
-def _raw(state: State, batch: DataFrame, now) -> State:
-    latest = raw_latest_rows(batch, now)
-    return {
-        "raw_latest": upsert(state["raw_latest"], latest, ["id"], {"json": "overwrite", "captured_at": "overwrite"}),
-        "raw_history": state["raw_history"].unionByName(
-            latest.withColumn("capture_date", F.col("captured_at").cast("date"))),
-    }
+def _history_rows(batch: DataFrame, now) -> DataFrame:
+    return raw_latest_rows(batch, now).withColumn("capture_date", F.col("captured_at").cast("date"))
 
 
 # --- load, backfill, sync ---------------------------------------------------
 
 
-def load_new(state: State, batch: DataFrame, now) -> State:
-    """Split the records that are not stored yet over all tables.
+def load_rows(state: State, batch: DataFrame, now) -> State:
+    """The rows the load adds to each table, for the records that are not stored yet.
 
-    The reduced batch feeds a dozen tables: cache or checkpoint ``batch`` before.
+    The reduced batch feeds a dozen tables: checkpoint ``batch`` before.
     """
     new = r.missing_in(batch, state["process"], ["id"])
-    areas = load_area_map(state["area_code"])
-    appended = {
-        "process": process_rows(new, areas, now),
+    labels = {
+        name: absent_rows(state[name], new_labels(state[name], source(new), prefix, False, **defaults), ["code"])
+        for name, (source, prefix, defaults) in _DICTIONARIES.items()
+    }
+    return {
+        "process": process_rows(new, load_area_map(state["area_code"]), now),
         "queue": queue_rows(new, now),
         "vehicle": vehicle_rows(new, now),
         "party": party_rows(new, now),
@@ -362,19 +365,26 @@ def load_new(state: State, batch: DataFrame, now) -> State:
         "event": event_rows(new, now),
         "step": step_rows(new, now),
         "document": document_rows(new, now),
-        "raw_history": raw_latest_rows(new, now).withColumn("capture_date", F.col("captured_at").cast("date")),
-    }
-    out = {name: state[name].unionByName(rows) for name, rows in appended.items()}
-    return {
-        **out,
-        "raw_latest": insert_absent(state["raw_latest"], raw_latest_rows(new, now), ["id"]),
-        "sla": insert_absent(state["sla"], sla_rows(new, now), ["process"]),
-        "robot_user": insert_absent(state["robot_user"], user_rows(new), ["id"]),
-        "user_history": insert_absent(state["user_history"], user_history_rows(new, now), ["process", "user_id"]),
-        **_grown(state, new, upgrade=False),
+        "raw_history": _history_rows(new, now),
+        "raw_latest": absent_rows(state["raw_latest"], raw_latest_rows(new, now), ["id"]),
+        "sla": absent_rows(state["sla"], sla_rows(new, now), ["process"]),
+        "robot_user": absent_rows(state["robot_user"], user_rows(new), ["id"]),
+        "user_history": absent_rows(state["user_history"], user_history_rows(new, now), ["process", "user_id"]),
+        **labels,
     }
 
 
+def with_rows(state: State, added: State) -> State:
+    """The state with the added rows behind it."""
+    return {**state, **{name: state[name].unionByName(rows) for name, rows in added.items()}}
+
+
+def load_new(state: State, batch: DataFrame, now) -> State:
+    """Split the records that are not stored yet over all tables."""
+    added = load_rows(state, batch, now)
+    return {name: state[name].unionByName(rows) for name, rows in added.items()}
+
+
 def backfill_process(process: DataFrame, batch: DataFrame) -> DataFrame:
     news = batch.select(
         "id", "opened", c.to_timestamp(F.col("occurred_text")).alias("occurred"),
@@ -434,25 +444,36 @@ def backfill_analyst(party: DataFrame, contact: DataFrame, batch: DataFrame, now
     return {"party": parties, "contact": upsert(contact, news, ["party", "type"], {"value": "overwrite"})}
 
 
-def backfill(state: State, batch: DataFrame, now) -> State:
-    """Refresh stored processes with everything a full record carries."""
-    known = r.exists_in(batch, state["process"], ["id"])
-    return {
-        **_raw(state, known, now),
+def backfill_changes(state: State, known: DataFrame, now) -> tuple[State, State]:
+    """(rewritten tables, added rows) of a backfill; ``known`` holds stored processes only."""
+    rewritten = {
+        "raw_latest": upsert(state["raw_latest"], raw_latest_rows(known, now), ["id"], {
+            "json": "overwrite", "captured_at": "overwrite"}),
         "process": backfill_process(state["process"], known),
         "vehicle": backfill_vehicle(state["vehicle"], known),
         "event": backfill_events(state["event"], known, now),
         "document": backfill_documents(state["document"], known, now),
-        "sla": insert_absent(state["sla"], sla_rows(known, now), ["process"]),
-        "robot_user": insert_absent(state["robot_user"], user_rows(known), ["id"]),
-        "user_history": insert_absent(state["user_history"], user_history_rows(known, now), ["process", "user_id"]),
         **backfill_analyst(state["party"], state["contact"], known, now),
-        **_grown(state, known, upgrade=True),
+        **{name: grow_dictionary(state[name], source(known), prefix, True, **defaults)
+           for name, (source, prefix, defaults) in _DICTIONARIES.items()},
+    }
+    added = {
+        "raw_history": _history_rows(known, now),
+        "sla": absent_rows(state["sla"], sla_rows(known, now), ["process"]),
+        "robot_user": absent_rows(state["robot_user"], user_rows(known), ["id"]),
+        "user_history": absent_rows(state["user_history"], user_history_rows(known, now), ["process", "user_id"]),
     }
+    return rewritten, added
 
 
-def sync_known(state: State, batch: DataFrame, now) -> State:
-    """Phase, status and alert of stored processes; unseen events and steps are appended."""
+def backfill(state: State, batch: DataFrame, now) -> State:
+    """Refresh stored processes with everything a full record carries."""
+    rewritten, added = backfill_changes(state, r.exists_in(batch, state["process"], ["id"]), now)
+    return {**rewritten, **{name: state[name].unionByName(rows) for name, rows in added.items()}}
+
+
+def sync_changes(state: State, batch: DataFrame, now) -> tuple[State, State]:
+    """(rewritten tables, added rows) of a sync."""
     known = r.exists_in(batch, state["process"], ["id"])
     news = known.select("id", c.clamp(c.strip(F.col("phase")), 150).alias("phase"), "portal_status", "alert")
     process = upsert(state["process"], news, ["id"], {
@@ -461,13 +482,18 @@ def sync_known(state: State, batch: DataFrame, now) -> State:
         F.col("id").alias("process"), F.col("event_id").alias("event"), c.clamp(F.col("text"), 200).alias("text"),
         "happened_at", stamp(now).alias("loaded_at"), "position",
     )
-    return {
-        "process": process,
-        "event": insert_absent(state["event"], entries, ["process", "event"], order="position"),
-        "step": insert_absent(state["step"], step_rows(known, now), ["process", "task"]),
+    return {"process": process}, {
+        "event": absent_rows(state["event"], entries, ["process", "event"], order="position"),
+        "step": absent_rows(state["step"], step_rows(known, now), ["process", "task"]),
     }
 
 
+def sync_known(state: State, batch: DataFrame, now) -> State:
+    """Phase, status and alert of stored processes; unseen events and steps are appended."""
+    rewritten, added = sync_changes(state, batch, now)
+    return {**rewritten, **{name: state[name].unionByName(rows) for name, rows in added.items()}}
+
+
 # --- exits, repairs, reconciliation -----------------------------------------
 
 
@@ -597,7 +623,3 @@ def stamp_sla(sla: DataFrame, outcomes: DataFrame, now) -> DataFrame:
 def notifications(outcomes: DataFrame) -> DataFrame:
     """Outcomes worth a message: a success, or an error other than a conflict."""
     return outcomes.filter(F.col("status").isin(2, 3))
-
-
-def merge_state(state: State, *changes: State) -> State:
-    return reduce(lambda left, right: {**left, **right}, changes, state)

@@ -29,47 +29,59 @@ def prepared(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Standardised records as read, and one per process. Checkpointed: every table reads them."""
     work_dir(records.sparkSession)
     seen = n.standardise(records).checkpoint()
-    return seen, r.first_per_key(seen, "id", "_order")
+    return seen, r.first_per_key(seen, "id", "_order").checkpoint()
 
 
-def capture_changes(state: t.State, records: DataFrame, now, complete: bool = True) -> t.State:
-    """Load, sync, exits and opening dates, in this order. ``complete`` says that every page was read."""
+def _joined(*parts: t.State) -> t.State:
+    """Added rows of several steps, per table."""
+    out: t.State = {}
+    for part in parts:
+        for name, rows in part.items():
+            out[name] = out[name].unionByName(rows) if name in out else rows
+    return out
+
+
+def capture_changes(state: t.State, records: DataFrame, now, complete: bool = True) -> tuple[t.State, t.State]:
+    """Load, sync, exits and opening dates, in this order: (rewritten tables, added rows).
+
+    ``complete`` says that every page was read; otherwise nothing counts as gone.
+    """
     seen, batch = prepared(records)
-    batch = batch.checkpoint()
-    state = {**state, **t.load_new(state, batch, now)}
-    state = {**state, **t.sync_known(state, batch, now)}
+    loaded = t.load_rows(state, batch, now)
+    middle = t.with_rows(state, loaded)
+    rewritten, synced = t.sync_changes(middle, batch, now)
+    added = _joined(loaded, synced)
+    after = {**t.with_rows(state, added), **rewritten}
     if complete:
-        state = {**state, **t.close_disappeared(state["user_history"], state["queue"], seen, now)}
-    return {**state, "process": t.repair_opening(state["process"], state["event"], EVENT_FLOOR)}
+        rewritten = {**rewritten, **t.close_disappeared(after["user_history"], after["queue"], seen, now)}
+    rewritten["process"] = t.repair_opening(rewritten["process"], after["event"], EVENT_FLOOR)
+    return rewritten, {name: rows for name, rows in added.items() if name not in rewritten}
 
 
-def enrichment_changes(state: t.State, records: DataFrame, now) -> t.State:
-    """Load what is new, backfill what was known before."""
+def enrichment_changes(state: t.State, records: DataFrame, now) -> tuple[t.State, t.State]:
+    """Load what is new, backfill what was known before: (rewritten tables, added rows)."""
     _, batch = prepared(records)
-    batch = batch.checkpoint()
     known = r.exists_in(batch, state["process"], ["id"]).checkpoint()
-    loaded = {**state, **t.load_new(state, batch, now)}
-    return {**loaded, **t.backfill(loaded, known, now)}
-
-
-def _changed(before: t.State, after: t.State) -> t.State:
-    return {name: table for name, table in after.items() if table is not before.get(name)}
+    loaded = t.load_rows(state, batch, now)
+    rewritten, filled = t.backfill_changes(t.with_rows(state, loaded), known, now)
+    added = _joined(loaded, filled)
+    return rewritten, {name: rows for name, rows in added.items() if name not in rewritten}
 
 
 def capture(store: StateTables, records: DataFrame, now, version: int | None = None, complete: bool = True) -> RunResult:
     version = store.version() + 1 if version is None else version
     if version <= store.version():
         return RunResult(False, ())
-    before = store.load()
-    changed = _changed(before, capture_changes(before, records, now, complete))
-    return RunResult(store.commit(version, changed), tuple(changed))
+    rewritten, added = capture_changes(store.load(), records, now, complete)
+    return RunResult(store.commit(version, rewritten, added), (*rewritten, *added))
 
 
 def enrich(store: StateTables, records: DataFrame, now, version: int | None = None) -> RunResult:
     version = store.version() + 1 if version is None else version
-    before = store.load()
-    changed = _changed(before, enrichment_changes(before, records, now))
-    return RunResult(store.commit(version, changed), tuple(changed))
+    if version <= store.version():
+        return RunResult(False, ())
+    rewritten, added = enrichment_changes(store.load(), records, now)
+    return RunResult(store.commit(version, rewritten, added), (*rewritten, *added))
 
 
 def audit(store: StateTables, snapshot: DataFrame, now, version: int | None = None) -> RunResult:

@@ -1,8 +1,9 @@
 """Table scans, versioned state tables and append-only logs.
 
-State tables are plain parquet. A transition never overwrites what it reads: each
-changed table goes to a new folder, and one appended commit line per table makes it
-visible. A batch id that is already committed is skipped, so a replay does nothing.
+State tables are plain parquet. A transition never overwrites what it reads: new rows
+and rewritten tables go to new folders, and appended commit lines make them visible
+together. A run that only adds rows writes only those rows. A version that is already
+committed is skipped, so a replay does nothing.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from claimflow.functions.clock import stamp
 from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 
-_COMMIT = "version long, table string, path string"
+_COMMIT = "version long, table string, path string, whole boolean"
 
 
 def load(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -49,26 +50,30 @@ class StateTables:
         return self._commits().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
 
     def load(self, *names: str) -> dict[str, DataFrame]:
-        latest = {
-            row["table"]: row["path"]
-            for row in self._commits().groupBy("table").agg(F.max_by("path", "version").alias("path")).collect()
-        }
-        wanted = names or tuple(TABLES)
+        """Each table: its last whole folder and the rows added since."""
+        commits = self._commits()
+        whole = commits.filter("whole").groupBy("table").agg(F.max("version").alias("base"))
+        # a line per table and run since its last rewrite, no data
+        live = commits.join(whole, "table", "left").filter("version >= coalesce(base, 0)")
+        paths: dict[str, list[str]] = {}
+        for row in live.orderBy("version").collect():
+            paths.setdefault(row["table"], []).append(row["path"])
         return {
-            name: self.spark.read.schema(TABLES[name]).parquet(latest[name]) if name in latest else empty(self.spark, name)
-            for name in wanted
+            name: self.spark.read.schema(TABLES[name]).parquet(*paths[name]) if name in paths else empty(self.spark, name)
+            for name in names or tuple(TABLES)
         }
 
-    def commit(self, version: int, tables: dict[str, DataFrame]) -> bool:
-        """Write the changed tables and publish them together."""
+    def commit(self, version: int, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None) -> bool:
+        """Write rewritten ``tables`` and the rows ``added`` to others, and publish them together."""
         if version <= self.version():
             return False
         rows = []
-        for name, table in tables.items():
-            path = f"{self.root}/{name}/v={version}"
-            fields = [F.col(field.name).cast(field.dataType).alias(field.name) for field in TABLES[name]]
-            table.select(*fields).write.mode("overwrite").parquet(path)
-            rows.append((version, name, path))
+        for changes, whole in ((tables, True), (added or {}, False)):
+            for name, table in changes.items():
+                path = f"{self.root}/{name}/v={version}"
+                fields = [F.col(field.name).cast(field.dataType).alias(field.name) for field in TABLES[name]]
+                table.select(*fields).write.mode("overwrite").parquet(path)
+                rows.append((version, name, path, whole))
         self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(f"{self.root}/commits")
         return True
 

@@ -39,8 +39,7 @@ def test_latest(spark, tmp_path):
     stream = write(spark, tmp_path / "in", [data[:50], data[50:]])
     latest = i.latest_per_key(stream, "q", "v", "t")
     i.run_to_end(i.write_latest(latest, str(tmp_path / "out"), str(tmp_path / "progress")))
-    last = max(p.name for p in (tmp_path / "out").iterdir())
-    got = {row.q: row.v for row in spark.read.parquet(str(tmp_path / "out" / last)).collect()}
+    got = {row.q: row.v for row in i.read_latest(spark, str(tmp_path / "out"), "q", "v", "t").collect()}
     assert got == {q: [row for row in data if row[1] == q][-1][3] for q in "abc"}
 
 
