@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.operators import normalise as n
@@ -13,16 +15,20 @@ from claimflow.operators import transitions as t
 from claimflow.plans import dispatch as d
 from claimflow.plans.views import ready_queue
 from claimflow.session import work_dir
-from claimflow.sources.tables import StateTables
+from claimflow.sources.tables import StateTables, append_log, close_run, open_run
 
-# Fixed value: events before this date do not count for the opening date.
+# Events before this date do not count for the opening date; how a run ends.
 EVENT_FLOOR = "2026-01-01 00:00:00"
+SUCCESS, FAILURE = "SUCESSO", "ERRO"
+SUCCESS_MESSAGE = "Execução concluída com êxito."
+FAILURE_MESSAGE = "Falha Crítica: "
 
 
 @dataclass
 class RunResult:
     committed: bool
-    changed: tuple[str, ...]
+    changed: tuple[str, ...] = ()
+    metrics: DataFrame | None = None  # read, new, known
 
 
 def prepared(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -41,12 +47,11 @@ def _joined(*parts: t.State) -> t.State:
     return out
 
 
-def capture_changes(state: t.State, records: DataFrame, now, complete: bool = True) -> tuple[t.State, t.State]:
+def capture_changes(state: t.State, seen: DataFrame, batch: DataFrame, now, complete: bool = True) -> tuple[t.State, t.State]:
     """Load, sync, exits and opening dates, in this order: (rewritten tables, added rows).
 
     ``complete`` says that every page was read; otherwise nothing counts as gone.
     """
-    seen, batch = prepared(records)
     loaded = t.load_rows(state, batch, now)
     middle = t.with_rows(state, loaded)
     rewritten, synced = t.sync_changes(middle, batch, now)
@@ -58,9 +63,8 @@ def capture_changes(state: t.State, records: DataFrame, now, complete: bool = Tr
     return rewritten, {name: rows for name, rows in added.items() if name not in rewritten}
 
 
-def enrichment_changes(state: t.State, records: DataFrame, now) -> tuple[t.State, t.State]:
+def enrichment_changes(state: t.State, batch: DataFrame, now) -> tuple[t.State, t.State]:
     """Load what is new, backfill what was known before: (rewritten tables, added rows)."""
-    _, batch = prepared(records)
     known = r.exists_in(batch, state["process"], ["id"]).checkpoint()
     loaded = t.load_rows(state, batch, now)
     rewritten, filled = t.backfill_changes(t.with_rows(state, loaded), known, now)
@@ -71,17 +75,35 @@ def enrichment_changes(state: t.State, records: DataFrame, now) -> tuple[t.State
 def capture(store: StateTables, records: DataFrame, now, version: int | None = None, complete: bool = True) -> RunResult:
     version = store.version() + 1 if version is None else version
     if version <= store.version():
-        return RunResult(False, ())
-    rewritten, added = capture_changes(store.load(), records, now, complete)
-    return RunResult(store.commit(version, rewritten, added), (*rewritten, *added))
+        return RunResult(False)
+    before, (seen, batch) = store.load(), prepared(records)
+    rewritten, added = capture_changes(before, seen, batch, now, complete)
+    committed = store.commit(version, rewritten, added)
+    return RunResult(committed, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
 
 
 def enrich(store: StateTables, records: DataFrame, now, version: int | None = None) -> RunResult:
     version = store.version() + 1 if version is None else version
     if version <= store.version():
-        return RunResult(False, ())
-    rewritten, added = enrichment_changes(store.load(), records, now)
-    return RunResult(store.commit(version, rewritten, added), (*rewritten, *added))
+        return RunResult(False)
+    before, (_, batch) = store.load(), prepared(records)
+    rewritten, added = enrichment_changes(before, batch, now)
+    committed = store.commit(version, rewritten, added)
+    return RunResult(committed, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
+
+
+def logged(spark: SparkSession, log: str, run_id: str, clock: Callable[[], datetime], run: Callable[[], RunResult]) -> RunResult:
+    """Do a run between an opening and a closing row of the run log."""
+    append_log(open_run(spark, run_id, clock()), log)
+    nothing = spark.range(1).select(F.lit(0).alias("read"), F.lit(0).alias("new"))
+    try:
+        result = run()
+        closing = close_run(nothing if result.metrics is None else result.metrics, run_id, clock(), SUCCESS, SUCCESS_MESSAGE)
+    except Exception as error:
+        append_log(close_run(nothing, run_id, clock(), FAILURE, f"{FAILURE_MESSAGE}{error}"), log)
+        raise
+    append_log(closing, log)
+    return result
 
 
 def audit(store: StateTables, snapshot: DataFrame, now, version: int | None = None) -> RunResult:

@@ -8,6 +8,8 @@ committed is skipped, so a replay does nothing.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from claimflow.functions.clock import stamp
 from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 
+WRITERS = 6
 _COMMIT = "version long, table string, path string, whole boolean"
 
 
@@ -68,12 +71,19 @@ class StateTables:
         if version <= self.version():
             return False
         rows = []
-        for changes, whole in ((tables, True), (added or {}, False)):
-            for name, table in changes.items():
-                path = f"{self.root}/{name}/v={version}"
-                fields = [F.col(field.name).cast(field.dataType).alias(field.name) for field in TABLES[name]]
-                table.select(*fields).write.mode("overwrite").parquet(path)
-                rows.append((version, name, path, whole))
+
+        def write(name: str, table: DataFrame, whole: bool) -> None:
+            path = f"{self.root}/{name}/v={version}"
+            fields = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in TABLES[name]]
+            table.selectExpr(*fields).write.mode("overwrite").parquet(path)
+            rows.append((version, name, path, whole))
+
+        # the tables are independent: small ones need not wait for large ones
+        with ThreadPoolExecutor(WRITERS) as pool:
+            jobs = [pool.submit(write, name, table, True) for name, table in tables.items()]
+            jobs += [pool.submit(write, name, table, False) for name, table in (added or {}).items()]
+            for job in jobs:
+                job.result()
         self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(f"{self.root}/commits")
         return True
 

@@ -15,7 +15,7 @@ from claimflow.plans import views as v
 from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 from claimflow.sources.records import read_portal_records
-from claimflow.sources.tables import StateTables, empty
+from claimflow.sources.tables import StateTables, empty, run_summary
 
 NOW = datetime(2026, 3, 10, 12, 0)
 LATER = datetime(2026, 3, 11, 9, 30)
@@ -228,6 +228,31 @@ def test_payload(spark, start, land):
     assert {ana["dataHora"], bob["dataHora"]} == {"2026-03-10T12:00:00", "2026-03-10T12:05:00"}
 
 
+def test_run_log(spark, land, tmp_path):
+    store, log = StateTables(spark, str(tmp_path / "state")), str(tmp_path / "log")
+    store.seed()
+    times = iter([NOW, LATER] * 2)
+    jobs.logged(spark, log, "r1", lambda: next(times), lambda: jobs.capture(store, land(ANA, BOB), NOW))
+
+    def broken():
+        raise ValueError("x" * 5000)
+
+    with pytest.raises(ValueError):
+        jobs.logged(spark, log, "r2", lambda: next(times), broken)
+    runs = {row.run_id: row for row in run_summary(spark.read.parquet(log)).collect()}
+    assert (runs["r1"].status, runs["r1"].read, runs["r1"].new, runs["r1"].seconds) == ("SUCESSO", 2, 2, 77400)
+    assert runs["r2"].status == "ERRO" and len(runs["r2"].message) == 4000 and runs["r2"].ended == LATER
+
+
+def test_local_now(spark):
+    from zoneinfo import ZoneInfo
+
+    from claimflow.functions.clock import local_now
+
+    here = datetime.now(ZoneInfo("America/Sao_Paulo")).replace(tzinfo=None)
+    assert abs((local_now(spark.range(1)).first().now - here).total_seconds()) < 60
+
+
 def test_runs_on_committed_state(spark, land, tmp_path):
     store = StateTables(spark, str(tmp_path / "state"))
     assert store.version() == -1 and store.seed() and not store.seed()
