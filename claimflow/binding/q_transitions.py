@@ -460,13 +460,13 @@ def opening_repair(spark, sf):
       AND p.claim || CASE WHEN file_type = 2 THEN 'T' ELSE '' END IN (SELECT 'C' || o_orderkey FROM orders WHERE o_totalprice > 200000
           UNION SELECT 'C' || o_orderkey || 'T' FROM orders WHERE o_totalprice < 100000)"""))
 def reconcile(spark, sf):
-    from claimflow.binding.q_views import ready
+    from claimflow.plans.views import ready_claims
 
     orders = load(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
     claim = F.concat(F.lit("C"), F.col("o_orderkey"))
     stock = orders.filter("o_totalprice > 200000").select(claim.alias("claim")).unionByName(
         orders.filter("o_totalprice < 100000").select(F.concat(claim, F.lit("T")).alias("claim")))
-    return _queue(t.reconcile(w.queue(spark, sf), ready(spark, sf), stock, NOW))
+    return _queue(t.reconcile(w.queue(spark, sf), ready_claims(w.claims(spark, sf)), stock, NOW))
 
 
 def _snapshot(spark, sf):

@@ -532,7 +532,10 @@ def repair_opening(process: DataFrame, events: DataFrame, floor) -> DataFrame:
 
 
 def reconcile(queue: DataFrame, view: DataFrame, stock: DataFrame, now) -> DataFrame:
-    """Retire pending rows whose treated claim is already in the stock snapshot."""
+    """Retire pending rows whose treated claim is already in the stock snapshot.
+
+    ``view`` needs only the columns of ``views.ready_claims``; the full ready view works too.
+    """
     claims = stock.select(F.col(stock.columns[0]).alias("sinistro_tratado"))
     found = r.exists_in(view.select("id_processo", "sinistro_tratado"), claims, ["sinistro_tratado"])
     return update_where(queue, found.select("id_processo"), "process", F.col("status") == 1, {

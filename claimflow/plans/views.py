@@ -164,6 +164,17 @@ def history(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int | N
     )
 
 
+def ready_claims(t: Tables) -> DataFrame:
+    """Process and treated claim of the ready rows: enough to reconcile them.
+
+    People and vehicles only repeat these rows, so they are not joined.
+    """
+    process = r.with_labels(t["process"], (t["file_type"], "code", "file_type", {"_sigla": "sigla"}))
+    ready = r.exists_in(process, dispatchable(t["queue"]).withColumn("id", F.col("process")), ["id"])
+    return ready.select(
+        F.col("id").alias("id_processo"), c.treated_claim(F.col("_sigla"), F.col("claim")).alias("sinistro_tratado"))
+
+
 def pending_queue(view: DataFrame) -> DataFrame:
     """The ready rows by portal date, missing dates first."""
     return view.orderBy(F.col("data_portal").asc_nulls_first(), "id_fila")

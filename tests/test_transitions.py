@@ -196,6 +196,7 @@ def test_reconcile(spark, start, land):
     stock = spark.createDataFrame([("900001T",), ("900002",), ("900002",)], "claim string")
     out = t.reconcile(state["queue"], v.ready_queue(state), stock, LATER)
     assert rows(out, "process", "status") == [(1, 2), (2, 2), (3, 1)]
+    assert rows(t.reconcile(state["queue"], v.ready_claims(state), stock, LATER), "*") == rows(out, "*")
 
 
 def test_views_multiply_with_parties(spark, start, land):
