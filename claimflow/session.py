@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_OWN_FOLDER = "claimflow.work.dir"
+
 
 def build_session(app: str = "claimflow", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -36,12 +38,12 @@ def work_dir(spark: SparkSession) -> str:
     without that setting gets a temporary folder of its own.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_FOLDER, None)
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="claimflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.conf.set(_OWN_FOLDER, folder)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder.rstrip("/")
