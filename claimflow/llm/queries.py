@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from claimflow.llm import mixing, url_rules
+from claimflow.llm import mixing, quality, toxicity, url_rules
 
 QUERIES = {
+    "op5_toxicity": toxicity.query,
     "op7_url_rules": url_rules.query,
+    "op8_quality": quality.query,
     "op10_mixing": mixing.query,
 }
 ORACLES = {
