@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from claimflow.llm import mixing, quality, toxicity, url_rules
+from claimflow.llm import jaccard_join, mixing, quality, toxicity, url_rules
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.query,
     "op5_toxicity": toxicity.query,
     "op7_url_rules": url_rules.query,
     "op8_quality": quality.query,
     "op10_mixing": mixing.query,
 }
 ORACLES = {
+    "op1_jaccard_join": jaccard_join.SQL,
     "op7_url_rules": url_rules.SQL,
     "op10_mixing": mixing.SQL,
 }

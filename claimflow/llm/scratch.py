@@ -31,3 +31,8 @@ def drop(*tables: DataFrame) -> None:
 def _fs(spark, path):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def release(spark) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished jobs now, not at the driver's next collection."""
+    spark.sparkContext._jvm.System.gc()
