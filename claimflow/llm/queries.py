@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from claimflow.llm import jaccard_join, mixing, quality, toxicity, url_rules
+from claimflow.llm import decontaminate, jaccard_join, mixing, quality, toxicity, url_rules, vectors
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
+    "op4_decontaminate": decontaminate.query,
     "op5_toxicity": toxicity.query,
     "op7_url_rules": url_rules.query,
     "op8_quality": quality.query,
+    "op9_vectors": vectors.query,
     "op10_mixing": mixing.query,
 }
 ORACLES = {
     "op1_jaccard_join": jaccard_join.SQL,
     "op7_url_rules": url_rules.SQL,
+    "op9_vectors": vectors.SQL,
     "op10_mixing": mixing.SQL,
 }
