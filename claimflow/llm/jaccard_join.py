@@ -217,19 +217,28 @@ def links(docs: DataFrame, base: DataFrame, k: int, percent: int) -> tuple[DataF
     typical = _typical(sets, survivors, percent)
     lists = save(_lists(typical, percent), "lists")
     x = _light_boundary(lists, typical, percent)
-    heavy = lists.filter(F.col("n") >= _ceil(x + 1, percent))
-    # each list: its members and the most typical one
+    edges = link_lists(lists.filter(F.col("n") >= _ceil(x + 1, percent)), sets, percent, _light_pairs(sets, typical, x, percent), x)
+    drop(sets, lists, typical)
+    return survivors, edges
+
+
+def link_lists(lists: DataFrame, sets: DataFrame, percent: int, pairs: DataFrame | None = None, light: int = 0) -> DataFrame:
+    """(a, b) links that connect all sets that link and meet in a list.
+
+    lists has (token, band, node, n, m): n the size of the node's set and m the elements it shares
+    with any other set; sets has (node, tokens). ``pairs`` are more candidates; two sets of at most
+    ``light`` elements are left to them. Members are compared with their list's most typical one
+    first. Those that then stay outside the largest group of a list are compared with all of the list.
+    """
     best = F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("node")).alias("node"), "n", "m"))
-    leaders = save(heavy.groupBy("token", "band").agg(best.alias("best"), F.count("*").alias("length")).filter("length > 1"), "leaders")
-    star = heavy.join(leaders, ["token", "band"]).select(
+    leaders = save(lists.groupBy("token", "band").agg(best.alias("best"), F.count("*").alias("length")).filter("length > 1"), "leaders")
+    star = lists.join(leaders, ["token", "band"]).select(
         F.col("node").alias("a"), (-F.col("best.node")).alias("b"), F.col("n").alias("an"), F.col("m").alias("am"),
         F.col("best.n").alias("bn"), F.col("best.m").alias("bm"),
-    ).filter((F.col("a") != F.col("b")) & _possible(percent))
-    first = star.select("a", "b").distinct().union(_light_pairs(sets, typical, x, percent))
-    first = save(_confirmed(first.distinct(), sets, percent), "links")
-    # members that stay apart from the largest group of their list are compared with all of it
+    ).filter((F.col("a") != F.col("b")) & _possible(percent)).select("a", "b").distinct()
+    first = save(_confirmed((star if pairs is None else star.union(pairs)).distinct(), sets, percent), "links")
     labels = save(components(first), "labels")
-    named = heavy.join(leaders.select("token", "band"), ["token", "band"], "left_semi").join(
+    named = lists.join(leaders.select("token", "band"), ["token", "band"], "left_semi").join(
         labels.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     named = save(named, "named")
     groups = named.groupBy("token", "band", "group").agg(F.count("*").alias("many"))
@@ -238,12 +247,11 @@ def links(docs: DataFrame, base: DataFrame, k: int, percent: int) -> tuple[DataF
     apart = named.join(main, ["token", "band"]).filter("group <> main")
     side = lambda p: [F.col("node").alias(p), F.col("n").alias(f"{p}n"), F.col("m").alias(f"{p}m"), F.col("group").alias(f"{p}g")]
     rest = apart.select("token", "band", *side("a")).join(named.select("token", "band", *side("b")), ["token", "band"])
-    rest = rest.filter((F.col("ag") != F.col("bg")) & _possible(percent) & ((F.col("an") > x) | (F.col("bn") > x)))
+    rest = rest.filter((F.col("ag") != F.col("bg")) & _possible(percent) & ((F.col("an") > light) | (F.col("bn") > light)))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     second = save(_confirmed(rest, sets, percent), "links")
-    edges = first.union(second)
-    drop(sets, lists, leaders, labels, named, main, typical)
-    return survivors, edges
+    drop(leaders, labels, named, main)
+    return first.union(second)
 
 
 def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:

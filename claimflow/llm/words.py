@@ -149,3 +149,13 @@ def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     keep = np.ones(len(text), bool)
     keep[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
     return text[keep], value[keep]
+
+
+def group_hashes(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One hash per run first[i] to first[i + 1] of hashes, that depends on their order."""
+    if not len(values):
+        return np.zeros(0, np.uint64)
+    sums = np.empty(len(values) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum((mix(values) | np.uint64(1)) * _power("up", len(values)), out=sums[1:])
+    return mix((sums[first[1:]] - sums[first[:-1]]) * _power("down", len(values) + 1)[first[:-1]] + np.diff(first).astype(np.uint64))
