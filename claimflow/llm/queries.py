@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from claimflow.llm import decontaminate, jaccard_join, mixing, quality, toxicity, url_rules, vectors
+from claimflow.llm import decontaminate, jaccard_join, licenses, mixing, paragraphs, quality, quotations, toxicity, url_rules, vectors
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
+    "op2_quotations": quotations.query,
+    "op3_paragraphs": paragraphs.query,
     "op4_decontaminate": decontaminate.query,
     "op5_toxicity": toxicity.query,
+    "op6_licenses": licenses.query,
     "op7_url_rules": url_rules.query,
     "op8_quality": quality.query,
     "op9_vectors": vectors.query,
@@ -15,6 +18,8 @@ QUERIES = {
 }
 ORACLES = {
     "op1_jaccard_join": jaccard_join.SQL,
+    "op2_quotations": quotations.SQL,
+    "op6_licenses": licenses.SQL,
     "op7_url_rules": url_rules.SQL,
     "op9_vectors": vectors.SQL,
     "op10_mixing": mixing.SQL,
