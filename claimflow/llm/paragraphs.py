@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimflow.llm.columns import fresh_name
 from claimflow.llm.components import components
 from claimflow.llm.jaccard_join import _ceil_column, link_lists
 from claimflow.llm.scratch import drop, release, save
@@ -161,40 +162,50 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     return runs.filter(F.col("n_words") >= least_words).select("doc_id", "first_word", "n_words", "kept_doc_id")
 
 
-def _without(batches):
-    for batch in batches:
-        at = batch.schema.get_field_index("_text")
-        for part in chunks(batch, "_text"):
-            texts = part.column(at).to_pylist()
-            spans = part.column(batch.schema.get_field_index("_spans")).to_pylist()
-            words = words_of(part.column(at))
-            for i, cuts in enumerate(spans):
-                if not cuts:
-                    continue
-                data, first, last = texts[i].encode(), words.first[i], words.first[i + 1]
-                starts = words.start[first:last] - words.base[i]
-                kept, done = [], 0
-                for cut_ in sorted(cuts, key=lambda c: c["first_word"]):
-                    upto = cut_["first_word"] + cut_["n_words"]
-                    if cut_["first_word"] < len(starts):
-                        kept.append(data[done:starts[cut_["first_word"]]])
-                        done = int(starts[upto]) if upto < len(starts) else len(data)
-                texts[i] = (b"".join(kept) + data[done:]).decode()
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == at else part.column(c) for c in range(part.num_columns)], schema=part.schema)
+def _without(text: str, spans: str):
+    def run(batches):
+        for batch in batches:
+            at, of = batch.schema.get_field_index(text), batch.schema.get_field_index(spans)
+            for part in chunks(batch, text):
+                texts, words = part.column(at).to_pylist(), words_of(part.column(at))
+                for i, cuts in enumerate(part.column(of).to_pylist()):
+                    if cuts and texts[i] is not None:
+                        starts = words.start[words.first[i]:words.first[i + 1]] - words.base[i]
+                        texts[i] = _cut(texts[i].encode(), starts, sorted((c["first_word"], c["n_words"]) for c in cuts))
+                columns = [pa.array(texts, pa.string()) if c == at else part.column(c) for c in range(part.num_columns)]
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return run
+
+
+def _cut(data: bytes, starts: np.ndarray, spans: list[tuple[int, int]]) -> str:
+    kept, done = [], 0
+    for first, many in spans:
+        if first < len(starts):
+            kept.append(data[done:starts[first]])
+            done = int(starts[first + many]) if first + many < len(starts) else len(data)
+    return (b"".join(kept) + data[done:]).decode()
 
 
 def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """docs without the passages, in their own columns; n_chars is the length of what is left.
+    """docs without the passages, in their own columns; n_chars, if there, is the length of what is left.
 
     A document of which no word is left goes; one that had no passage is unchanged.
     """
-    spans = passages.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("_spans"))
-    joined = docs.withColumn("_text", F.col("text")).join(spans, "doc_id", "left")
-    left = joined.mapInArrow(_without, joined.schema)
-    left = left.filter(F.col("_spans").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    columns = [F.col("_text").alias(c) if c == "text" else F.when(F.col("_spans").isNull(), F.col(c)).otherwise(F.length("_text")).cast(kind).alias(c)
-               if c == "n_chars" else F.col(c) for c, kind in docs.dtypes]
-    return left.select(*columns)
+    text, spans = fresh_name(docs, "left_text"), fresh_name(docs, "spans")
+    cuts = passages.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias(spans))
+    joined = docs.withColumn(text, F.col("text")).join(cuts, "doc_id", "left").select(*docs.columns, text, spans)
+    left = joined.mapInArrow(_without(text, spans), joined.schema)
+    left = left.filter(F.col(spans).isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+
+    def column(name: str, kind: str):
+        if name == "text":
+            return F.col(text).alias(name)
+        if name == "n_chars":
+            return F.when(F.col(spans).isNull(), F.col(name)).otherwise(F.length(text)).cast(kind).alias(name)
+        return F.col(name)
+
+    return left.select(*[column(name, kind) for name, kind in docs.dtypes])
 
 
 def remove_repeated(docs: DataFrame) -> DataFrame:

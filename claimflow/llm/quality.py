@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.columns import fresh_name
 from claimflow.llm.labelled import held_out, training_rows
 from claimflow.llm.words import Words, chunks, mix, span_hashes, words_of
 
@@ -151,8 +152,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], name: str = "score")
 
 def reject_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bound: int = TRAIN_ROWS) -> DataFrame:
     """The documents with a score of ``threshold`` or more, with their own columns."""
-    scored = score(docs.select("*"), fit(docs, labels, bound=bound), "_quality")
-    return scored.filter(F.col("_quality") >= threshold).select(*docs.columns)
+    name = fresh_name(docs, "quality_score")
+    return score(docs, fit(docs, labels, bound=bound), name).filter(F.col(name) >= threshold).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimflow.llm.columns import fresh_name
 from claimflow.llm.labelled import held_out, training_rows
 from claimflow.llm.scratch import save
 from claimflow.llm.words import Words, chunks, mix, span_hashes, words_of
@@ -180,10 +181,10 @@ _JOINERS = np.frombuffer(b" \t\n\r\x0b\x0c-'./_,", np.uint8)
 _FIXED, _YOU = _hashes(INSULTS), _hashes(SECOND_PERSON)
 
 
-def dense_features(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """docs (with text) and one more column ``_features``, a vector of FEATURES. NULL texts count as empty."""
+def dense_features(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray], name: str = "features") -> DataFrame:
+    """docs (with text) and one more column, a vector of FEATURES. NULL texts count as empty."""
     entry, weight = lexicon
-    schema = docs.select("*", F.lit(None).cast("array<double>").alias("_features")).schema
+    schema = docs.select("*", F.lit(None).cast("array<double>").alias(name)).schema
     at = [c.lower() for c in docs.columns].index("text")
 
     def run(batches):
@@ -194,7 +195,7 @@ def dense_features(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray]) -> D
                 lists = pa.ListArray.from_arrays(np.arange(0, table.size + 1, len(FEATURES), dtype=np.int32), table.ravel())
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=schema.names)
 
-    return docs.mapInArrow(run, schema).withColumn("_features", array_to_vector("_features"))
+    return docs.mapInArrow(run, schema).withColumn(name, array_to_vector(name))
 
 
 Model = tuple[tuple[np.ndarray, np.ndarray], GBTClassificationModel | None, IsotonicRegressionModel | None, float]
@@ -212,18 +213,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: int = T
     order = np.argsort(entry)
     lexicon = entry[order], np.array([row["weight"] for row in learned], float)[order]
     rows = save(
-        dense_features(sample.select("order", "label", "text"), lexicon).select("order", "label", vector_to_array("_features").alias("array")),
+        dense_features(sample.select("order", "label", "text"), lexicon).select("order", "label", vector_to_array("features").alias("array")),
         "toxic-features",
     )
     counts = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return lexicon, None, None, float(next(iter(counts))) if counts else 0.5
-    rows = rows.repartition(1).sortWithinPartitions("order").withColumn("_features", array_to_vector("array"))
+    rows = rows.repartition(1).sortWithinPartitions("order").withColumn("features", array_to_vector("array"))
     calibrating = F.substring("order", 1, 1).isin("0", "1", "2", "3")  # a quarter, by hash of the id
     learning = rows.filter(~calibrating)
     if learning.select("label").distinct().count() < 2:
         learning = rows
-    trees = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, seed=1, maxBins=64).fit(learning)
+    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, seed=1, maxBins=64).fit(learning)
     raw = trees.transform(rows.filter(calibrating)).select("label", vector_to_array("probability")[1].alias("raw"))
     steps = IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw) if raw.head(1) else None
     return lexicon, trees, steps, 0.0
@@ -239,12 +240,14 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     kept = docs.drop(name)
     if trees is None:
         return kept.withColumn(name, F.lit(constant))
-    raw = trees.transform(dense_features(kept, lexicon)).withColumn("_raw", vector_to_array("probability")[1])
-    value = F.col("_raw")
-    if steps is not None:
-        raw = steps.setFeaturesCol("_raw").setPredictionCol("_steps").transform(raw)
-        value = F.col("_steps")
-    return raw.select(*kept.columns, F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)).alias(name))
+    features, margin, parts, raw, label, value = (fresh_name(kept, n) for n in ("features", "margin", "parts", "raw", "label", "value"))
+    trees = trees.copy().setFeaturesCol(features).setRawPredictionCol(margin).setProbabilityCol(parts).setPredictionCol(label)
+    scored = trees.transform(dense_features(kept, lexicon, features)).withColumn(raw, vector_to_array(parts)[1])
+    if steps is None:
+        value = raw
+    else:
+        scored = steps.copy().setFeaturesCol(raw).setPredictionCol(value).transform(scored)
+    return scored.select(*kept.columns, F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)).alias(name))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
