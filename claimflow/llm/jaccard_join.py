@@ -10,8 +10,9 @@ leaves out what cannot link.
 3. Light classes (size <= x) list the subsets of the size that two sets must share: equal subsets
    are links. Heavy classes are found by the inverted lists of their rarest tokens. x minimises
    the cost, subsets listed plus list entries scanned.
-4. A list first ties its members to its most typical one. Only where members stay apart are they
-   compared with each other. Pairs are confirmed on whole sets, and components closed over links.
+4. Members of a list are compared with its most typical one. Only those that stay apart are compared
+   with each other, where what each has in common with it leaves that open. Pairs are confirmed
+   on whole sets, and components closed over links.
 """
 
 from __future__ import annotations
@@ -167,17 +168,23 @@ def _lists(typical: DataFrame, percent: int) -> DataFrame:
     ).select("node", "n", "m", F.col("ranked.token").alias("token"), F.explode(F.array(F.col("first"), F.col("first") + 1)).alias("band"))
 
 
-def _possible(percent: int) -> Column:
-    """Of a pair (a, b): the tokens that each has in common with any other class would do."""
-    return F.least("am", "bm") * (100 + percent) >= (F.col("an") + F.col("bn")) * percent
+def _links(both: Column | str, an: str, bn: str, percent: int) -> Column:
+    """Sets of an and bn elements with so many in common link."""
+    return (F.col(both) if isinstance(both, str) else both) * (100 + percent) >= (F.col(an) + F.col(bn)) * percent
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) pairs that link, compared on whole sets."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b, ..) with ``an``, ``bn`` and the number of elements in ``both``, on whole sets."""
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
-    return pairs.join(a, "a").join(b, "b").filter(both * (100 + percent) >= (F.size("left") + F.size("right")) * percent).select("a", "b")
+    found = pairs.join(a, "a").join(b, "b")
+    both = F.size(F.array_intersect("left", "right")).alias("both")
+    return found.select(*[F.col(c) for c in pairs.columns], F.size("left").alias("an"), F.size("right").alias("bn"), both)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs that link, compared on whole sets."""
+    return _overlaps(pairs, sets).filter(_links("both", "an", "bn", percent)).select("a", "b")
 
 
 def _light_boundary(lists: DataFrame, typical: DataFrame, percent: int) -> int:
@@ -227,30 +234,37 @@ def link_lists(lists: DataFrame, sets: DataFrame, percent: int, pairs: DataFrame
 
     lists has (token, band, node, n, m): n the size of the node's set and m the elements it shares
     with any other set; sets has (node, tokens). ``pairs`` are more candidates; two sets of at most
-    ``light`` elements are left to them. Members are compared with their list's most typical one
-    first. Those that then stay outside the largest group of a list are compared with all of the list.
+    ``light`` elements are left to them.
+
+    Members are first compared with their list's most typical one, the leader: o elements in common. Two
+    members of one leader then have at most min(o, o') + min(m - o, m' - o') in common. Those that
+    stay outside the largest group of their leader are compared with all of its members for which
+    that is enough. Copies of one text with few changes each so need no comparison among each other.
     """
     best = F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("node")).alias("node"), "n", "m"))
-    leaders = save(lists.groupBy("token", "band").agg(best.alias("best"), F.count("*").alias("length")).filter("length > 1"), "leaders")
-    star = lists.join(leaders, ["token", "band"]).select(
-        F.col("node").alias("a"), (-F.col("best.node")).alias("b"), F.col("n").alias("an"), F.col("m").alias("am"),
-        F.col("best.n").alias("bn"), F.col("best.m").alias("bm"),
-    ).filter((F.col("a") != F.col("b")) & _possible(percent)).select("a", "b").distinct()
-    first = save(_confirmed((star if pairs is None else star.union(pairs)).distinct(), sets, percent), "links")
+    leaders = lists.groupBy("token", "band").agg(best.alias("best"), F.count("*").alias("length")).filter("length > 1")
+    leaders = save(leaders.select("token", "band", (-F.col("best.node")).alias("leader")), "leaders")
+    star = lists.join(leaders, ["token", "band"]).select("leader", "node", "n", "m").distinct()
+    star = save(_overlaps(star.withColumnRenamed("leader", "a").withColumnRenamed("node", "b"), sets), "star")
+    linked = star.filter((F.col("a") != F.col("b")) & _links("both", "an", "bn", percent)).select("a", "b")
+    if pairs is not None:
+        linked = linked.union(_confirmed(pairs, sets, percent))
+    first = save(linked, "links")
     labels = save(components(first), "labels")
-    named = lists.join(leaders.select("token", "band"), ["token", "band"], "left_semi").join(
-        labels.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    members = star.select(F.col("a").alias("leader"), F.col("b").alias("node"), F.col("bn").alias("n"), "m", F.col("both").alias("o"))
+    named = members.join(labels.withColumnRenamed("component", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     named = save(named, "named")
-    groups = named.groupBy("token", "band", "group").agg(F.count("*").alias("many"))
-    main = groups.groupBy("token", "band").agg(F.max(F.struct("many", "group")).alias("main"), F.count("*").alias("groups"))
-    main = save(main.filter("groups > 1").select("token", "band", F.col("main.group").alias("main")), "main")
-    apart = named.join(main, ["token", "band"]).filter("group <> main")
-    side = lambda p: [F.col("node").alias(p), F.col("n").alias(f"{p}n"), F.col("m").alias(f"{p}m"), F.col("group").alias(f"{p}g")]
-    rest = apart.select("token", "band", *side("a")).join(named.select("token", "band", *side("b")), ["token", "band"])
-    rest = rest.filter((F.col("ag") != F.col("bg")) & _possible(percent) & ((F.col("an") > light) | (F.col("bn") > light)))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    groups = named.groupBy("leader", "group").agg(F.count("*").alias("many"))
+    main = groups.groupBy("leader").agg(F.max(F.struct("many", "group")).alias("main"), F.count("*").alias("groups"))
+    main = save(main.filter("groups > 1").select("leader", F.col("main.group").alias("main")), "main")
+    side = lambda p: [F.col(c).alias(f"{p}{c}") for c in ("node", "n", "m", "o", "group")]
+    apart = named.join(main, "leader").filter("group <> main").select("leader", *side("a"))
+    shared = F.least("ao", "bo") + F.least(F.col("am") - F.col("ao"), F.col("bm") - F.col("bo"))
+    rest = apart.join(named.select("leader", *side("b")), "leader").filter(
+        (F.col("agroup") != F.col("bgroup")) & _links(shared, "an", "bn", percent) & ((F.col("an") > light) | (F.col("bn") > light)))
+    rest = rest.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
     second = save(_confirmed(rest, sets, percent), "links")
-    drop(leaders, labels, named, main)
+    drop(leaders, star, labels, named, main)
     return first.union(second)
 
 
