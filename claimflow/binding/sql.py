@@ -299,7 +299,7 @@ def compose(body: str) -> str:
     visit(body)
     if not needed:
         return body
-    ctes = ",\n".join(f"{name} AS ({TABLES[name]})" for name in needed)
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({TABLES[name]})" for name in needed)
     for opening in ("WITH RECURSIVE ", "WITH "):
         if body.startswith(opening):
             return f"{opening}{ctes},\n{body.removeprefix(opening)}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -173,8 +174,8 @@ def valid_events(events: DataFrame, need_id: bool) -> DataFrame:
     return events.filter(keep & (F.col("event_id") > 0) if need_id else keep)
 
 
-def normalise_response(responses: DataFrame) -> DataFrame:
-    """(process, status_code, body, error) -> (process, status_code, request_id, message)."""
+def normalise_response(responses: DataFrame, keys: Sequence[str] = ("process",)) -> DataFrame:
+    """(keys, status_code, body, error) -> (keys, status_code, request_id, message)."""
     body = F.when(F.col("status_code") == 204, F.lit(None)).otherwise(F.col("body"))
 
     def key(name: str) -> Column:
@@ -183,7 +184,7 @@ def normalise_response(responses: DataFrame) -> DataFrame:
 
     failed = F.col("status_code").isNull()
     return responses.select(
-        "process",
+        *keys,
         F.coalesce(F.col("status_code"), F.lit(500)).alias("status_code"),
         F.when(~failed, F.coalesce(key("id"), key("acionamentoId"))).alias("request_id"),
         F.when(failed, F.concat(F.lit(CONNECTION_ERROR), F.coalesce(F.col("error"), F.lit(""))))

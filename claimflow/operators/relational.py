@@ -9,26 +9,29 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
 from claimflow.functions.clock import stamp
-from claimflow.session import work_dir
 
 # --- guards -----------------------------------------------------------------
 
 
+def stored_keys(df: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """The distinct keys of ``df`` that are stored.
+
+    A semi or anti join can only broadcast its right side, which must not be the large
+    state. Reducing the state to the keys of the batch first lets Spark broadcast the
+    batch keys, so a small batch never shuffles the state.
+    """
+    wanted = df.select(*keys).distinct()
+    return state.select(*keys).join(wanted, keys, "left_semi").distinct()
+
+
 def exists_in(df: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is stored. The stored keys are deduped before they travel."""
-    return df.join(state.select(*keys).distinct(), keys, "left_semi")
+    """Rows whose key is stored."""
+    return df.join(stored_keys(df, state, keys), keys, "left_semi")
 
 
 def missing_in(df: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not stored.
-
-    An anti join can only broadcast its right side, here the large state. Reducing
-    the state to the keys of the batch first lets Spark broadcast the batch keys,
-    so a small batch never shuffles the state.
-    """
-    wanted = df.select(*keys).distinct()
-    stored = state.select(*keys).join(wanted, keys, "left_semi").distinct()
-    return df.join(stored, keys, "left_anti")
+    """Rows whose key is not stored."""
+    return df.join(stored_keys(df, state, keys), keys, "left_anti")
 
 
 new_records = missing_in
@@ -102,17 +105,21 @@ def top1(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Row with the smallest ``order`` per key, pre-aggregated before the shuffle."""
-    rest = [name for name in df.columns if name not in (key, order)]
-    # the order column decides first, the others only break exact ties
-    first = F.min_by(F.struct(*rest, order), F.col(order))
-    return df.groupBy(key).agg(first.alias("_first")).select(key, *[f"_first.{name}" for name in (*rest, order)]).select(*df.columns)
+    """Row with the smallest ``order`` per key; the other columns, as text, break ties.
+
+    Spark keeps one row per key and map task before the shuffle.
+    """
+    return top1(df, [key], _total(df, key, F.col(order).asc_nulls_last()))
 
 
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    rest = [name for name in df.columns if name not in (key, order)]
-    last = F.max_by(F.struct(*rest, order), F.col(order))
-    return df.groupBy(key).agg(last.alias("_last")).select(key, *[f"_last.{name}" for name in (*rest, order)]).select(*df.columns)
+    """Row with the largest ``order`` per key; ties as in ``first_per_key``."""
+    return top1(df, [key], _total(df, key, F.col(order).desc_nulls_last()))
+
+
+def _total(df: DataFrame, key: str, order: Column) -> list[Column]:
+    rest = [name for name in df.columns if name != key]
+    return [order, F.to_json(F.struct(*rest))]
 
 
 def first_row(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -188,57 +195,15 @@ def changed_count(before: DataFrame, after: DataFrame, key: str, columns: list[s
     return old.join(new, key).agg(F.count_if(~F.col("_old").eqNullSafe(F.col("_new"))).alias("changed"))
 
 
-# --- star join with hot keys ------------------------------------------------
+# --- satellites of a base table ---------------------------------------------
 
 
-def hot_keys(key: str, satellites: dict[str, DataFrame], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows in some satellite, and the largest of those.
+def with_every_key(satellite: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The satellite's rows of the given keys, and a row of NULLs for each key without any.
 
-    One pass over the key columns, counted per map task before the shuffle. At most
-    ``total rows / hot_rows`` keys come out.
+    Joined inner, this is a left join whose satellite may be split at a hot key: of a plain left
+    join Spark can only split the left side. ``keys`` is unique.
     """
-    sizes = reduce(
-        DataFrame.unionByName, [df.select(key, F.lit(name).alias("_name")) for name, df in satellites.items()]
-    ).groupBy(key, "_name").count().filter(F.col("count") > hot_rows)
-    return sizes.groupBy(key).agg(F.max_by("_name", F.struct("count", "_name")).alias("_spread"))
-
-
-def star_join(
-    base: DataFrame, key: str, satellites: list[tuple[str, DataFrame, str]], hot_rows: int | None = 1_000_000,
-    salts: int = 64,
-) -> DataFrame:
-    """Join satellites (name, table, join type) to ``base`` without loading a hot key into one task.
-
-    A left join must keep every row of its left side, so Spark cannot split a hot key
-    of the right side. The hot keys are therefore looked for first; without any, which
-    is the normal case, the joins are plain. For a hot key the largest satellite
-    spreads its rows over the salts and everything else is repeated per salt. A base
-    row whose salt drew nothing from that satellite is dropped again: the satellite is
-    known to hold the key, so another copy matched.
-
-    Satellites are spread by a hash of their columns, so they need a row id.
-    """
-    hot = None
-    if hot_rows is not None:
-        work_dir(base.sparkSession)
-        found = hot_keys(key, {name: df for name, df, _ in satellites}, hot_rows).checkpoint()
-        hot = None if found.isEmpty() else F.broadcast(found)
-    if hot is None:
-        return reduce(lambda left, satellite: left.join(satellite[1], key, satellite[2]), satellites, base)
-
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    once = F.array(F.lit(0))
-    out = base.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_spread").isNull(), once).otherwise(every))
-    )
-    for name, df, how in satellites:
-        own = F.array(F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-        salt = F.when(F.col("_side").isNull(), once).when(F.col("_side") == name, own).otherwise(every)
-        side = (
-            df.join(hot.withColumnRenamed("_spread", "_side"), key, "left")
-            .withColumn("_salt", F.explode(salt)).drop("_side").withColumn("_hit", F.lit(True))
-        )
-        out = out.join(side, [key, "_salt"], how)
-        spare = (F.col("_spread") == name) & F.col("_hit").isNull()
-        out = out.filter(~F.coalesce(spare, F.lit(False))).drop("_hit")
-    return out.drop("_spread", "_salt")
+    held = satellite.join(keys, key, "left_semi")
+    bare = keys.join(satellite.select(key), key, "left_anti")
+    return held.unionByName(bare, allowMissingColumns=True)

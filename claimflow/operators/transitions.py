@@ -500,7 +500,9 @@ def sync_known(state: State, batch: DataFrame, now) -> State:
 def disappeared(history: DataFrame, batch: DataFrame) -> DataFrame:
     """Open (user, process) pairs of the users in the batch that the batch no longer shows."""
     pairs = batch.select("user_id", F.col("id").alias("process")).dropna()
-    active = r.exists_in(history.filter(F.col("is_current") == 1).select("user_id", "process"), pairs, ["user_id"])
+    # few users: their list is the small side, and the history stays where it is
+    users = pairs.select("user_id").distinct()
+    active = history.filter(F.col("is_current") == 1).select("user_id", "process").join(users, "user_id", "left_semi")
     return r.missing_from(active, pairs, ["user_id", "process"]).distinct()
 
 
@@ -562,10 +564,13 @@ def snapshot_status(status: Column, text: Column) -> Column:
 
 
 def audited(process: DataFrame, snapshot: DataFrame, now) -> DataFrame:
-    """(id, found): stale processes with the status the snapshot (process, status, status_text) shows."""
-    seen = snapshot.groupBy("process").agg(
-        F.max(snapshot_status(F.col("status"), F.col("status_text"))).alias("found")
-    )
+    """(id, found): stale processes with the status the snapshot (process, status, status_text) shows.
+
+    Of several rows of a process the latest ``captured_at`` counts, where the snapshot has it, then the highest status.
+    """
+    found = snapshot_status(F.col("status"), F.col("status_text"))
+    taken = [F.col("captured_at")] if "captured_at" in snapshot.columns else []
+    seen = snapshot.filter(found.isNotNull()).groupBy("process").agg(F.max_by(found, F.struct(*taken, found)).alias("found"))
     return stale_open(process, now).select("id").join(seen.withColumnRenamed("process", "id"), "id", "left")
 
 
@@ -600,8 +605,12 @@ def outcome_status(code: Column) -> Column:
 
 
 def apply_outcomes(queue: DataFrame, outcomes: DataFrame, now) -> DataFrame:
-    """Queue rows after a send attempt; ``outcomes`` has one (queue_id, status, message, slot) per row."""
-    news = outcomes.select(
+    """Queue rows after a send attempt: (queue_id, status, message, slot) of ``outcomes``.
+
+    Of several outcomes of one queue row the latest slot counts, so a queue row stays one row.
+    """
+    one = r.top1(outcomes, ["queue_id"], [F.col("slot").desc_nulls_last(), F.col("status"), F.col("message")])
+    news = one.select(
         F.col("queue_id").alias("id"), F.col("status").alias("_status"), F.col("message").alias("_message"),
         F.col("slot").alias("_slot"), F.lit(True).alias("_hit"),
     )

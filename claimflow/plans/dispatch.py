@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
 from claimflow.functions.clock import stamp
+from claimflow.operators import relational as r
 from claimflow.operators import transitions as t
 from claimflow.operators.normalise import normalise_response
 from claimflow.operators.slots import assign_slots, fresh_or_now
@@ -84,9 +85,11 @@ def build_payload(rows: DataFrame, requester: Column, service: Column, nature: C
 
 
 # Several parties of a role repeat a queue row; these columns tell the repeats apart.
+# Rows that agree in all of them have the same payload but for the slot.
 ORDER = (
     "data_portal", "id_fila", "nome_segurado", "nome_corretor", "email_corretor", "nome_analista_seguradora",
-    "email_analista_seguradora", "placa_veiculo",
+    "email_analista_seguradora", "placa_veiculo", "doc_formatado", "ddd_segurado", "tel_segurado", "email_segurado",
+    "tel_corretor", "chassi_veiculo", "tipo_envolvido_id",
 )
 
 
@@ -115,22 +118,29 @@ def outcome_message(message: Column, warnings: Column | None = None) -> Column:
 
 
 def outcomes(sent: DataFrame, responses: DataFrame) -> DataFrame:
-    """One outcome per sent row (queue_id, process, slot) from its landed response."""
-    answers = normalise_response(responses)
-    return sent.join(answers, "process").select(
+    """One outcome per sent row (queue_id, process, slot) from its landed response.
+
+    Responses may name the queue row (``queue_id``) and their time (``received_at``). Of several for one
+    queue row, or for one process where rows are not named, the latest counts.
+    """
+    key = ["process", *[name for name in ("queue_id",) if name in responses.columns]]
+    latest = [F.col("received_at").desc_nulls_last()] if "received_at" in responses.columns else []
+    one = r.top1(responses, key, [*latest, F.col("status_code").asc_nulls_last(), F.col("body"), F.col("error")])
+    answers = normalise_response(one, key)
+    return sent.join(answers, key).select(
         "queue_id", "process", "slot", "status_code", t.outcome_status(F.col("status_code")).alias("status"),
         "request_id", outcome_message(F.col("message")).alias("message"),
     )
 
 
-def build_notification(rows: DataFrame, now) -> DataFrame:
-    """Flat message record of ready rows joined with their outcome (status, request_id, message)."""
+def build_notification(rows: DataFrame, now, to: str = NOTIFY_TO) -> DataFrame:
+    """Flat message record of ready rows joined with their outcome (status, request_id, message); ``to`` lists the recipients."""
 
     def text(name: str, default: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(default))
 
     return rows.select(
-        F.lit(NOTIFY_TO).alias("email_destino"),
+        F.lit(to).alias("email_destino"),
         (F.col("status") == 2).alias("sucesso"),
         text("cia", t.COMPANY).alias("cia"),
         F.date_format(stamp(now), "dd/MM/yyyy").alias("data"),

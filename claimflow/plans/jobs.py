@@ -15,7 +15,7 @@ from claimflow.operators import transitions as t
 from claimflow.plans import dispatch as d
 from claimflow.plans.views import ready_queue
 from claimflow.session import work_dir
-from claimflow.sources.tables import StateTables, append_log, close_run, open_run
+from claimflow.sources.tables import CommitRefused, StateTables, append_log, close_run, open_run
 
 # Events before this date do not count for the opening date; how a run ends.
 EVENT_FLOOR = "2026-01-01 00:00:00"
@@ -72,24 +72,34 @@ def enrichment_changes(state: t.State, batch: DataFrame, now) -> tuple[t.State,
     return rewritten, {name: rows for name, rows in added.items() if name not in rewritten}
 
 
-def capture(store: StateTables, records: DataFrame, now, version: int | None = None, complete: bool = True) -> RunResult:
-    version = store.version() + 1 if version is None else version
-    if version <= store.version():
+def _commit(store: StateTables, version: int, rewritten: t.State, added: t.State | None = None, marker: str | None = None) -> None:
+    if not store.commit(version, rewritten, added, marker):
+        raise CommitRefused(f"version {version} was committed by another run")
+
+
+def capture(
+    store: StateTables, records: DataFrame, now, version: int | None = None, complete: bool = True, marker: str | None = None,
+) -> RunResult:
+    """Capture run. Without ``version`` it takes the next one; a given one that is committed is skipped, and so is a booked ``marker``."""
+    last = store.version()
+    version = last + 1 if version is None else version
+    if version <= last or marker is not None and store.booked(marker):
         return RunResult(False)
     before, (seen, batch) = store.load(), prepared(records)
     rewritten, added = capture_changes(before, seen, batch, now, complete)
-    committed = store.commit(version, rewritten, added)
-    return RunResult(committed, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
+    _commit(store, version, rewritten, added, marker)
+    return RunResult(True, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
 
 
 def enrich(store: StateTables, records: DataFrame, now, version: int | None = None) -> RunResult:
-    version = store.version() + 1 if version is None else version
-    if version <= store.version():
+    last = store.version()
+    version = last + 1 if version is None else version
+    if version <= last:
         return RunResult(False)
     before, (_, batch) = store.load(), prepared(records)
     rewritten, added = enrichment_changes(before, batch, now)
-    committed = store.commit(version, rewritten, added)
-    return RunResult(committed, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
+    _commit(store, version, rewritten, added)
+    return RunResult(True, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
 
 
 def logged(spark: SparkSession, log: str, run_id: str, clock: Callable[[], datetime], run: Callable[[], RunResult]) -> RunResult:
@@ -110,7 +120,8 @@ def audit(store: StateTables, snapshot: DataFrame, now, version: int | None = No
     version = store.version() + 1 if version is None else version
     before = store.load("process", "queue", "user_history")
     changed = t.audit_close(before, snapshot, now)
-    return RunResult(store.commit(version, changed), tuple(changed))
+    _commit(store, version, changed)
+    return RunResult(True, tuple(changed))
 
 
 def outbox(store: StateTables, now) -> DataFrame:
@@ -123,12 +134,11 @@ def record_outcomes(store: StateTables, sent: DataFrame, responses: DataFrame, n
     """Book the responses of an outbox; returns the outcomes worth a message."""
     version = store.version() + 1 if version is None else version
     before = store.load("queue", "sla")
-    rows = sent.select(F.col("id_fila").alias("queue_id"), F.col("id_processo").alias("process"),
-                       F.col("data_agendada").alias("slot"))
     work_dir(sent.sparkSession)
-    # several parties multiply a queue row; its last slot counts
-    one = rows.groupBy("queue_id", "process").agg(F.max("slot").alias("slot"))
+    # several parties multiply a queue row; the slot of the last one in the order of sending counts
+    one = sent.groupBy(F.col("id_fila").alias("queue_id"), F.col("id_processo").alias("process")).agg(
+        F.max_by("data_agendada", F.struct(*d.ORDER)).alias("slot"))
     booked = d.outcomes(one, responses).checkpoint()
-    store.commit(version, {
+    _commit(store, version, {
         "queue": t.apply_outcomes(before["queue"], booked, now), "sla": t.stamp_sla(before["sla"], booked, now)})
     return t.notifications(booked)

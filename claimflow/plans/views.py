@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
 from claimflow.operators import relational as r
-from claimflow.session import work_dir
 
 Tables = dict[str, DataFrame]
 
@@ -19,11 +18,11 @@ def dispatchable(queue: DataFrame) -> DataFrame:
     return queue.filter(F.col("status").isin(1, 3) & (F.col("active") == 1))
 
 
-def _labelled_process(t: Tables, user_columns: dict[str, str]) -> DataFrame:
+def _labelled_process(process: DataFrame, history: DataFrame, t: Tables, user_columns: dict[str, str]) -> DataFrame:
     """One row per process with its labels and current user, before anything multiplies it."""
-    user = r.current_user(t["user_history"]).withColumnsRenamed({"process": "id", "user_id": "_user", "left_at": "_left_at"})
+    user = r.current_user(history).withColumnsRenamed({"process": "id", "user_id": "_user", "left_at": "_left_at"})
     return r.with_labels(
-        t["process"].join(user, "id", "left"),
+        process.join(user, "id", "left"),
         (t["file_type"], "code", "file_type", {"_sigla": "sigla", "_file_label": "label"}),
         (t["portal_status"], "code", "portal_status", {
             "_status_label": "label", "_context": "context", "_operator_code": "operator_status"}),
@@ -36,24 +35,28 @@ def _labelled_process(t: Tables, user_columns: dict[str, str]) -> DataFrame:
 ROLES = {"insured": (1, 2), "broker": (3,), "analyst": (4,)}
 
 
-def _parties(t: Tables, contact_tie: tuple[str, ...]) -> dict[str, DataFrame]:
-    """Parties by role with their best e-mail and phone."""
-    best = r.best_contact(t["contact"], {"email": 3, "phone": 2}, tie=contact_tie).withColumnRenamed("party", "id")
-    work_dir(best.sparkSession)
-    # three roles read it: written once, contacts are scanned and aggregated once
-    shared = t["party"].join(best, "id", "left").checkpoint()
+def _parties(t: Tables, keys: DataFrame, contact_tie: tuple[str, ...]) -> dict[str, DataFrame]:
+    """Parties of the given processes by role with their best e-mail and phone; at least one row per process.
+
+    Contacts are cut down to these parties before they are aggregated. A role's filter reaches its
+    scan of the parties; Spark reuses the exchange of the contacts for all three.
+    """
+    party = t["party"].join(keys.withColumnRenamed("_process", "process"), "process", "left_semi")
+    contact = t["contact"].join(party.select(F.col("id").alias("party")), "party", "left_semi")
+    best = r.best_contact(contact, {"email": 3, "phone": 2}, tie=contact_tie).withColumnRenamed("party", "id")
 
     def role(prefix: str, types: tuple[int, ...]) -> DataFrame:
-        rows = r.party_of_type(shared, *types)
+        rows = r.party_of_type(party, *types).join(best, "id", "left")
         names = ("id", "type", "name", "tax_id", "email_value", "phone_area", "phone_value")
-        return rows.select(F.col("process").alias("_process"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
+        rows = rows.select(F.col("process").alias("_process"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
+        return r.with_every_key(rows, keys, "_process")
 
     return {name: role(name, types) for name, types in ROLES.items()}
 
 
-def _vehicle(t: Tables) -> DataFrame:
+def _vehicle(vehicle: DataFrame) -> DataFrame:
     names = ("id", "plate", "chassis", "brand", "model", "submodel", "year", "encumbered", "value")
-    return t["vehicle"].select(F.col("process").alias("_process"), *[F.col(n).alias(f"vehicle_{n}") for n in names])
+    return _prefixed(vehicle, "vehicle", names)
 
 
 def _vehicle_columns() -> list:
@@ -69,16 +72,23 @@ def _prefixed(table: DataFrame, prefix: str, names: tuple[str, ...]) -> DataFram
     return table.select(F.col("process").alias("_process"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
 
 
-def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int | None = 1_000_000) -> DataFrame:
-    """Dispatchable queue rows, 37 columns. Several parties of a role multiply a row, as they should."""
-    parties = _parties(t, contact_tie)
+def _of(table: DataFrame, keys: DataFrame, name: str = "process") -> DataFrame:
+    """The table's rows of the given processes."""
+    return table.join(keys.withColumnRenamed("_process", name), name, "left_semi")
+
+
+def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Dispatchable queue rows, 37 columns. Several parties of a role multiply a row, as they should.
+
+    The queue is filtered first, and every other table is cut down to its processes.
+    """
     queue = _prefixed(dispatchable(t["queue"]), "queue", ("id", "slot"))
-    rows = r.star_join(
-        _labelled_process(t, {"_user_name": "name", "_user_email": "email"}), "_process",
-        [("queue", queue, "inner"), *[(role, df, "left") for role, df in parties.items()],
-         ("vehicle", _vehicle(t), "left")],
-        hot_rows=hot_rows,
-    )
+    keys = _of(t["process"], queue.select("_process").distinct(), "id").select(F.col("id").alias("_process"))
+    process = _labelled_process(
+        _of(t["process"], keys, "id"), _of(t["user_history"], keys), t, {"_user_name": "name", "_user_email": "email"})
+    rows = process.join(queue, "_process").join(_vehicle(_of(t["vehicle"], keys)), "_process", "left")
+    for role in _parties(t, keys, contact_tie).values():
+        rows = rows.join(role, "_process")
     return rows.select(
         F.col("queue_id").alias("id_fila"),
         F.col("_process").alias("id_processo"),
@@ -113,23 +123,21 @@ def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int
     )
 
 
-def history(t: Tables, contact_tie: tuple[str, ...] = ("id",), hot_rows: int | None = 1_000_000) -> DataFrame:
+def history(t: Tables, contact_tie: tuple[str, ...] = ("id",)) -> DataFrame:
     """Every process with its queue, SLA, people and vehicle, 37 columns."""
-    parties = _parties(t, contact_tie)
+    keys = t["process"].select(F.col("id").alias("_process"))
+    parties = _parties(t, keys, contact_tie)
     insured = r.with_labels(parties["insured"], (t["party_type"], "code", "insured_type", {"insured_role": "label"}))
     queue = r.with_labels(
         _prefixed(t["queue"], "queue", ("id", "status", "message")),
         (t["queue_status"], "code", "queue_status", {"queue_sigla": "sigla"}),
     )
     changes = r.last_change(t["process"], t["event"], t["step"]).withColumnRenamed("id", "_process")
-    base = _labelled_process(t, {"_user_name": "name"}).join(changes, "_process", "left")
-    rows = r.star_join(
-        base, "_process",
-        [("queue", queue, "left"), ("sla", _prefixed(t["sla"], "sla", ("id", "captured", "sent")), "left"),
-         ("vehicle", _vehicle(t), "left"), ("insured", insured, "left"),
-         ("broker", parties["broker"], "left"), ("analyst", parties["analyst"], "left")],
-        hot_rows=hot_rows,
-    )
+    rows = _labelled_process(t["process"], t["user_history"], t, {"_user_name": "name"}).join(changes, "_process", "left")
+    for satellite in (queue, _prefixed(t["sla"], "sla", ("id", "captured", "sent")), _vehicle(t["vehicle"])):
+        rows = rows.join(satellite, "_process", "left")
+    for role in (insured, parties["broker"], parties["analyst"]):
+        rows = rows.join(role, "_process")
     return rows.select(
         F.col("_process").alias("id_processo"),
         c.treated_claim(F.col("_sigla"), F.col("claim")).alias("sinistro_tratado"),

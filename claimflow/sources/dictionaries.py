@@ -64,7 +64,14 @@ def dictionaries(spark: SparkSession, *names: str) -> dict[str, DataFrame]:
         "area_code": [(*row, 1) for row in area_rows()],
         "parameter": PARAMETERS,
     }
-    return {name: spark.createDataFrame(rows, TABLES[name]) for name, rows in seeds.items() if not names or name in names}
+    return {name: _inline(spark, name, rows) for name, rows in seeds.items() if not names or name in names}
+
+
+def _inline(spark: SparkSession, name: str, rows: list[tuple]) -> DataFrame:
+    """Rows inside the plan: Spark knows that they are few, and broadcasts them by size."""
+    fields = TABLES[name].fields
+    listed = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows])
+    return spark.range(1).select(F.inline(listed))
 
 
 def load_area_map(areas: DataFrame) -> DataFrame:
@@ -85,11 +92,3 @@ def param_number(params: DataFrame, keys: dict[str, str]) -> DataFrame:
     return params.filter(F.col("key").isin(*keys.values())).agg(
         *[F.max(F.when(F.col("key") == key, F.col("number"))).cast("long").alias(name) for name, key in keys.items()]
     )
-
-
-def file_type_sigla(code: Column) -> Column:
-    """Short name of a file type, straight from the fixed seed rows."""
-    out = F.lit(None).cast("string")
-    for number, sigla, _ in FILE_TYPES:
-        out = F.when(code == number, F.lit(sigla)).otherwise(out)
-    return out

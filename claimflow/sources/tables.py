@@ -3,12 +3,15 @@
 State tables are plain parquet. A transition never overwrites what it reads: new rows
 and rewritten tables go to new folders, and appended commit lines make them visible
 together. A run that only adds rows writes only those rows. A version that is already
-committed is skipped, so a replay does nothing.
+committed is skipped. A commit may carry a marker that says what it booked, so that a
+replay is recognised whatever else was committed in between.
 """
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +21,11 @@ from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 
 WRITERS = 6
-_COMMIT = "version long, table string, path string, whole boolean"
+_COMMIT = "version long, table string, path string, whole boolean, marker string"
+
+
+class CommitRefused(RuntimeError):
+    """Another writer has committed this version; nothing of the run is visible."""
 
 
 def load(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -42,12 +49,32 @@ class StateTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def _commits(self) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        fs, path = self._path("commits")
+        if not fs.exists(path):
             return self.spark.createDataFrame([], _COMMIT)
         return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
 
+    def _publish(self, version: int, rows: list[tuple]) -> None:
+        """One file per version, which only one writer can create."""
+        fs, path = self._path(f"commits/{version:012d}.json")
+        names = [column.split()[0] for column in _COMMIT.split(", ")]
+        text = "".join(json.dumps(dict(zip(names, row))) + "\n" for row in rows)
+        try:
+            out = fs.create(path, False)
+        except Exception as error:
+            raise CommitRefused(f"version {version} is taken") from error
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+
+    def booked(self, marker: str) -> bool:
+        """Whether a commit with this marker is visible."""
+        return not self._commits().filter(F.col("marker") == marker).isEmpty()
+
     def version(self) -> int:
         """Last committed version, -1 for none."""
         return self._commits().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
@@ -66,17 +93,23 @@ class StateTables:
             for name in names or tuple(TABLES)
         }
 
-    def commit(self, version: int, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None) -> bool:
-        """Write rewritten ``tables`` and the rows ``added`` to others, and publish them together."""
+    def commit(
+        self, version: int, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, marker: str | None = None,
+    ) -> bool:
+        """Write rewritten ``tables`` and the rows ``added`` to others, and publish them together.
+
+        False for a version that is already committed; ``CommitRefused`` if another writer takes it meanwhile.
+        """
         if version <= self.version():
             return False
         rows = []
 
         def write(name: str, table: DataFrame, whole: bool) -> None:
-            path = f"{self.root}/{name}/v={version}"
+            # a folder of its own: a refused writer leaves nothing that another one reads
+            path = f"{self.root}/{name}/v={version}-{uuid4().hex}"
             fields = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in TABLES[name]]
             table.selectExpr(*fields).write.mode("overwrite").parquet(path)
-            rows.append((version, name, path, whole))
+            rows.append((version, name, path, whole, marker))
 
         # the tables are independent: small ones need not wait for large ones
         with ThreadPoolExecutor(WRITERS) as pool:
@@ -84,9 +117,13 @@ class StateTables:
             jobs += [pool.submit(write, name, table, False) for name, table in (added or {}).items()]
             for job in jobs:
                 job.result()
-        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.mode("append").json(f"{self.root}/commits")
+        self._publish(version, rows)
         return True
 
+    def compact(self, *names: str) -> bool:
+        """Rewrite tables as one folder each, so that a scan no longer lists what each run added."""
+        return self.commit(self.version() + 1, self.load(*names))
+
     def seed(self) -> bool:
         """Version 0: the dictionaries."""
         return self.commit(0, dictionaries(self.spark))
@@ -120,8 +157,8 @@ def close_run(metrics: DataFrame, run_id: str, now, status: str, message: str) -
 
 
 def run_summary(log: DataFrame) -> DataFrame:
-    """One row per run: start, end, seconds and what the latest row says."""
-    last = F.max_by(F.struct("status", "read", "new", "message"), "logged_at")
+    """One row per run: start, end, seconds and what the latest row says; at one time, a closing row is later."""
+    last = F.max_by(F.struct("status", "read", "new", "message"), F.struct("logged_at", F.col("status") != "RODANDO"))
     return (
         log.groupBy("run_id")
         .agg(F.min("logged_at").alias("started"), F.max("logged_at").alias("latest"), last.alias("last"))

@@ -1,9 +1,7 @@
 """Joins and aggregates against plain Python."""
 
 import random
-from collections import defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 from claimflow.operators import quality as q
@@ -19,27 +17,20 @@ def none_first(rows):
     return sorted(rows, key=lambda row: tuple((v is not None, str(v)) for v in row))
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1, 5, 1000])
-def test_star_join_is_a_chain_of_joins(spark, hot_rows):
-    rng = random.Random(3)
-    base = [(k, f"b{k}") for k in range(30)]
-    # key 1 is hot in a, key 2 in both, key 3 only in b; many keys are absent
-    a = [(1, i) for i in range(40)] + [(2, 100 + i) for i in range(9)] + [(k, 1000 + k) for k in range(5, 15)]
-    b = [(2, i) for i in range(30)] + [(3, 100 + i) for i in range(50)] + [(rng.randrange(5, 40), 1000 + i) for i in range(20)]
-    c = [(k, k * 10) for k in range(0, 30, 2)]
-    dfs = [spark.createDataFrame(rows, f"k long, {name} long") for name, rows in (("a", a), ("b", b), ("c", c))]
-    left = spark.createDataFrame(base, "k long, name string")
-    out = r.star_join(left, "k", [("a", dfs[0], "left"), ("b", dfs[1], "left"), ("c", dfs[2], "inner")], hot_rows=hot_rows, salts=8)
+def test_with_every_key_is_a_left_join(spark):
+    satellite = spark.createDataFrame([(1, i) for i in range(40)] + [(3, 7), (9, 8), (None, 9)], "k long, v long")
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "k long")
+    out = r.with_every_key(satellite, keys, "k")
+    assert none_first(tuple(row) for row in out.collect()) == none_first([(1, i) for i in range(40)] + [(2, None), (3, 7)])
 
-    def index(rows):
-        found = defaultdict(list)
-        for key, value in rows:
-            found[key].append(value)
-        return found
 
-    ia, ib, ic = index(a), index(b), index(c)
-    expected = [(k, name, x, y, z) for k, name in base for x in ia[k] or [None] for y in ib[k] or [None] for z in ic[k]]
-    assert none_first(tuple(row) for row in out.select("k", "name", "a", "b", "c").collect()) == none_first(expected)
+def test_small_batches_do_not_shuffle_the_state(spark):
+    state = spark.range(1000).withColumnRenamed("id", "k")
+    batch = spark.createDataFrame([(1, "a")], "k long, v string").limit(1)
+    for guard in (r.exists_in, r.missing_in):
+        plan = guard(batch, state, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" in plan
+    assert rows_of(r.exists_in(batch, state, ["k"])) == [(1, "a")]
 
 
 def test_best_contact(spark):
@@ -62,6 +53,14 @@ def test_guards(spark):
     assert rows_of(r.missing_from(state, batch, ["id"])) == [(3,)]
 
 
+def test_ties_do_not_depend_on_row_order(spark):
+    rows = [(1, "b", 5), (1, "a", 5), (2, None, 1), (2, "z", 1)]
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "k long, v string, o long").coalesce(1)
+        assert rows_of(r.first_per_key(df.filter("k = 1"), "k", "o")) == [(1, "a", 5)]
+        assert r.last_per_key(df, "k", "o").filter("k = 2").first().v == r.first_per_key(df, "k", "o").filter("k = 2").first().v
+
+
 def test_first_and_last_per_key(spark):
     rows = [(1, "x", 3), (1, None, 2), (2, "z", 1)]
     df = spark.createDataFrame(rows, "k int, v string, o int")

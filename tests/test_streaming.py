@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from claimflow.operators.slots import assign_slots
+from claimflow.plans import jobs
 from claimflow.sources.tables import StateTables
 from claimflow.streaming import ingest as i
 
@@ -58,5 +59,34 @@ def test_ingest(spark, tmp_path):
     run("progress")
     assert sorted(row.id for row in store.load("process")["process"].collect()) == [1, 2, 3, 4]
     assert store.version() == 2
-    run("lost-progress")  # everything is replayed, nothing changes
-    assert store.version() == 2 and store.load("queue")["queue"].count() == 4
+    run("lost-progress")  # everything is read again, and known records are only synchronised
+    assert sorted(row.id for row in store.load("process")["process"].collect()) == [1, 2, 3, 4]
+    assert store.load("queue")["queue"].count() == 4
+
+
+def test_ingest_beside_other_runs(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = StateTables(spark, str(tmp_path / "state"))
+    store.seed()
+
+    def run(number, *ids):
+        text = "\n".join(json.dumps({"idProcesso": n, "noSinistro": str(n), "idUsuario": 1}) for n in ids)
+        (landing / f"{number}.json").write_text(text)
+        i.run_to_end(i.ingest_stream(spark, str(landing), store, str(tmp_path / "progress"), lambda: "2026-03-10 12:00:00"))
+
+    run(0, 1, 2)
+    snapshot = spark.createDataFrame([(1, 22, None)], "process long, status int, status_text string")
+    jobs.audit(store, snapshot, "2026-05-10 12:00:00")
+    run(1, 3, 4)
+    state = store.load("process", "queue", "user_history")
+    assert sorted(row.id for row in state["process"].collect()) == [1, 2, 3, 4]
+    assert sorted(row.process for row in state["queue"].collect()) == [1, 2, 3, 4]
+    assert state["user_history"].select("process").distinct().count() == 4
+    # the last batch again, as after a crash between its commit and its progress
+    for name in ("1", ".1.crc"):
+        (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
+    before = store.version()
+    run(2, 5)
+    assert sorted(row.id for row in store.load("process")["process"].collect()) == [1, 2, 3, 4, 5]
+    assert store.version() == before + 1

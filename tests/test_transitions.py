@@ -15,7 +15,7 @@ from claimflow.plans import views as v
 from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 from claimflow.sources.records import read_portal_records
-from claimflow.sources.tables import StateTables, empty, run_summary
+from claimflow.sources.tables import CommitRefused, StateTables, empty, run_summary
 
 NOW = datetime(2026, 3, 10, 12, 0)
 LATER = datetime(2026, 3, 11, 9, 30)
@@ -205,7 +205,7 @@ def test_views_multiply_with_parties(spark, start, land):
     extra = spark.createDataFrame([(77, 2, 1, "Second", None, None), (78, 2, 1, "Third", None, None)], state["party"].schema)
     more = {**state, "party": state["party"].unionByName(extra)}
     assert v.ready_queue(more).filter("id_processo = 2").count() == 3
-    assert v.history(more, hot_rows=1).filter("id_processo = 2").count() == 3
+    assert v.history(more).filter("id_processo = 2").count() == 3
     none = {**state, "party": state["party"].filter("process <> 3")}
     assert v.ready_queue(none).filter("id_processo = 3").first().nome_segurado is None
     assert len(v.ready_queue(state).columns) == 37 and len(v.history(state).columns) == 37
@@ -254,6 +254,47 @@ def test_local_now(spark):
     assert abs((local_now(spark.range(1)).first().now - here).total_seconds()) < 60
 
 
+def test_building_a_view_runs_no_job(spark, start, land):
+    state, _ = loaded(start, land(ANA, BOB))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("views", "building")
+    v.register_views(spark, state)
+    assert list(tracker.getJobIdsForGroup("views")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_one_outcome_per_queue_row(spark):
+    sent = spark.createDataFrame([(1, 7, NOW), (2, 7, LATER)], "queue_id long, process long, slot timestamp_ntz")
+    responses = spark.createDataFrame(
+        [(7, 500, None, "x", NOW), (7, 201, '{"id":3}', None, LATER), (7, 201, '{"id":3}', None, LATER)],
+        "process long, status_code int, body string, error string, received_at timestamp_ntz")
+    booked = d.outcomes(sent, responses)
+    assert rows(booked, "queue_id", "status") == [(1, 2), (2, 2)]
+    named = responses.withColumn("queue_id", F.lit(2).cast("long"))
+    assert rows(d.outcomes(sent, named), "queue_id", "status") == [(2, 2)]
+    queue = spark.createDataFrame([(1, 7, 1, 0), (2, 7, 1, 0)], "id long, process long, status int, attempts int").withColumns(
+        {"message": F.lit(None).cast("string"), "slot": F.lit(None).cast("timestamp_ntz"), "last_attempt": F.lit(None).cast("timestamp_ntz")})
+    twice = booked.union(booked)
+    assert rows(t.apply_outcomes(queue, twice, LATER), "id", "attempts", "slot") == [(1, 1, NOW), (2, 1, LATER)]
+
+
+def test_a_taken_version_is_refused(spark, land, tmp_path):
+    store = StateTables(spark, str(tmp_path / "state"))
+    store.seed()
+    other = StateTables(spark, store.root)
+    queue = spark.createDataFrame([], store.load("queue")["queue"].schema)
+    assert store.commit(1, {"queue": queue}, marker="a:1") and store.booked("a:1") and not store.booked("a:2")
+    other.version = lambda: 0  # has not seen version 1 yet
+    with pytest.raises(CommitRefused):
+        other.commit(1, {"queue": queue})
+    assert store.version() == 1 and store.compact("queue") and store.version() == 2
+
+
+def test_a_closing_row_is_later_than_an_opening_one(spark):
+    log = spark.createDataFrame([("r", NOW, "SUCESSO", 1, 1, "ok"), ("r", NOW, "RODANDO", None, None, None)], TABLES["run_log"])
+    assert run_summary(log).first().status == "SUCESSO"
+
+
 def test_runs_on_committed_state(spark, land, tmp_path):
     store = StateTables(spark, str(tmp_path / "state"))
     assert store.version() == -1 and store.seed() and not store.seed()
