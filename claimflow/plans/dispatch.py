@@ -135,11 +135,15 @@ def outcomes(sent: DataFrame, responses: DataFrame) -> DataFrame:
 
 def build_notification(rows: DataFrame, now, to: str = NOTIFY_TO) -> DataFrame:
     """Flat message record of ready rows joined with their outcome (status, request_id, message); ``to`` lists the recipients."""
+    return rows.select(*notification_columns(now, to))
+
+
+def notification_columns(now, to: str = NOTIFY_TO) -> list[Column]:
 
     def text(name: str, default: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(default))
 
-    return rows.select(
+    return [
         F.lit(to).alias("email_destino"),
         (F.col("status") == 2).alias("sucesso"),
         text("cia", t.COMPANY).alias("cia"),
@@ -163,4 +167,4 @@ def build_notification(rows: DataFrame, now, to: str = NOTIFY_TO) -> DataFrame:
         text("email_analista_operadora", "").alias("email_analista_operadora"),
         text("nome_analista_seguradora", UNKNOWN_M).alias("nome_analista_seguradora"),
         text("email_analista_seguradora", "").alias("email_analista_seguradora"),
-    )
+    ]

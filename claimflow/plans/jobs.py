@@ -15,13 +15,14 @@ from claimflow.operators import transitions as t
 from claimflow.plans import dispatch as d
 from claimflow.plans.views import ready_queue
 from claimflow.session import work_dir
-from claimflow.sources.tables import CommitRefused, StateTables, append_log, close_run, open_run
+from claimflow.sources.tables import CommitRefused, StateTables, api_log_rows, append_log, close_run, notification_log_rows, open_run
 
 # Events before this date do not count for the opening date; how a run ends.
 EVENT_FLOOR = "2026-01-01 00:00:00"
 SUCCESS, FAILURE = "SUCESSO", "ERRO"
 SUCCESS_MESSAGE = "Execução concluída com êxito."
 FAILURE_MESSAGE = "Falha Crítica: "
+SEND_ACTION = "ENVIO"
 
 
 @dataclass
@@ -130,15 +131,58 @@ def outbox(store: StateTables, now) -> DataFrame:
     return d.dispatch_batch(ready_queue(state), state["parameter"], now)
 
 
+def dispatch(store: StateTables, now, run_id: str) -> RunResult:
+    """Commit the outbox of a run, for the sender to read. A run that has one keeps it."""
+    marker = f"dispatch:{run_id}"
+    if store.booked(marker):
+        return RunResult(False)
+    version = store.version() + 1
+    _commit(store, version, {}, {"outbox": outbox(store, now).withColumn("run_id", F.lit(run_id))}, marker)
+    return RunResult(True, ("outbox",))
+
+
+def _last_sent(sent: DataFrame) -> DataFrame:
+    """Several parties multiply a queue row; the last one in the order of sending counts."""
+    return r.top1(sent, ["id_fila"], [F.struct(*d.ORDER).desc(), F.col("data_agendada").desc()])
+
+
+def _booked(sent: DataFrame, responses: DataFrame) -> DataFrame:
+    work_dir(sent.sparkSession)
+    one = _last_sent(sent).select(F.col("id_fila").alias("queue_id"), F.col("id_processo").alias("process"), F.col("data_agendada").alias("slot"))
+    return d.outcomes(one, responses).checkpoint()
+
+
 def record_outcomes(store: StateTables, sent: DataFrame, responses: DataFrame, now, version: int | None = None) -> DataFrame:
     """Book the responses of an outbox; returns the outcomes worth a message."""
     version = store.version() + 1 if version is None else version
     before = store.load("queue", "sla")
-    work_dir(sent.sparkSession)
-    # several parties multiply a queue row; the slot of the last one in the order of sending counts
-    one = sent.groupBy(F.col("id_fila").alias("queue_id"), F.col("id_processo").alias("process")).agg(
-        F.max_by("data_agendada", F.struct(*d.ORDER)).alias("slot"))
-    booked = d.outcomes(one, responses).checkpoint()
+    booked = _booked(sent, responses)
     _commit(store, version, {
         "queue": t.apply_outcomes(before["queue"], booked, now), "sla": t.stamp_sla(before["sla"], booked, now)})
     return t.notifications(booked)
+
+
+def book(store: StateTables, run_id: str, responses: DataFrame, now, target: str, to: str = d.NOTIFY_TO) -> RunResult:
+    """Book the landed responses to a committed outbox: queue, SLA, a log row per send and per notification, in one commit.
+
+    The notifications themselves are the payloads of the notification log. A run is booked once.
+    """
+    marker = f"book:{run_id}"
+    if store.booked(marker):
+        return RunResult(False)
+    version = store.version() + 1
+    before = store.load("queue", "sla", "outbox")
+    sent = before["outbox"].filter(F.col("run_id") == run_id)
+    booked = _booked(sent, responses)
+    outcome = booked.select(F.col("queue_id").alias("id_fila"), "status", "status_code", "request_id", "message")
+    sends = sent.join(outcome, "id_fila").select(
+        F.col("id_processo").alias("process"), "status_code", F.col("payload_json").alias("payload"), F.col("message").alias("response"))
+    worth = _last_sent(sent).join(t.notifications(outcome), "id_fila")
+    note = F.to_json(F.struct(*d.notification_columns(now, to)))
+    notes = worth.select(F.col("id_processo").alias("process"), "status_code", note.alias("payload"), "message")
+    _commit(store, version, {
+        "queue": t.apply_outcomes(before["queue"], booked, now), "sla": t.stamp_sla(before["sla"], booked, now),
+    }, {
+        "api_log": api_log_rows(sends, run_id, target, SEND_ACTION, now), "notification_log": notification_log_rows(notes, run_id, now),
+    }, marker)
+    return RunResult(True, ("queue", "sla", "api_log", "notification_log"))

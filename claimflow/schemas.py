@@ -89,6 +89,14 @@ TABLES: dict[str, StructType] = {
         ("payload", TEXT), ("response", TEXT), ("logged_at", TS)),
     "notification_log": _struct(
         ("run_id", TEXT), ("process", LONG), ("status_code", INT), ("payload", TEXT), ("message", TEXT), ("logged_at", TS)),
+    # what a run hands to the sender: the ready view's columns, slot and payload
+    "outbox": _struct(
+        ("run_id", TEXT), ("id_fila", LONG), ("id_processo", LONG), ("cia", TEXT), ("uf_processo", TEXT), ("sinistro_tratado", TEXT),
+        ("tipo_envolvido_id", INT), ("nome_segurado", TEXT), ("email_segurado", TEXT), ("ddd_segurado", INT), ("tel_segurado", TEXT),
+        ("doc_formatado", TEXT), ("nome_corretor", TEXT), ("email_corretor", TEXT), ("tel_corretor", TEXT),
+        ("nome_analista_seguradora", TEXT), ("email_analista_seguradora", TEXT), ("nome_analista_operadora", TEXT),
+        ("email_analista_operadora", TEXT), ("data_portal", TS), ("placa_veiculo", TEXT), ("chassi_veiculo", TEXT),
+        ("data_agendada", TS), ("payload_json", TEXT)),
     "anomaly": _struct(
         ("source", TEXT), ("key", TEXT), ("kind", TEXT), ("detail", TEXT), ("severity", TEXT), ("resolved", INT)),
 }

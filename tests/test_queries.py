@@ -1,19 +1,12 @@
-"""Registered queries against their SQL on the smallest tables.
-
-A representative few by default; all of them with CLAIMFLOW_ALL=1 (or tests/check_all.py).
-"""
-
-import os
+"""Registered queries against their SQL on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry
+from claimflow.binding import catalog
 from compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-FEW = ["ready_queue", "history_hot_keys", "slots_one_queue", "clean_phone", "parse_money", "dictionary_growth", "close_disappeared_queue",
-       "sla_minutes", "stream_latest", "quality_anomalies"]
-NAMES = list(entry.oracle_sql()) if os.environ.get("CLAIMFLOW_ALL") else FEW
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +18,6 @@ def test_contract():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", catalog.ORACLES)
 def test_query(spark, con, name):
     assert differences(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []

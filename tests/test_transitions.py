@@ -278,6 +278,24 @@ def test_one_outcome_per_queue_row(spark):
     assert rows(t.apply_outcomes(queue, twice, LATER), "id", "attempts", "slot") == [(1, 1, NOW), (2, 1, LATER)]
 
 
+def test_dispatch_and_book(spark, land, tmp_path):
+    store = StateTables(spark, str(tmp_path / "state"))
+    store.seed()
+    jobs.capture(store, land(ANA, BOB, EVA), NOW)
+    assert jobs.dispatch(store, NOW, "r1").committed and not jobs.dispatch(store, LATER, "r1").committed
+    assert rows(store.load("outbox")["outbox"], "run_id", "id_processo") == [("r1", 1), ("r1", 2), ("r1", 3)]
+    responses = spark.createDataFrame(
+        [(1, 201, '{"id":7,"message":"ok"}', None), (2, 409, '{"message":"twice"}', None), (3, None, None, "timeout")],
+        "process long, status_code int, body string, error string")
+    assert jobs.book(store, "r1", responses, LATER, "PLATAFORMA").committed and not jobs.book(store, "r1", responses, LATER, "PLATAFORMA").committed
+    state = store.load("queue", "sla", "api_log", "notification_log")
+    assert rows(state["queue"], "process", "status", "attempts") == [(1, 2, 1), (2, 4, 1), (3, 3, 1)]
+    assert state["sla"].filter("sent IS NOT NULL").count() == 1
+    assert rows(state["api_log"], "run_id", "process", "status_code") == [("r1", 1, 201), ("r1", 2, 409), ("r1", 3, 500)]
+    notes = {row.process: json.loads(row.payload) for row in state["notification_log"].collect()}
+    assert set(notes) == {1, 3} and notes[1]["sucesso"] and not notes[3]["sucesso"] and notes[1]["acionamentoId"] == 7
+
+
 def test_a_taken_version_is_refused(spark, land, tmp_path):
     store = StateTables(spark, str(tmp_path / "state"))
     store.seed()
