@@ -17,12 +17,12 @@ from claimflow.plans.views import ready_queue
 from claimflow.session import work_dir
 from claimflow.sources.tables import CommitRefused, StateTables, api_log_rows, append_log, close_run, notification_log_rows, open_run
 
-# Events before this date do not count for the opening date; how a run ends.
+# Events before this date do not count for the opening date; how a run ends; what a send is logged as.
 EVENT_FLOOR = "2026-01-01 00:00:00"
 SUCCESS, FAILURE = "SUCESSO", "ERRO"
 SUCCESS_MESSAGE = "Execução concluída com êxito."
 FAILURE_MESSAGE = "Falha Crítica: "
-SEND_ACTION = "ENVIO"
+SEND_TARGET, SEND_ACTION = "PlataformaGestao", "POST_ACIONAMENTO"
 
 
 @dataclass
@@ -162,7 +162,7 @@ def record_outcomes(store: StateTables, sent: DataFrame, responses: DataFrame, n
     return t.notifications(booked)
 
 
-def book(store: StateTables, run_id: str, responses: DataFrame, now, target: str, to: str = d.NOTIFY_TO) -> RunResult:
+def book(store: StateTables, run_id: str, responses: DataFrame, now, target: str = SEND_TARGET, to: str = d.NOTIFY_TO) -> RunResult:
     """Book the landed responses to a committed outbox: queue, SLA, a log row per send and per notification, in one commit.
 
     The notifications themselves are the payloads of the notification log. A run is booked once.

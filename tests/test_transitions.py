@@ -287,7 +287,7 @@ def test_dispatch_and_book(spark, land, tmp_path):
     responses = spark.createDataFrame(
         [(1, 201, '{"id":7,"message":"ok"}', None), (2, 409, '{"message":"twice"}', None), (3, None, None, "timeout")],
         "process long, status_code int, body string, error string")
-    assert jobs.book(store, "r1", responses, LATER, "PLATAFORMA").committed and not jobs.book(store, "r1", responses, LATER, "PLATAFORMA").committed
+    assert jobs.book(store, "r1", responses, LATER).committed and not jobs.book(store, "r1", responses, LATER).committed
     state = store.load("queue", "sla", "api_log", "notification_log")
     assert rows(state["queue"], "process", "status", "attempts") == [(1, 2, 1), (2, 4, 1), (3, 3, 1)]
     assert state["sla"].filter("sent IS NOT NULL").count() == 1
