@@ -86,10 +86,10 @@ def stream_slots(spark, sf):
     return spark.read.parquet(f"{out}/slots").select("event_id", "slot")
 
 
-@query("dedupe_known", "SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')")
+@query("dedupe_known", "SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 48)")
 def dedupe_known(spark, sf):
-    lines = load(spark, sf, "lineitem", ["l_partkey", "l_returnflag"])
-    return i.dedupe_known(lines.select("l_partkey"), lines.filter("l_returnflag = 'R'").select("l_partkey"), "l_partkey")
+    lines = load(spark, sf, "lineitem", ["l_partkey", "l_quantity"])
+    return i.dedupe_known(lines.select("l_partkey"), lines.filter("l_quantity > 48").select("l_partkey"), "l_partkey")
 
 
 def _landed(spark, sf, name):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
+from claimflow.operators.relational import top1
 from claimflow.schemas import RECORD
 from claimflow.sources.records import to_raw_json
 
@@ -58,6 +59,35 @@ def overlay_json(*layers: Column) -> Column:
     return reduce(put, maps)
 
 
+# What only the listing says.
+LISTING_ONLY = ("nmAnalista", "emailAnalistaTw", "dtAberturaSinistro")
+
+
+def merge_layers(listing: DataFrame, by_id: DataFrame | None = None, follow_up: DataFrame | None = None) -> DataFrame:
+    """Listed records with their landed details: the follow-up before the detail by id before the listing.
+
+    Of several details of a record the last in ``_order`` counts, where there is one. The phase comes from the
+    listing, else from the detail by id. Analyst and opening date come from the listing alone.
+    """
+    names = RECORD.fieldNames()
+    order = ["_order"] if "_order" in listing.columns else []
+    rows, layers = listing.select("idProcesso", F.struct(*names).alias("listing"), *order), ["listing"]
+    for name, layer in (("by_id", by_id), ("follow_up", follow_up)):
+        if layer is None:
+            continue
+        last = [F.col("_order").desc()] if "_order" in layer.columns else []
+        one = top1(with_id(layer), ["idProcesso"], [*last, F.to_json(F.struct(*names))])
+        rows = rows.join(one.select("idProcesso", F.struct(*names).alias(name)), "idProcesso", "left")
+        layers.append(name)
+    phase = [F.col(f"listing.{key}") for key in ("status_processo", "dsStatusCorrenteProcesso", "dsStatus")]
+    if by_id is not None:
+        phase.append(F.col("by_id.status_processo"))
+    merged = overlay(*layers, fields=[name for name in names if name not in LISTING_ONLY and name != "status_processo"])
+    return rows.select(
+        *merged, *[F.col(f"listing.{name}") for name in LISTING_ONLY], resolve_phase(*phase).alias("status_processo"), *order,
+    ).select(*names, *order)
+
+
 def with_id(records: DataFrame, key: str = "idProcesso") -> DataFrame:
     return records.filter(F.col(key).isNotNull() & (F.col(key) != 0))
 

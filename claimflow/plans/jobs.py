@@ -80,12 +80,15 @@ def _commit(store: StateTables, version: int, rewritten: t.State, added: t.State
 
 def capture(
     store: StateTables, records: DataFrame, now, version: int | None = None, complete: bool = True, marker: str | None = None,
+    by_id: DataFrame | None = None, follow_up: DataFrame | None = None,
 ) -> RunResult:
-    """Capture run. Without ``version`` it takes the next one; a given one that is committed is skipped, and so is a booked ``marker``."""
+    """Capture run over listed records and, where they landed, their details. Without ``version`` it takes the next one; a given one that is committed is skipped, and so is a booked ``marker``."""
     last = store.version()
     version = last + 1 if version is None else version
     if version <= last or marker is not None and store.booked(marker):
         return RunResult(False)
+    if by_id is not None or follow_up is not None:
+        records = n.merge_layers(records, by_id, follow_up)
     before, (seen, batch) = store.load(), prepared(records)
     rewritten, added = capture_changes(before, seen, batch, now, complete)
     _commit(store, version, rewritten, added, marker)

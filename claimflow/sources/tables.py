@@ -21,6 +21,8 @@ from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 
 WRITERS = 6
+# raw records by capture date, so that reads can prune
+PARTITIONED = {"raw_history": ("capture_date",)}
 _COMMIT = "version long, table string, path string, whole boolean, marker string"
 
 
@@ -88,10 +90,13 @@ class StateTables:
         paths: dict[str, list[str]] = {}
         for row in live.orderBy("version").collect():
             paths.setdefault(row["table"], []).append(row["path"])
-        return {
-            name: self.spark.read.schema(TABLES[name]).parquet(*paths[name]) if name in paths else empty(self.spark, name)
-            for name in names or tuple(TABLES)
-        }
+        return {name: self._scan(name, paths[name]) if name in paths else empty(self.spark, name) for name in names or tuple(TABLES)}
+
+    def _scan(self, name: str, paths: list[str]) -> DataFrame:
+        reader = self.spark.read.schema(TABLES[name])
+        if name in PARTITIONED:  # one table in several folders, each with its partitions
+            reader = reader.option("basePath", f"{self.root}/{name}")
+        return reader.parquet(*paths).select(*TABLES[name].fieldNames())
 
     def commit(
         self, version: int, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, marker: str | None = None,
@@ -108,7 +113,7 @@ class StateTables:
             # a folder of its own: a refused writer leaves nothing that another one reads
             path = f"{self.root}/{name}/v={version}-{uuid4().hex}"
             fields = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in TABLES[name]]
-            table.selectExpr(*fields).write.mode("overwrite").parquet(path)
+            table.selectExpr(*fields).write.partitionBy(*PARTITIONED.get(name, ())).mode("overwrite").parquet(path)
             rows.append((version, name, path, whole, marker))
 
         # the tables are independent: small ones need not wait for large ones

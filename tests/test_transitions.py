@@ -278,6 +278,25 @@ def test_one_outcome_per_queue_row(spark):
     assert rows(t.apply_outcomes(queue, twice, LATER), "id", "attempts", "slot") == [(1, 1, NOW), (2, 1, LATER)]
 
 
+def test_details_are_merged_into_the_listing(spark, land, tmp_path):
+    store = StateTables(spark, str(tmp_path / "state"))
+    store.seed()
+    listed = [{"idProcesso": 1, "noSinistro": "1", "nmAnalista": "Caio", "idUsuario": 7, "nomeSegurado": "Old"},
+              {"idProcesso": 2, "noSinistro": "2", "dsStatus": "Listed", "idUsuario": 7}, {"idProcesso": 3, "noSinistro": "3", "idUsuario": 7}]
+    details = [{"idProcesso": 1, "status_processo": "Detail", "nomeSegurado": "New", "nmAnalista": "Not this one"},
+               {"idProcesso": 2, "status_processo": "Detail"}, {"idProcesso": 9, "status_processo": "Unlisted"}]
+    more = [{"idProcesso": 1, "nomeSegurado": "Newest", "marca": "Ford"}]
+    jobs.capture(store, land(*listed, name="listing"), NOW, by_id=land(*details, name="detail"), follow_up=land(*more, name="more"))
+    state = store.load("process", "party", "vehicle", "raw_history")
+    assert rows(state["process"], "id", "phase") == [(1, "Detail"), (2, "Listed"), (3, "PROCESSO RECEPCIONADO")]
+    assert rows(state["vehicle"].filter("process = 1"), "brand") == [("Ford",)]
+    assert {row.name for row in state["party"].filter("process = 1").collect()} >= {"Newest", "Caio"}
+    # by capture date
+    assert state["raw_history"].filter("capture_date = DATE'2026-03-10'").count() == 3
+    assert "PartitionFilters: [isnotnull(capture_date" in state["raw_history"].filter(
+        "capture_date = DATE'2026-03-10'")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dispatch_and_book(spark, land, tmp_path):
     store = StateTables(spark, str(tmp_path / "state"))
     store.seed()
