@@ -22,7 +22,7 @@ from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.llm.components import components
@@ -137,12 +137,12 @@ def _survivors(docs: DataFrame, base: DataFrame, k: int, percent: int) -> DataFr
     """
     classes = base.filter("doc_id IS NOT NULL AND n > 0").groupBy("p1", "p2", "n").agg(F.min("doc_id").alias("rep"))
     first = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(_first_tokens(k, percent), "token bigint, p1 bigint")
-    same = Window.partitionBy("token")
-    common = first.select(
-        "token", "p1", F.count("*").over(same).alias("df"), (F.min("p1").over(same) != F.max("p1").over(same)).alias("common"),
-    ).filter("common")
+    # counted before the shuffle, then joined: a token of very many texts is in no single task
+    counted = first.groupBy("token").agg(F.count("*").alias("df"), F.min("p1").alias("low"), F.max("p1").alias("high")).filter("low <> high")
     level = F.least(F.lit(63), F.floor(F.log2("df") * 4)).cast("bigint")
-    packed = common.select("p1", F.col("token").bitwiseAND(F.lit(-64)).bitwiseOR(level).alias("token"))
+    common = save(counted.select("token", F.col("token").bitwiseAND(F.lit(-64)).bitwiseOR(level).alias("packed")), "common")
+    release(docs.sparkSession)
+    packed = first.join(common, "token").select("p1", F.col("packed").alias("token"))
     lists = packed.groupBy("p1").agg(F.collect_set("token").alias("shared"))
     # of the first tokens, so many are shared with any partner
     needed = _ceil_column(_ceil_column(F.col("n"), percent), EXTRA_PERCENT)
@@ -150,11 +150,17 @@ def _survivors(docs: DataFrame, base: DataFrame, k: int, percent: int) -> DataFr
     return save(left.select(F.monotonically_increasing_id().alias("node"), "rep", "n", "p1", "p2", "shared", needed.alias("needed")), "survivors")
 
 
+def shared_tokens(sets: DataFrame) -> DataFrame:
+    """(node, token) of the tokens that are in several sets. Counted before the shuffle, then joined, which splits at frequent tokens."""
+    tokens = sets.select("node", F.explode("tokens").alias("token"))
+    common = save(tokens.groupBy("token").count().filter("count > 1").select("token"), "common")
+    release(sets.sparkSession)
+    return tokens.join(common, "token", "left_semi")
+
+
 def _typical(sets: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
     """Survivors with enough shared tokens in the whole set, and their number m."""
-    tokens = sets.select("node", F.explode("tokens").alias("token"))
-    counted = tokens.select("node", F.count("*").over(Window.partitionBy("token")).alias("df")).filter("df > 1")
-    m = counted.groupBy("node").agg(F.count("*").cast("int").alias("m"))
+    m = shared_tokens(sets).groupBy("node").agg(F.count("*").cast("int").alias("m"))
     return save(survivors.join(m, "node").filter(F.col("m") >= _ceil_column(F.col("n"), percent)), "typical")
 
 
@@ -189,8 +195,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _light_boundary(lists: DataFrame, typical: DataFrame, percent: int) -> int:
     """The largest light size: the one with the least cost, from counts per size (at most MOST_LIGHT rows)."""
-    length = F.count("*").over(Window.partitionBy("token", "band"))
-    scanned = lists.filter(f"n <= {MOST_LIGHT}").select("n", length.alias("length")).groupBy("n").agg(F.sum("length").alias("scans"))
+    entries = lists.filter(f"n <= {MOST_LIGHT}").groupBy("token", "band", "n").agg(F.count("*").alias("many"))
+    lengths = entries.groupBy("token", "band").agg(F.sum("many").alias("length"))
+    scanned = entries.join(lengths, ["token", "band"]).groupBy("n").agg(F.sum(F.col("many") * F.col("length")).alias("scans"))
     sizes = typical.filter(f"n <= {MOST_LIGHT}").groupBy("n").count()
     found = {row["n"]: (row["count"], row["scans"] or 0) for row in sizes.join(scanned, "n", "left").collect()}
     best, least, listed = 0, sum(scans for _, scans in found.values()), 0
@@ -207,8 +214,11 @@ def _light_pairs(sets: DataFrame, typical: DataFrame, x: int, percent: int) -> D
     """Pairs of light classes that share a subset; per subset one side's smallest node stands for all."""
     light = typical.filter(F.col("n") <= x).select("node").join(sets, "node").select("node", F.array_sort("tokens").alias("tokens"))
     subsets = light.mapInArrow(_subsets(percent), "key bigint, node bigint, low boolean")
-    key = Window.partitionBy("key")
-    low, high = F.min(F.when(F.col("low"), F.col("node"))).over(key), F.min(F.when(~F.col("low"), F.col("node"))).over(key)
+    smallest = subsets.groupBy("key").agg(
+        F.min(F.when(F.col("low"), F.col("node"))).alias("first"), F.min(F.when(~F.col("low"), F.col("node"))).alias("second"))
+    smallest = smallest.filter(F.col("first").isNotNull() & ((F.col("first") != F.col("second")) | F.col("second").isNull()))
+    subsets = subsets.join(smallest, "key")
+    low, high = F.col("first"), F.col("second")
     other = F.when(F.col("low"), F.coalesce(high, low)).otherwise(low)  # equal sizes are all low
     return subsets.select(F.col("node").alias("a"), other.alias("b")).filter("a <> b").distinct()
 

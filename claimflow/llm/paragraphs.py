@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from claimflow.llm.columns import fresh_name
 from claimflow.llm.components import components
-from claimflow.llm.jaccard_join import _ceil_column, link_lists
+from claimflow.llm.jaccard_join import _ceil_column, link_lists, shared_tokens
 from claimflow.llm.scratch import drop, release, save
 from claimflow.llm.words import Words, chunks, group_hashes, mix, windows, words_of
 
@@ -115,18 +115,21 @@ def _occurrences(batches):
 
 def _similar(texts: DataFrame) -> DataFrame:
     """(content, component) of the contents that are similar to another one."""
-    key = Window.partitionBy("key")
-    keys = texts.mapInArrow(_keys, "key bigint, content bigint").withColumn("shared", F.min("content").over(key) != F.max("content").over(key))
-    near = save(keys.filter("shared").select("key", "content").distinct(), "near")
+    # counted before the shuffle, then joined: no band or word that very many pieces share is in one task
+    keys = texts.mapInArrow(_keys, "key bigint, content bigint")
+    met = keys.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low <> high").select("key")
+    met = save(met, "met")
+    release(texts.sparkSession)
+    near = save(keys.join(met, "key", "left_semi").distinct(), "near")
+    drop(met)
     release(texts.sparkSession)
     wanted = near.select(F.col("content").alias("node")).distinct()
     sets = texts.mapInArrow(_sets, "node bigint, tokens array<bigint>").join(wanted, "node", "left_semi")
     sets = save(sets.dropDuplicates(["node"]), "pieces")
     release(texts.sparkSession)
     # a piece with too few shingles of others cannot be similar to any
-    tokens = sets.select("node", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    common = tokens.withColumn("many", F.count("*").over(Window.partitionBy("token"))).filter("many > 1")
-    typical = common.groupBy("node", "n").agg(F.count("*").cast("int").alias("m")).filter(F.col("m") >= _ceil_column(F.col("n"), PERCENT))
+    m = shared_tokens(sets).groupBy("node").agg(F.count("*").cast("int").alias("m"))
+    typical = sets.select("node", F.size("tokens").alias("n")).join(m, "node").filter(F.col("m") >= _ceil_column(F.col("n"), PERCENT))
     typical = save(typical, "typical")
     lists = save(near.withColumnRenamed("content", "node").join(typical, "node").select(
         F.col("key").alias("token"), F.lit(0).alias("band"), "node", "n", "m"), "lists")
@@ -146,11 +149,12 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     """
     texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     similar = _similar(texts)
-    content = Window.partitionBy("content")
     pieces = texts.mapInArrow(_occurrences, "content bigint, doc_id bigint, start int, words int")
-    pieces = pieces.withColumn("shared", F.min("doc_id").over(content) != F.max("doc_id").over(content))
-    pieces = pieces.join(similar, "content", "left").filter("shared OR component IS NOT NULL")
-    pieces = save(pieces.select("doc_id", "start", "words", F.coalesce("component", "content").alias("group")), "repeated")
+    shared = pieces.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high").select("content")
+    groups = shared.join(similar, "content", "full").select("content", F.coalesce("component", "content").alias("group"))
+    groups = save(groups, "groups")
+    release(docs.sparkSession)
+    pieces = save(pieces.join(groups, "content").select("doc_id", "start", "words", "group"), "repeated")
     release(docs.sparkSession)
     keepers = save(pieces.groupBy("group").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).filter("kept <> last").select("group", "kept"), "keepers")
     extra = pieces.join(keepers, "group").filter("doc_id <> kept").select("doc_id", "start", "words", "kept").distinct()

@@ -18,7 +18,7 @@ from math import acos, ceil, cos, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimflow.llm.components import components
@@ -130,9 +130,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     widths = unit.groupBy(F.size("x").alias("width")).count().orderBy(F.desc("count")).first()
     k, tables = plan(widths["count"], widths["width"], threshold, recall) if widths else (2, 1)
     listed = unit.mapInArrow(_hashed(k, tables), "node bigint, buckets array<bigint>").select("node", F.explode("buckets").alias("bucket"))
-    # buckets of one vector end here
-    shared = listed.withColumn("many", F.count("*").over(Window.partitionBy("bucket"))).filter("many > 1")
+    listed = save(listed, "listed")
+    # buckets of one vector end here; counted before the shuffle, then joined
+    shared = listed.join(listed.groupBy("bucket").count().filter("count > 1").select("bucket"), "bucket", "left_semi")
     shared = save(shared.select("node", "bucket"), "buckets")
+    drop(listed)
     balls = _balls(unit, shared, threshold)
     counts, ties = _between(unit, shared, balls, threshold)
     sizes = save(balls.groupBy("ball").agg((F.count("*") - 1).alias("others")), "sizes")
