@@ -1,9 +1,10 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders.
 
 Windows of WINDOW template words meet the windows of benchmark items by hash, and are compared
-word by word. What stands in the placeholders must then agree: within a document and item, each
+word by word. What stands in the placeholders must then agree: within an occurrence of the item, each
 value of the item has one counterpart, as in a question that was only given other numbers and names.
-A document is contaminated by an item if enough of the item's windows are in it.
+A document is contaminated by an item if enough of the item's windows are in it. A document may hold
+an item several times, each time with other values, so occurrences are told apart by position.
 """
 
 from __future__ import annotations
@@ -12,11 +13,11 @@ from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimflow.llm.scratch import save
-from claimflow.llm.words import Words, chunks, mix, span_hashes, windows, words_of
+from claimflow.llm.words import Words, chunks, group_hashes, mix, span_hashes, windows, words_of
 
 WINDOW = 6
 #: A window needs so many words that are no placeholders.
@@ -98,13 +99,17 @@ _NUMBERS, _UNITS = _known(NUMBERS), _known(UNITS)
 
 
 def _windows(column: pa.Array):
-    """(text, place in the text, hash, literals, types) of all full windows with enough literals."""
+    """(text, place in the text, hash, first word, literals, types, text digests) of all full windows with enough literals."""
     words, literal, kind = template(column)
     text, at, value = windows(words, WINDOW)
     full = words.counts[text] >= WINDOW
     plain = np.concatenate([[0], np.cumsum(kind == _LITERAL)])
     full &= plain[np.minimum(at + WINDOW, len(kind))] - plain[at] >= LEAST_LITERALS
-    return text[full], at[full] - words.first[text[full]], value[full], at[full], literal, kind
+    return text[full], at[full] - words.first[text[full]], value[full], at[full], literal, kind, _digests(literal, words)
+
+
+def _digests(literal: np.ndarray, words: Words) -> np.ndarray:
+    return group_hashes(literal, words.first) if len(literal) else np.zeros(len(words.first) - 1, np.uint64)
 
 
 def _lists(values: np.ndarray, at: np.ndarray, dtype) -> pa.Array:
@@ -115,7 +120,7 @@ def _lists(values: np.ndarray, at: np.ndarray, dtype) -> pa.Array:
 def _item_windows(batches):
     for batch in batches:
         for part in chunks(batch, "text"):
-            text, place, value, at, literal, kind = _windows(part.column("text"))
+            text, place, value, at, literal, kind, _ = _windows(part.column("text"))
             yield pa.RecordBatch.from_pydict({
                 "item_id": part.column("item_id").take(pa.array(text)), "place": place, "hash": value.view(np.int64),
                 "words": _lists(literal, at, np.int64), "types": _lists(kind, at, np.int64),
@@ -126,11 +131,12 @@ def _document_windows(bits: np.ndarray):
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
-                text, _, value, at, literal, _ = _windows(part.column("text"))
+                text, place, value, at, literal, _, digest = _windows(part.column("text"))
                 bit = (value & np.uint64(FILTER_BITS - 1)).astype(np.int64)
                 seen = (bits[bit >> 6] >> (bit & 63)) & 1 == 1
                 yield pa.RecordBatch.from_pydict({
-                    "key": part.column("key").take(pa.array(text[seen])), "hash": value[seen].view(np.int64), "found": _lists(literal, at[seen], np.int64),
+                    "key": part.column("key").take(pa.array(text[seen])), "copy": digest[text[seen]].view(np.int64), "at": place[seen],
+                    "hash": value[seen].view(np.int64), "found": _lists(literal, at[seen], np.int64),
                 })
 
     return run
@@ -141,13 +147,39 @@ def _key(docs: DataFrame):
     return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5("text")))
 
 
+def _occurrences(covered: DataFrame) -> DataFrame:
+    """The windows of a document and item by what may be an occurrence, a struct: the whole document, a diagonal or a pass.
+
+    On a diagonal, places of document and item differ by a constant, so it has each of the item's
+    windows once at most. A pass follows a text as long as the item's places grow: it also holds
+    occurrences with words more or less than the item, of which several diagonals have a part.
+    """
+    def named(windows: DataFrame, kind: str, copy, number):
+        group = F.struct(F.lit(kind).alias("kind"), copy.alias("copy"), number.cast("bigint").alias("number"))
+        return windows.select("key", "item_id", group.alias("occurrence"), "place", "slots")
+
+    text = ["key", "copy", "item_id"]
+    placed = covered.withColumn("diagonal", F.col("at") - F.col("place"))
+    # of several places that a window has in the item, the one on the longest diagonal
+    counted = placed.withColumn("together", F.count("*").over(Window.partitionBy(*text, "diagonal")))
+    best = Window.partitionBy(*text, "at").orderBy(F.desc("together"), "place")
+    single = counted.withColumn("turn", F.row_number().over(best)).filter("turn = 1")
+    order = Window.partitionBy(*text).orderBy("at")
+    back = F.coalesce((F.col("place") <= F.lag("place").over(order)).cast("int"), F.lit(0))
+    passes = single.withColumn("back", back).withColumn("pass", F.sum("back").over(order))
+    whole = named(covered, "document", F.lit(0).cast("bigint"), F.lit(0))
+    return whole.union(named(placed, "diagonal", F.col("copy"), F.col("diagonal"))).union(named(passes, "pass", F.col("copy"), F.col("pass")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = LEAST_SHARE, consistent: float = LEAST_CONSISTENT) -> DataFrame:
     """(key, item_id, windows, of, share, slots, consistent) per document and item that contaminates it.
 
     docs has doc_id and text, benchmark a bigint item_id and text; other columns are ignored. ``of``
-    counts the item's windows, ``windows`` those in the document, ``slots`` the item's different
+    counts the item's windows, ``windows`` those in an occurrence, ``slots`` the item's different
     slot values in them and ``consistent`` the share of these with a single counterpart (1 without
-    slots). Items of fewer than WINDOW words have no window and contaminate nothing; so do NULL
+    slots). The whole document is judged as one occurrence, and so is each occurrence in it by its
+    position (``_occurrences``); one that passes is enough, and the figures are those of the one
+    with most windows. Items of fewer than WINDOW words have no window and contaminate nothing; so do NULL
     or empty texts. Rows of docs with one doc_id are one document. Empty tables give an empty table.
 
     A document's windows pass a filter of FILTER_BITS bits made of the items' hashes (its size
@@ -162,20 +194,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = LEAST_SHA
     for row in masks.groupBy("word").agg(F.bit_or("mask").alias("mask")).collect():  # at most FILTER_BITS / 64 rows
         bits[row["word"]] = row["mask"]
     texts = docs.select(_key(docs).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    seen = texts.mapInArrow(_document_windows(bits), "key string, hash bigint, found array<bigint>").distinct()
-    pairs = seen.join(listed, "hash")
+    seen = texts.mapInArrow(_document_windows(bits), "key string, copy bigint, at bigint, hash bigint, found array<bigint>")
+    seen = save(seen.dropDuplicates(["key", "copy", "at", "hash"]), "seen")
     place = F.arrays_zip("words", "found", "types")
     # the words outside the placeholders are the same, not just their hash
-    pairs = pairs.filter(F.forall(place, lambda w: (w["types"] != _LITERAL) | (w["words"] == w["found"])))
-    slots = F.transform(F.filter(place, lambda w: w["types"] != _LITERAL), lambda w: F.struct(w["words"].alias("item"), w["found"].alias("text")))
+    same = F.forall(place, lambda w: (w["types"] != _LITERAL) | (w["words"] == w["found"]))
     of = listed.groupBy("item_id").agg(F.countDistinct("place").alias("of"))
-    covered = save(pairs.select("key", "item_id", "place", slots.alias("slots")), "covered")
-    counted = covered.groupBy("key", "item_id").agg(F.countDistinct("place").alias("windows"))
-    values = covered.select("key", "item_id", F.explode("slots").alias("slot")).distinct().groupBy("key", "item_id", "slot.item").count()
-    values = values.groupBy("key", "item_id").agg(F.count("*").alias("slots"), F.avg((F.col("count") == 1).cast("double")).alias("consistent"))
+    # no occurrence has more windows than its document: only documents with enough are looked at by position
+    pairs = seen.select("key", "hash", "found").distinct().join(listed, "hash").filter(same)
+    counted = pairs.groupBy("key", "item_id").agg(F.countDistinct("place").alias("windows")).join(of, "item_id")
+    enough = save(counted.filter(F.col("windows") / F.col("of") >= share).select("key", "item_id"), "enough")
+    slots = F.transform(F.filter(place, lambda w: w["types"] != _LITERAL), lambda w: F.struct(w["words"].alias("item"), w["found"].alias("text")))
+    held = seen.join(listed, "hash").filter(same).join(enough, ["key", "item_id"], "left_semi")
+    covered = save(held.select("key", "copy", "item_id", "at", "place", slots.alias("slots")), "covered")
+    one = ["key", "item_id", "occurrence"]
+    occurrences = _occurrences(covered)
+    counted = occurrences.groupBy(*one).agg(F.countDistinct("place").alias("windows"))
+    values = occurrences.select(*one, F.explode("slots").alias("slot")).distinct().groupBy(*one, "slot.item").count()
+    values = values.groupBy(*one).agg(F.count("*").alias("slots"), F.avg((F.col("count") == 1).cast("double")).alias("consistent"))
     found = counted.join(of, "item_id").withColumn("share", F.col("windows") / F.col("of")).filter(F.col("share") >= share)
-    judged = found.join(values, ["key", "item_id"], "left").fillna({"slots": 0, "consistent": 1.0}).filter(F.col("consistent") >= consistent)
-    return judged.select("key", "item_id", "windows", "of", "share", "slots", "consistent")
+    judged = found.join(values, one, "left").fillna({"slots": 0, "consistent": 1.0}).filter(F.col("consistent") >= consistent)
+    best = judged.groupBy("key", "item_id").agg(F.max(F.struct("share", "consistent", "slots", "windows", "of")).alias("best"))
+    return best.select("key", "item_id", "best.windows", "best.of", "best.share", "best.slots", "best.consistent")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -130,6 +130,28 @@ def test_decontaminate(spark):
     assert {row.doc_id for row in decontaminate.remove_contaminated(docs, benchmark).collect()} >= {3, 4}
 
 
+def test_decontaminate_several_occurrences(spark):
+    item = "A train leaves Boston at 40 km per hour and Maria waits for 3 hours before the second train follows at 60 km per hour, so when does Maria arrive?"
+    one = item.replace("Boston", "Denver").replace("40", "70").replace("60", "95").replace("3 hours", "7 hours").replace("Maria", "Susan")
+    two = item.replace("Boston", "Lima").replace("40", "31").replace("60", "88").replace("3 hours", "2 hours").replace("Maria", "Peter")
+    longer = two.replace("Lima", "Santa Cruz").replace("the second train", "the very second train")
+    mixed = one.replace("does Susan", "does Peter").replace("and Susan", "and Laura").replace("95 km", "96 miles").replace("70", "x")
+    other = two.replace("does Peter", "does Laura").replace("and Peter", "and Mary").replace("31", "x")
+    docs = spark.createDataFrame([
+        (1, f"1) {one}\n2) {two}"), (2, f"{item} {one}"), (3, "\n".join([one, two, item, two, one])), (4, f"{one}\n{longer}\n{mixed}"),
+        (5, f"{mixed}\n{other}"), (6, f"see {one}"), (6, f"see {two}"), (7, f"{longer} {longer.replace('Peter', 'Laura')}"),
+    ], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    found = {row.key: row for row in decontaminate.contaminated(docs, benchmark, consistent=1.0).collect()}
+    assert set(found) == {"1", "2", "3", "4", "6", "7"}
+    assert all(row.consistent == 1 for row in found.values()) and found["3"].share == 1
+    # an item whose sentences are alike meets itself at several places
+    alike = "Tom gave 5 red apples and 3 green pears to Ann, then Ben gave 4 red apples and 2 green pears to Eve, then Max gave 9 red apples and 8 green pears to Zoe."
+    docs = spark.createDataFrame([(1, f"x\n{alike}")], "doc_id bigint, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame([(1, alike)], "item_id bigint, text string")).collect()
+    assert [(row.share, row.consistent) for row in found] == [(1.0, 1.0)]
+
+
 def test_decontaminate_whole_tables(spark):
     con = compare.connect(MEDIUM)
     items = dict(con.sql("SELECT item_id, text FROM benchmark").fetchall())
