@@ -1,11 +1,13 @@
-"""Substring dedup: paragraph pieces meet by MinHash bands; repeated passages are cut from all documents but one.
+"""Substring dedup: paragraphs meet by MinHash bands, pieces of them exactly; what is repeated is cut from all documents but one.
 
-A paragraph is a line. Within it, pieces start at words whose hash is the smallest of REACH words
-on either side: a passage has the same pieces wherever it stands, but for its first and last words. Pieces with equal words are one class. Classes that share a band of MinHash values and
+A paragraph is a line. Lines with equal words are one class. Classes that share a band of MinHash values and
 are similar enough by exact Jaccard on their shingles are joined, and components of them are closed.
+For exact passages inside a line, pieces start at words whose hash is the smallest of REACH words
+on either side: a passage has the same pieces wherever it stands, but for its first and last words.
+Pieces with equal words are one class.
 
-In every component the document with the smallest id keeps its pieces. In others the pieces go
-where they follow one another over at least LEAST_WORDS words, so a short line that many
+In every component the document with the smallest id keeps its lines and pieces. In others they go, a similar line
+as a whole, where they follow one another over at least LEAST_WORDS words, so a short line that many
 documents share stays.
 """
 
@@ -28,7 +30,7 @@ REACH = 5
 #: A repeated run of pieces is cut if it has so many words.
 LEAST_WORDS = 20
 SHINGLE, PERCENT = 5, 80
-#: Share of the pieces at the similarity limit that bands should bring together.
+#: Share of the lines at the similarity limit that bands should bring together.
 RECALL = 0.95
 ROWS = 2
 
@@ -41,37 +43,49 @@ def bands(rows: int = ROWS, percent: int = PERCENT, recall: float = RECALL) -> i
     return b
 
 
-def cut(words: Words) -> Words:
-    """The words with a piece as their unit: ``first`` has the bounds of pieces, ``text`` the piece of each word."""
-    n = len(words.start)
+def _line_starts(words: Words) -> np.ndarray:
     breaks = np.concatenate([[0], np.cumsum(words.raw == 0x0A)])
-    line = np.ones(n, bool)
+    line = np.ones(len(words.start), bool)
     line[1:] = (words.text[1:] != words.text[:-1]) | (breaks[words.start[1:]] > breaks[words.end[:-1]])
+    return line
+
+
+def _units(words: Words, starts: np.ndarray) -> Words:
+    first = np.append(np.flatnonzero(starts), len(starts))
+    return replace(words, first=first, text=np.repeat(np.arange(len(first) - 1), np.diff(first)))
+
+
+def lines(words: Words) -> Words:
+    """The words with a line as their unit: ``first`` has the bounds of lines, ``text`` the line of each word."""
+    return _units(words, _line_starts(words))
+
+
+def cut(words: Words) -> Words:
+    """The words with a piece as their unit: ``first`` has the bounds of pieces, ``text`` the piece of each word."""
+    n, line = len(words.start), _line_starts(words)
     number, value = np.cumsum(line), mix(words.hash)
     lowest = np.ones(n, bool)
     for j in range(1, min(REACH, n - 1) + 1):
         same = number[j:] == number[:-j]
         lowest[j:] &= ~same | (value[j:] < value[:-j])
         lowest[:-j] &= ~same | (value[:-j] <= value[j:])
-    first = np.append(np.flatnonzero(line | lowest), n)
-    return replace(words, first=first, text=np.repeat(np.arange(len(first) - 1), np.diff(first)))
+    return _units(words, line | lowest)
 
 
-def _pieces(column: pa.Array):
-    """(words by piece, contents) of a column of texts; a content is the hash of a piece's words."""
-    words = words_of(column)
-    pieces = cut(words)
-    return words, pieces, group_hashes(pieces.hash, pieces.first)
+def _lines(column: pa.Array):
+    """(words by line, contents) of a column of texts; a content is the hash of a line's words."""
+    units = lines(words_of(column))
+    return units, group_hashes(units.hash, units.first)
 
 
 def _keys(batches):
-    """(key, content): the bands of each content of a chunk."""
+    """(key, content): the bands of each line content of a chunk."""
     many = bands()
     for batch in batches:
         for part in chunks(batch, "text"):
-            _, pieces, content = _pieces(part.column("text"))
-            piece, _, shingle = windows(pieces, SHINGLE)
-            start = np.searchsorted(piece, np.arange(len(content)))
+            units, content = _lines(part.column("text"))
+            line, _, shingle = windows(units, SHINGLE)
+            start = np.searchsorted(line, np.arange(len(content)))
             _, once = np.unique(content, return_index=True)
             for band in range(many if len(content) else 0):
                 key = np.full(len(content), band, np.uint64)
@@ -81,41 +95,44 @@ def _keys(batches):
 
 
 def _sets(batches):
-    """(node, tokens): the distinct shingles of each content of a chunk."""
+    """(node, tokens): the distinct shingles of each line content of a chunk."""
     for batch in batches:
         for part in chunks(batch, "text"):
-            _, pieces, content = _pieces(part.column("text"))
+            units, content = _lines(part.column("text"))
             _, once = np.unique(content, return_index=True)
             wanted = np.zeros(len(content), bool)
             wanted[once] = True
-            piece, _, shingle = windows(pieces, SHINGLE)
-            order = np.lexsort((shingle, piece))
-            piece, shingle = piece[order], shingle[order]
-            keep = wanted[piece]
-            keep[1:] &= (piece[1:] != piece[:-1]) | (shingle[1:] != shingle[:-1])
-            piece, shingle = piece[keep], shingle[keep]
-            offsets = np.append(np.searchsorted(piece, np.flatnonzero(wanted)), len(piece)).astype(np.int32)
+            line, _, shingle = windows(units, SHINGLE)
+            order = np.lexsort((shingle, line))
+            line, shingle = line[order], shingle[order]
+            keep = wanted[line]
+            keep[1:] &= (line[1:] != line[:-1]) | (shingle[1:] != shingle[:-1])
+            line, shingle = line[keep], shingle[keep]
+            offsets = np.append(np.searchsorted(line, np.flatnonzero(wanted)), len(line)).astype(np.int32)
             yield pa.RecordBatch.from_pydict({
                 "node": content[wanted].view(np.int64), "tokens": pa.ListArray.from_arrays(offsets, pa.array(shingle.view(np.int64))),
             })
 
 
 def _occurrences(batches):
-    """(content, doc_id, start, words) of every piece; start counts words."""
+    """(content, doc_id, start, words) of every piece and every line of several pieces; start counts words."""
     for batch in batches:
         for part in chunks(batch, "text"):
-            words, pieces, content = _pieces(part.column("text"))
-            first = pieces.first[:-1]
-            text = words.text[first]
-            yield pa.RecordBatch.from_pydict({
-                "content": content.view(np.int64), "doc_id": part.column("doc_id").take(pa.array(text)),
-                "start": (first - words.first[text]).astype(np.int32), "words": np.diff(pieces.first).astype(np.int32),
-            })
+            words = words_of(part.column("text"))
+            pieces, whole = cut(words), lines(words)
+            several = np.diff(np.searchsorted(pieces.first, whole.first)) > 1
+            for units, wanted in ((pieces, slice(None)), (whole, several)):
+                content, first = group_hashes(units.hash, units.first)[wanted], units.first[:-1][wanted]
+                text = words.text[first]
+                yield pa.RecordBatch.from_pydict({
+                    "content": content.view(np.int64), "doc_id": part.column("doc_id").take(pa.array(text)),
+                    "start": (first - words.first[text]).astype(np.int32), "words": np.diff(units.first)[wanted].astype(np.int32),
+                })
 
 
 def _similar(texts: DataFrame) -> DataFrame:
-    """(content, component) of the contents that are similar to another one."""
-    # counted before the shuffle, then joined: no band or word that very many pieces share is in one task
+    """(content, component) of the line contents that are similar to another one."""
+    # counted before the shuffle, then joined: no band or word that very many lines share is in one task
     keys = texts.mapInArrow(_keys, "key bigint, content bigint")
     met = keys.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low <> high").select("key")
     met = save(met, "met")
@@ -125,9 +142,9 @@ def _similar(texts: DataFrame) -> DataFrame:
     release(texts.sparkSession)
     wanted = near.select(F.col("content").alias("node")).distinct()
     sets = texts.mapInArrow(_sets, "node bigint, tokens array<bigint>").join(wanted, "node", "left_semi")
-    sets = save(sets.dropDuplicates(["node"]), "pieces")
+    sets = save(sets.dropDuplicates(["node"]), "lines")
     release(texts.sparkSession)
-    # a piece with too few shingles of others cannot be similar to any
+    # a line with too few shingles of others cannot be similar to any
     m = shared_tokens(sets).groupBy("node").agg(F.count("*").cast("int").alias("m"))
     typical = sets.select("node", F.size("tokens").alias("n")).join(m, "node").filter(F.col("m") >= _ceil_column(F.col("n"), PERCENT))
     typical = save(typical, "typical")
@@ -158,11 +175,14 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     release(docs.sparkSession)
     keepers = save(pieces.groupBy("group").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).filter("kept <> last").select("group", "kept"), "keepers")
     extra = pieces.join(keepers, "group").filter("doc_id <> kept").select("doc_id", "start", "words", "kept").distinct()
-    order = Window.partitionBy("doc_id").orderBy("start")
-    fresh = (F.col("start") != F.lag(F.col("start") + F.col("words")).over(order)).cast("int")
+    # lines and pieces of them overlap: a run ends where none reaches on
+    order = Window.partitionBy("doc_id").orderBy("start", F.desc("words"), "kept")
+    extra = extra.withColumn("end", F.col("start") + F.col("words"))
+    fresh = (F.col("start") > F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))).cast("int")
     runs = extra.withColumn("fresh", F.coalesce(fresh, F.lit(1))).withColumn("run", F.sum("fresh").over(order))
     runs = runs.groupBy("doc_id", "run").agg(
-        F.min("start").alias("first_word"), F.sum("words").alias("n_words"), F.min_by("kept", "start").alias("kept_doc_id"))
+        F.min("start").alias("first_word"), (F.max("end") - F.min("start")).cast("bigint").alias("n_words"),
+        F.min(F.struct("start", -F.col("words"), "kept"))["kept"].alias("kept_doc_id"))
     return runs.filter(F.col("n_words") >= least_words).select("doc_id", "first_word", "n_words", "kept_doc_id")
 
 

@@ -109,6 +109,28 @@ def test_paragraphs(spark):
         assert len(others) - 3 <= len([w for w in left[i].text.split() if w not in passage]) <= len(others)
 
 
+def test_similar_paragraphs(spark):
+    rng = random.Random(12)
+    lines, held = {}, {}
+    for size, edits in ((30, 0), (60, 1), (100, 1), (100, 2), (150, 2), (200, 3), (300, 5), (300, 6)) * 4:
+        base = prose(rng, size)
+        for number in range(4):
+            copy = list(base)
+            for at in rng.sample(range(size), edits if number else 0):
+                copy[at:at + 1] = rng.choice([[], prose(rng, 1), prose(rng, 2)])
+            i = len(lines)
+            lines[i] = " ".join(copy)
+            held[i] = "\n".join([" ".join(prose(rng, rng.randint(5, 60))), lines[i], " ".join(prose(rng, rng.randint(5, 60)))])
+    docs = spark.createDataFrame(list(held.items()), "doc_id bigint, text string").repartition(4)
+    left = {row.doc_id: row.text for row in paragraphs.remove_repeated(docs).collect()}
+    expected = jaccard_components(lines, 5, 80)
+    gone = {i for i in lines if expected[i] != i}
+    whole = {i for i, line in lines.items() if left[i].split() == held[i].replace(line, "").split()}
+    # the bands find 95 % of the pairs at the limit on average
+    assert whole <= gone and len(whole) >= 0.9 * len(gone) and len(gone) > 60
+    assert all(lines[i] in left[i] for i in lines if i in set(expected.values()) and list(expected.values()).count(i) > 1)
+
+
 def test_bands():
     for rows in (1, 2, 3, 4):
         b = paragraphs.bands(rows)
