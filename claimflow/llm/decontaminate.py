@@ -37,6 +37,8 @@ UNITS = (
     "dollar dollars cent cents euro euros percent degree degrees volt volts watt watts meter meters metre metres kilometers kilometres centimeters"
 )
 _LITERAL, _NUMBER, _NAME, _UNIT = 0, 1, 2, 3
+#: A capitalised word that begins a sentence, read as a name.
+_START = 4
 
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
@@ -65,8 +67,8 @@ def _in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def template(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
-    """(words with template hashes, literal hashes, types). Words of symbols alone are left out."""
+def template(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """(words with template hashes, literal hashes, types, whether it may also be a name). Words of symbols alone are left out."""
     words = words_of(column)
     literal, size = _literal_hashes(words)
 
@@ -76,7 +78,7 @@ def template(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
 
     digits = count(_DIGIT[words.raw], words.start, words.end)
     number = ((digits > 0) & (size - digits <= 3)) | _in(literal, _NUMBERS)
-    kind = np.full(len(literal), _LITERAL, np.int64)
+    kind, either = np.full(len(literal), _LITERAL, np.int64), np.zeros(len(literal), bool)
     if len(literal):
         capital = _UPPER[words.raw[words.start]] & (count(_LOWERCASE[words.raw], words.start, words.end) > 0)
         capital &= count(_UPPER[words.raw], words.start, words.end) == 1
@@ -88,24 +90,42 @@ def template(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
         after = np.zeros(len(literal), bool)
         after[1:] = number[:-1] & (words.text[1:] == words.text[:-1])
         kind[after & ~number & _in(literal, _UNITS)] = _UNIT
+        either = capital & (kind == _LITERAL)
     keep = size > 0
-    literal, kind, text = literal[keep], kind[keep], words.text[keep]
+    literal, kind, either, text = literal[keep], kind[keep], either[keep], words.text[keep]
     first = np.searchsorted(text, np.arange(len(column) + 1))
     hashes = np.where(kind == _LITERAL, literal, mix(kind.astype(np.uint64)))
-    return replace(words, start=words.start[keep], end=words.end[keep], text=text, first=first, hash=hashes), literal, kind
+    return replace(words, start=words.start[keep], end=words.end[keep], text=text, first=first, hash=hashes), literal, kind, either
 
 
 _NUMBERS, _UNITS = _known(NUMBERS), _known(UNITS)
 
 
 def _windows(column: pa.Array):
-    """(text, place in the text, hash, first word, literals, types, text digests) of all full windows with enough literals."""
-    words, literal, kind = template(column)
+    """(text, place in the text, hash, first word, literals, types of each window, text digests) of all full windows with enough literals.
+
+    A capitalised word that begins a sentence may be a name: a window is there under every reading of these words.
+    """
+    words, literal, kind, either = template(column)
     text, at, value = windows(words, WINDOW)
     full = words.counts[text] >= WINDOW
-    plain = np.concatenate([[0], np.cumsum(kind == _LITERAL)])
-    full &= plain[np.minimum(at + WINDOW, len(kind))] - plain[at] >= LEAST_LITERALS
-    return text[full], at[full] - words.first[text[full]], value[full], at[full], literal, kind, _digests(literal, words)
+    text, at, value = text[full], at[full], value[full]
+    inside = at[:, None] + np.arange(WINDOW)
+    types = kind[inside] if len(at) else np.zeros((0, WINDOW), np.int64)
+    spare = (types == _LITERAL).sum(axis=1) - LEAST_LITERALS
+    open_ = (either[inside] @ (1 << np.arange(WINDOW))) if len(at) else np.zeros(0, np.int64)
+    name = mix(np.array([_NAME], np.uint64))[0]
+    found = [(np.flatnonzero(spare >= 0), value[spare >= 0], types[spare >= 0])]
+    some = np.flatnonzero((open_ > 0) & (spare > 0))
+    for reading in range(1, 1 << WINDOW if len(some) else 0):
+        here = some[(open_[some] & reading == reading) & (spare[some] >= reading.bit_count())]
+        if len(here):
+            chosen = (reading >> np.arange(WINDOW)) & 1 == 1
+            hashes = np.where(chosen, name, words.hash[inside[here]])
+            unit = replace(words, hash=hashes.ravel(), first=np.arange(0, len(here) * WINDOW + 1, WINDOW))
+            found.append((here, windows(unit, WINDOW)[2], np.where(chosen, _START, types[here])))
+    row, value, types = (np.concatenate(parts) for parts in zip(*found))
+    return text[row], at[row] - words.first[text[row]], value, at[row], literal, types, _digests(literal, words)
 
 
 def _digests(literal: np.ndarray, words: Words) -> np.ndarray:
@@ -113,17 +133,20 @@ def _digests(literal: np.ndarray, words: Words) -> np.ndarray:
 
 
 def _lists(values: np.ndarray, at: np.ndarray, dtype) -> pa.Array:
-    flat = values[(at[:, None] + np.arange(WINDOW)).ravel()]
+    return _rows(values[(at[:, None] + np.arange(WINDOW)).ravel()], dtype)
+
+
+def _rows(flat: np.ndarray, dtype) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, WINDOW, dtype=np.int32), pa.array(flat.view(dtype)))
 
 
 def _item_windows(batches):
     for batch in batches:
         for part in chunks(batch, "text"):
-            text, place, value, at, literal, kind, _ = _windows(part.column("text"))
+            text, place, value, at, literal, types, _ = _windows(part.column("text"))
             yield pa.RecordBatch.from_pydict({
                 "item_id": part.column("item_id").take(pa.array(text)), "place": place, "hash": value.view(np.int64),
-                "words": _lists(literal, at, np.int64), "types": _lists(kind, at, np.int64),
+                "words": _lists(literal, at, np.int64), "types": _rows(types.ravel(), np.int64),
             })
 
 
@@ -131,12 +154,13 @@ def _document_windows(bits: np.ndarray):
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
-                text, place, value, at, literal, _, digest = _windows(part.column("text"))
+                text, place, value, at, literal, types, digest = _windows(part.column("text"))
                 bit = (value & np.uint64(FILTER_BITS - 1)).astype(np.int64)
                 seen = (bits[bit >> 6] >> (bit & 63)) & 1 == 1
                 yield pa.RecordBatch.from_pydict({
                     "key": part.column("key").take(pa.array(text[seen])), "copy": digest[text[seen]].view(np.int64), "at": place[seen],
                     "hash": value[seen].view(np.int64), "found": _lists(literal, at[seen], np.int64),
+                    "plain": pa.array((types[seen] != _START).all(axis=1)),
                 })
 
     return run
@@ -194,8 +218,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = LEAST_SHA
     for row in masks.groupBy("word").agg(F.bit_or("mask").alias("mask")).collect():  # at most FILTER_BITS / 64 rows
         bits[row["word"]] = row["mask"]
     texts = docs.select(_key(docs).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    seen = texts.mapInArrow(_document_windows(bits), "key string, copy bigint, at bigint, hash bigint, found array<bigint>")
-    seen = save(seen.dropDuplicates(["key", "copy", "at", "hash"]), "seen")
+    seen = texts.mapInArrow(_document_windows(bits), "key string, copy bigint, at bigint, hash bigint, found array<bigint>, plain boolean")
+    seen = save(seen.dropDuplicates(["key", "copy", "at", "hash", "plain"]), "seen")
     place = F.arrays_zip("words", "found", "types")
     # the words outside the placeholders are the same, not just their hash
     same = F.forall(place, lambda w: (w["types"] != _LITERAL) | (w["words"] == w["found"]))
@@ -204,13 +228,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = LEAST_SHA
     pairs = seen.select("key", "hash", "found").distinct().join(listed, "hash").filter(same)
     counted = pairs.groupBy("key", "item_id").agg(F.countDistinct("place").alias("windows")).join(of, "item_id")
     enough = save(counted.filter(F.col("windows") / F.col("of") >= share).select("key", "item_id"), "enough")
-    slots = F.transform(F.filter(place, lambda w: w["types"] != _LITERAL), lambda w: F.struct(w["words"].alias("item"), w["found"].alias("text")))
+    slots = F.transform(F.filter(place, lambda w: w["types"] != _LITERAL), lambda w: F.struct(
+        w["words"].alias("item"), w["found"].alias("text"), ((w["types"] != _START) | (w["words"] != w["found"])).alias("sure")))
     held = seen.join(listed, "hash").filter(same).join(enough, ["key", "item_id"], "left_semi")
-    covered = save(held.select("key", "copy", "item_id", "at", "place", slots.alias("slots")), "covered")
+    plain = F.col("plain") & F.forall("types", lambda t: t != _START)
+    covered = save(held.select("key", "copy", "item_id", "at", "place", slots.alias("slots"), plain.alias("plain")), "covered")
     one = ["key", "item_id", "occurrence"]
-    occurrences = _occurrences(covered)
+    # a window without a name at the start of a sentence counts by itself, too: further readings only add to what is found
+    every, only = _occurrences(covered), _occurrences(covered.filter("plain"))
+    occurrences = every.withColumn("occurrence", F.struct(F.lit("all").alias("readings"), "occurrence")).union(
+        only.withColumn("occurrence", F.struct(F.lit("plain").alias("readings"), "occurrence")))
     counted = occurrences.groupBy(*one).agg(F.countDistinct("place").alias("windows"))
-    values = occurrences.select(*one, F.explode("slots").alias("slot")).distinct().groupBy(*one, "slot.item").count()
+    values = occurrences.select(*one, F.explode("slots").alias("slot")).groupBy(*one, "slot.item").agg(
+        F.countDistinct("slot.text").alias("count"), F.max("slot.sure").alias("sure"))
+    # a word that only begins sentences and is the same in both is no slot
+    values = values.filter("sure")
     values = values.groupBy(*one).agg(F.count("*").alias("slots"), F.avg((F.col("count") == 1).cast("double")).alias("consistent"))
     found = counted.join(of, "item_id").withColumn("share", F.col("windows") / F.col("of")).filter(F.col("share") >= share)
     judged = found.join(values, one, "left").fillna({"slots": 0, "consistent": 1.0}).filter(F.col("consistent") >= consistent)

@@ -174,6 +174,19 @@ def test_decontaminate_several_occurrences(spark):
     assert [(row.share, row.consistent) for row in found] == [(1.0, 1.0)]
 
 
+def test_decontaminate_names_that_begin_sentences(spark):
+    item = "Tom has 5 apples in a basket. Anna gives him 3 more apples. Tom then eats 2 of them. How many apples are left in the basket?"
+    changed = item.replace("Tom", "Ben").replace("Anna", "Lena").replace("5", "9").replace("3", "4").replace("2", "6")
+    docs = spark.createDataFrame([
+        (1, changed), (2, f"Here, {changed}"), (3, f"{item}\n{changed}"), (4, changed.replace("Ben then", "Max then")),
+        (5, "How many people live here? Most of them have 2 cars. Anna says that there are more."),
+    ], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(7, item)], "item_id bigint, text string")
+    found = {row.key: row for row in decontaminate.contaminated(docs, benchmark, consistent=1.0).collect()}
+    assert set(found) == {"1", "2", "3"}
+    assert all(row.share == 1 and row.consistent == 1 for row in found.values())
+
+
 def test_decontaminate_whole_tables(spark):
     con = compare.connect(MEDIUM)
     items = dict(con.sql("SELECT item_id, text FROM benchmark").fetchall())
