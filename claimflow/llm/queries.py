@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimflow.llm import decontaminate, jaccard_join, licenses, mixing, paragraphs, quality, quotations, toxicity, url_rules, vectors
+from claimflow.llm import decontaminate, jaccard_join, licenses, merkle, mixing, paragraphs, quality, quotations, toxicity, url_rules, vectors
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_vectors": vectors.query,
     "op10_mixing": mixing.query,
+    "op11_merkle": merkle.query,
 }
 ORACLES = {
     "op1_jaccard_join": jaccard_join.SQL,
@@ -23,4 +24,5 @@ ORACLES = {
     "op7_url_rules": url_rules.SQL,
     "op9_vectors": vectors.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_merkle": merkle.SQL,
 }
