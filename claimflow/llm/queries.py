@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from claimflow.llm import decontaminate, jaccard_join, licenses, merkle, mixing, paragraphs, quality, quotations, toxicity, url_rules, vectors
+from claimflow.llm import (
+    decontaminate,
+    divergence,
+    jaccard_join,
+    licenses,
+    merkle,
+    mixing,
+    paragraphs,
+    quality,
+    quotations,
+    toxicity,
+    url_rules,
+    vectors,
+    warc,
+)
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
@@ -16,6 +30,8 @@ QUERIES = {
     "op9_vectors": vectors.query,
     "op10_mixing": mixing.query,
     "op11_merkle": merkle.query,
+    "op12_warc": warc.query,
+    "op13_divergence": divergence.query,
 }
 ORACLES = {
     "op1_jaccard_join": jaccard_join.SQL,
@@ -25,4 +41,6 @@ ORACLES = {
     "op9_vectors": vectors.SQL,
     "op10_mixing": mixing.SQL,
     "op11_merkle": merkle.SQL,
+    "op12_warc": warc.SQL,
+    "op13_divergence": divergence.SQL,
 }

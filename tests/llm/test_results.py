@@ -56,7 +56,7 @@ def prose(rng, n):
 
 def test_registered():
     assert set(queries.ORACLES) <= set(queries.QUERIES) <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES} == set(range(1, 14))
     assert "pipeline" in entry.queries() and len(corpus_pipeline.STAGES) == 5
 
 
