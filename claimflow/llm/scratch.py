@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame
 from claimflow.session import fresh_path
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The folder goes when the application ends, or earlier by ``drop``.
+    The folder goes when the application ends, or earlier by ``drop``. ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = fresh_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _fs(spark, path)[0].deleteOnExit(_fs(spark, path)[1])
     saved = spark.read.schema(df.schema).parquet(path)
     saved._scratch = path

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimflow.llm.lookups import BLOCKS, split_lookup
-from claimflow.llm.scratch import _fs, save
+from claimflow.llm.scratch import _fs, drop, save
 from claimflow.session import fresh_path
 
 #: Content of a record, and of an archive before compression, in bytes.
@@ -142,7 +142,8 @@ def write_archives(pages: DataFrame, path: str, date: str, segment_bytes: int =
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
     stored = pages.select(F.col("page_id"), F.col("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("serial"))
-    stored = save(stored.withColumn("digest", F.sha2("payload", 256)), "pages")  # the serial numbers stay as they are
+    # the serial numbers stay as they are; whole payloads, so packed tightly
+    stored = save(stored.withColumn("digest", F.sha2("payload", 256)), "pages", compression="zstd")
     block = F.pmod(F.xxhash64("serial"), F.lit(BLOCKS))
     large = stored.filter(F.octet_length("payload") >= REVISIT_BYTES).select("digest", F.when(F.col("page_id").isNotNull(), F.struct("page_id", "serial")).alias("one"))
     firsts = large.groupBy("digest").agg(F.min("one").alias("first"), F.count("*").alias("rows")).filter("rows > 1").select("digest", "first")
@@ -156,6 +157,7 @@ def write_archives(pages: DataFrame, path: str, date: str, segment_bytes: int =
     mixed = records.sortWithinPartitions(F.xxhash64(F.substring("record", 1, 512)))
     lines = mixed.select(F.col("record").cast("string").alias("value"))
     lines.write.option("lineSep", END.decode()).option("maxRecordsPerFile", most).option("compression", "gzip").text(path)
+    drop(stored)
 
 
 # --- reading ------------------------------------------------------------------
