@@ -27,10 +27,10 @@ LEAST_DOCUMENTS = 30
 #: Added to each count, and the whole that shares are parts of.
 SMOOTHING, WHOLE = 5, 1_000_000_000
 TOP_TERMS = 50
-#: Postings of a block of the index, and places of the dense rows that are held at once.
-BLOCK_POSTINGS, ROW_PLACES = 500_000, 2_000_000
+#: Postings of a block of the index at least, and places of the dense rows that are held at once.
+BLOCK_POSTINGS, ROW_PLACES = 50_000, 2_000_000
 #: Counts that a task holds before it passes them on.
-HELD_COUNTS = 200_000
+HELD_COUNTS = 500_000
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")  # letters and all beyond ASCII, as bytes
 
@@ -38,29 +38,31 @@ _TERM = re.compile(rb"[a-z\x80-\xff]+")  # letters and all beyond ASCII, as byte
 def _counts(most: int):
     def run(batches):
         """(lang, source, term, count, docs) of many documents at once; every group has a row with term NULL."""
-        held: dict[tuple, list[int]] = {}
+        held: dict[tuple, dict] = {}  # count and number of documents in one integer
 
         def flush():
-            keys = list(held)
+            groups = [group for group, terms in held.items() for _ in range(len(terms) + 1)]
+            found = [term for terms in held.values() for term in (None, *terms)]
+            values = np.array([value for terms in held.values() for value in (0, *terms.values())], np.int64)
             return pa.RecordBatch.from_pydict({
-                "lang": pa.array([k[0] for k in keys], pa.string()), "source": pa.array([k[1] for k in keys], pa.string()),
-                "term": pa.array([None if k[2] is None else k[2].decode() for k in keys], pa.string()),
-                "count": pa.array([held[k][0] for k in keys], pa.int64()), "docs": pa.array([held[k][1] for k in keys], pa.int64()),
+                "lang": pa.array([lang for lang, _ in groups], pa.string()), "source": pa.array([source for _, source in groups], pa.string()),
+                "term": pa.array(found, pa.binary()).cast(pa.string()), "count": values >> 31, "docs": values & ((1 << 31) - 1),
             })
 
+        size = 0
         for batch in batches:
             langs, sources, texts = (batch.column(i) for i in range(3))
             for i in range(batch.num_rows):
-                lang, source = langs[i].as_py(), sources[i].as_py()
-                held.setdefault((lang, source, None), [0, 0])
+                terms = held.setdefault((langs[i].as_py(), sources[i].as_py()), {})
+                before = len(terms)
                 # only A to Z change in bytes
                 for term, count in Counter(_TERM.findall(texts[i].as_py().encode().lower())).items():
-                    one = held.setdefault((lang, source, term), [0, 0])
-                    one[0] += count
-                    one[1] += 1
-                if len(held) >= most:
+                    terms[term] = terms.get(term, 0) + ((count << 31) | 1)
+                size += len(terms) - before
+                if size >= most:
                     yield flush()
                     held.clear()
+                    size = 0
         yield flush()
 
     return run
@@ -146,28 +148,30 @@ def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int = TO
     kept = save(kept.filter(F.col("docs") >= least_documents).select("lang", "term", "whole"), "kept")
     posted = save(counted.filter("term IS NOT NULL").join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "whole"), "posted")
     vocabulary = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("whole").alias("lang_total"))
-    totals = posted.groupBy("lang", "source").agg(F.sum("count").alias("total"))
+    totals = posted.groupBy("lang", "source").agg(F.sum("count").alias("total"), F.count("*").alias("posted"))
     everyone = counted.filter("term IS NULL").select("lang", "source")
     by_lang = Window.partitionBy("lang")  # one row per source
-    groups = everyone.join(totals, ["lang", "source"], "left").join(vocabulary, "lang", "left").fillna(0, ["total", "terms", "lang_total"])
+    groups = everyone.join(totals, ["lang", "source"], "left").join(vocabulary, "lang", "left").fillna(0, ["total", "posted", "terms", "lang_total"])
     groups = groups.select(
         "lang", "source", "total", "terms", "lang_total", (F.row_number().over(by_lang.orderBy("source")) - 1).cast("bigint").alias("no"),
-        F.count("*").over(by_lang).alias("many"))
+        F.count("*").over(by_lang).alias("many"), F.sum("posted").over(by_lang).alias("postings"))
+    # a block has more postings than its dense rows have places
+    blocks = F.ceil(F.col("postings") / F.greatest(F.lit(BLOCK_POSTINGS), F.col("many") * F.col("many")))
+    groups = groups.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("bigint"))
     base = F.when(F.col("terms") > 0, share(F.lit(0), F.col("total"), F.col("terms"))).otherwise(F.lit(0).cast("bigint"))
     groups = save(groups.withColumn("base", base), "groups")
     lang_source = F.struct("lang", "source").alias("group")
-    described = groups.select(lang_source, "no", "total", "terms", "lang_total", "many")
+    described = groups.select(lang_source, "no", "total", "terms", "lang_total", "many", "blocks")
     entries = split_lookup(posted.withColumn("group", lang_source), described, "group", F.col("term"))
     entries = save(entries.select(
-        "lang", "source", "term", "no", "many", share(F.col("count"), F.col("total"), F.col("terms")).alias("p"),
+        "lang", "source", "term", "no", "many", "blocks", share(F.col("count"), F.col("total"), F.col("terms")).alias("p"),
         share(F.col("whole"), F.col("lang_total"), F.col("terms")).alias("q")), "entries")
-    blocks = F.lit(max(1, -(-entries.count() // BLOCK_POSTINGS)))
     # so many slices that a task holds ROW_PLACES places at most
     slices = F.least(F.col("many"), F.ceil(F.col("many") * F.col("many") / ROW_PLACES))
     sliced = F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)).alias("slice")
     key = ["lang", "block", "slice", "slices"]
-    mine = entries.select("lang", F.pmod(F.xxhash64("term"), blocks).alias("block"), sliced, slices.alias("slices"), "no", "term", "p")
-    bases = groups.select("lang", "no", "base", "many", F.explode(F.sequence(F.lit(0).cast("bigint"), (blocks - 1).cast("bigint"))).alias("block"))
+    mine = entries.select("lang", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"), sliced, slices.alias("slices"), "no", "term", "p")
+    bases = groups.select("lang", "no", "base", "many", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"))
     bases = bases.select("lang", "block", sliced, slices.alias("slices"), "no", "base")
     rows = mine.groupBy(*key).cogroup(bases.groupBy(*key)).applyInArrow(_block_rows, "lang string, no bigint, row array<bigint>")
     corrections = rows.select("lang", "no", F.posexplode("row").alias("peer", "x")).filter(F.col("no") != F.col("peer"))
