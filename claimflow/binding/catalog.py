@@ -29,4 +29,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from claimflow.binding import q_cleanse, q_dispatch, q_relational, q_sources, q_stateful, q_transitions, q_views  # noqa: F401
+    from claimflow.binding import q_cleanse, q_dispatch, q_relational, q_runs, q_sources, q_stateful, q_transitions, q_views  # noqa: F401

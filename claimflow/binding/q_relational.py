@@ -86,7 +86,7 @@ def fresh_or_now(spark, sf):
 @query("valid_contact", """
     SELECT * FROM contact WHERE CASE WHEN type = 3 THEN contains(value, '@') ELSE value IS NOT NULL END""")
 def valid_contact(spark, sf):
-    return r.valid_contact(w.contact(spark, sf))
+    return r.valid_contact(w.contact(spark, sf)).drop("process")
 
 
 @query("queue_process_join", """
@@ -127,14 +127,14 @@ def lookup_default(spark, sf):
     SELECT DISTINCT c.party, e.value AS email_value, t.area AS phone_area, t.value AS phone_value
     FROM contact c LEFT JOIN email e ON e.party = c.party LEFT JOIN phone t ON t.party = c.party""")
 def best_contact(spark, sf):
-    best = r.best_contact(w.contact(spark, sf), {"email": 3, "phone": 2}, tie=w.CONTACT_TIE)
+    best = r.best_contact(w.contact(spark, sf), {"email": 3, "phone": 2}, ("process", "party"), tie=w.CONTACT_TIE)
     return best.select("party", "email_value", "phone_area", "phone_value")
 
 
 @query("party_key", """
     SELECT process, type, max(id) AS party FROM party GROUP BY process, type""")
 def party_key(spark, sf):
-    return w.party(spark, sf).groupBy("process", "type").agg(F.max("id").alias("party"))
+    return r.party_key(w.party(spark, sf))
 
 
 @query("last_change", "SELECT id, last_change FROM changes")

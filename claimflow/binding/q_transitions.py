@@ -207,7 +207,7 @@ def load_party(spark, sf):
 def load_contact(spark, sf):
     loaded = t.load_new(state(spark, sf), batch(spark, sf), NOW)
     party = loaded["party"].select(F.col("id").alias("party"), "process", F.col("type").alias("kind"))
-    return loaded["contact"].join(party, "party").select("process", "kind", "type", "area", "value", "principal")
+    return loaded["contact"].join(party, ["process", "party"]).select("process", "kind", "type", "area", "value", "principal")
 
 
 @query("load_event", _appended("event", _KEPT["event"], f"""
@@ -338,7 +338,7 @@ def _people(spark, sf):
     party = t._typed(rows.select(F.col("process").alias("id"), "process", F.lit(4).alias("type"),
                                  F.concat(F.lit("Old "), F.col("supp")).alias("name")), "party")
     contact = t._typed(rows.filter("supp > 50").select(
-        F.col("process").alias("id"), F.col("process").alias("party"), F.lit(3).alias("type"), F.lit("old@t.com").alias("value"),
+        F.col("process").alias("id"), "process", F.col("process").alias("party"), F.lit(3).alias("type"), F.lit("old@t.com").alias("value"),
         F.lit(0).alias("principal")), "contact")
     return party, contact
 
@@ -366,7 +366,7 @@ def backfill_analyst_contact(spark, sf):
     _, known = _known(spark, sf)
     out = t.backfill_analyst(*_people(spark, sf), known, NOW)
     party = out["party"].select(F.col("id").alias("party"), "process")
-    return out["contact"].join(party, "party").select("process", "value", "principal")
+    return out["contact"].join(party, ["process", "party"]).select("process", "value", "principal")
 
 
 @query("sync_process", """

@@ -303,4 +303,5 @@ def compose(body: str) -> str:
     for opening in ("WITH RECURSIVE ", "WITH "):
         if body.startswith(opening):
             return f"{opening}{ctes},\n{body.removeprefix(opening)}"
-    return f"WITH {ctes}\n{body}"
+    # the wide views are put as the recursive queries are, whose expressions are the same
+    return f"WITH {'RECURSIVE ' if 'reach' in needed else ''}{ctes}\n{body}"

@@ -88,7 +88,7 @@ def contact(spark: SparkSession, sf: str) -> DataFrame:
     lines = load(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_quantity"])
     other = "CASE l_returnflag WHEN 'R' THEN concat(l_orderkey, ':B:', l_suppkey) WHEN 'A' THEN concat(l_orderkey, ':A:', l_suppkey) END"
     return lines.selectExpr(
-        f"explode(array_compact(array(concat(l_orderkey, ':I'), {other}))) AS party",
+        f"explode(array_compact(array(concat(l_orderkey, ':I'), {other}))) AS party", "l_orderkey AS process",
         "CASE WHEN l_linenumber IN (2, 4, 6) THEN 2 ELSE 3 END AS type",
         "CASE WHEN l_linenumber IN (2, 4, 6) THEN l_linenumber + 10 END AS area",
         """CASE WHEN l_linenumber IN (2, 4, 6) THEN concat('9', lpad(CAST(l_partkey AS STRING), 8, '0'))

@@ -59,30 +59,42 @@ def overlay_json(*layers: Column) -> Column:
     return reduce(put, maps)
 
 
-# What only the listing says.
-LISTING_ONLY = ("nmAnalista", "emailAnalistaTw", "dtAberturaSinistro")
+# What only the listing says, or the run itself.
+LISTING_ONLY = ("nmAnalista", "emailAnalistaTw", "dtAberturaSinistro", "usuario_origem", "idUsuario")
 
 
 def merge_layers(listing: DataFrame, by_id: DataFrame | None = None, follow_up: DataFrame | None = None) -> DataFrame:
     """Listed records with their landed details: the follow-up before the detail by id before the listing.
 
-    Of several details of a record the last in ``_order`` counts, where there is one. The phase comes from the
-    listing, else from the detail by id. Analyst and opening date come from the listing alone.
+    A layer with ``_keys`` (``read_detail_records``) wins with every key that it has, null included; of one
+    without, values that are not NULL win. Of several details of a record the last in ``_order`` counts, where there is
+    one. The phase comes from the listing, else from the detail by id. Analyst, opening date and user come from the
+    listing alone. Details of records that are not listed, or without id, are left out.
     """
     names = RECORD.fieldNames()
     order = ["_order"] if "_order" in listing.columns else []
-    rows, layers = listing.select("idProcesso", F.struct(*names).alias("listing"), *order), ["listing"]
+    rows, layers = listing.select("idProcesso", F.struct(*names).alias("listing"), *order), []
     for name, layer in (("by_id", by_id), ("follow_up", follow_up)):
         if layer is None:
             continue
         last = [F.col("_order").desc()] if "_order" in layer.columns else []
-        one = top1(with_id(layer), ["idProcesso"], [*last, F.to_json(F.struct(*names))])
-        rows = rows.join(one.select("idProcesso", F.struct(*names).alias(name)), "idProcesso", "left")
-        layers.append(name)
+        held = [*names, *[column for column in ("_keys",) if column in layer.columns]]
+        one = top1(with_id(layer), ["idProcesso"], [*last, F.xxhash64(*held)])
+        rows = rows.join(one.select("idProcesso", F.struct(*held).alias(name)), "idProcesso", "left")
+        layers.append((name, "_keys" in held))
     phase = [F.col(f"listing.{key}") for key in ("status_processo", "dsStatusCorrenteProcesso", "dsStatus")]
     if by_id is not None:
         phase.append(F.col("by_id.status_processo"))
-    merged = overlay(*layers, fields=[name for name in names if name not in LISTING_ONLY and name != "status_processo"])
+
+    def field(name: str) -> Column:
+        value = F.col(f"listing.{name}")
+        for layer, keyed in layers:
+            own = F.col(f"{layer}.{name}")
+            has = F.array_contains(f"{layer}._keys", name) if keyed else own.isNotNull()
+            value = F.when(has, own).otherwise(value)
+        return value.alias(name)
+
+    merged = [field(name) for name in names if name not in LISTING_ONLY and name != "status_processo"]
     return rows.select(
         *merged, *[F.col(f"listing.{name}") for name in LISTING_ONLY], resolve_phase(*phase).alias("status_processo"), *order,
     ).select(*names, *order)

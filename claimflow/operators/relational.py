@@ -105,7 +105,7 @@ def top1(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """Row with the smallest ``order`` per key; the other columns, as text, break ties.
+    """Row with the smallest ``order`` per key; a hash of the other columns breaks ties.
 
     Spark keeps one row per key and map task before the shuffle.
     """
@@ -118,27 +118,33 @@ def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def _total(df: DataFrame, key: str, order: Column) -> list[Column]:
-    rest = [name for name in df.columns if name != key]
-    return [order, F.to_json(F.struct(*rest))]
+    return [order, F.xxhash64(*[name for name in df.columns if name != key])]
+
+
+def party_key(party: DataFrame) -> DataFrame:
+    """(process, type, party): the party of a role; the highest id counts where a process has several."""
+    return party.groupBy("process", "type").agg(F.max("id").alias("party"))
 
 
 def first_row(df: DataFrame, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(1)
 
 
-def best_contact(contact: DataFrame, kinds: dict[str, int], party: str = "party", tie: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Best contact per party and kind, in one aggregation.
+def best_contact(
+    contact: DataFrame, kinds: dict[str, int], party: str | tuple[str, ...] = "party", tie: tuple[str, ...] = ("id",),
+) -> DataFrame:
+    """Best contact per party (one column or several) and kind.
 
-    Principal contacts first, unknown ones last. All kinds share one shuffle of one
-    partial row per party, however many contacts a party has.
+    Principal contacts first, unknown ones last. Spark keeps one row per party, kind and map task before the
+    shuffle, however many contacts a party has; the kinds left are then put side by side.
     """
+    keys = [party] if isinstance(party, str) else list(party)
     rank = F.coalesce(-F.col("principal"), F.lit(1))
-    choice = F.struct(rank.alias("rank"), *tie, *[name for name in ("value", "area") if name not in tie])
-    best = contact.filter(F.col("type").isin(*kinds.values())).groupBy(party).agg(
-        *[F.min(F.when(F.col("type") == code, choice)).alias(name) for name, code in kinds.items()]
-    )
-    fields = [F.col(f"{name}.{field}").alias(f"{name}_{field}") for name in kinds for field in ("area", "value")]
-    return best.select(party, *fields)
+    rest = [name for name in ("value", "area") if name not in tie]
+    rows = contact.filter(F.col("type").isin(*kinds.values())).select(*keys, *dict.fromkeys(["type", "value", "area", *tie]), rank.alias("_rank"))
+    best = top1(rows, [*keys, "type"], ["_rank", *tie, *rest])
+    taken = [F.max(F.when(F.col("type") == code, F.col(field))).alias(f"{name}_{field}") for name, code in kinds.items() for field in ("area", "value")]
+    return best.groupBy(*keys).agg(*taken)
 
 
 # --- aggregates -------------------------------------------------------------

@@ -72,7 +72,7 @@ def upsert(
 
     ``batch`` must be unique by ``keys``. Policy per column: ``batch_wins`` (a non-null
     batch value), ``state_wins`` (only fill a NULL), ``keep_if_blank`` (only fill NULL
-    or empty text, never with empty text), ``overwrite``. Other columns are kept.
+    or empty text, never with empty text), ``overwrite``, ``least`` and ``greatest`` (of both, NULL aside). Other columns are kept.
     """
     news = batch.select(*keys, *[F.col(name).alias(f"_{name}") for name in policies], F.lit(True).alias("_hit"))
     joined = state.join(news, keys, "left")
@@ -84,6 +84,8 @@ def upsert(
             "state_wins": F.coalesce(old, new),
             "keep_if_blank": F.when((F.coalesce(old, F.lit("")) == "") & (new != ""), new).otherwise(old),
             "overwrite": F.when(F.col("_hit"), new).otherwise(old),
+            "least": F.least(old, new),
+            "greatest": F.greatest(old, new),
         }
         return rule[policies[name]].alias(name)
 
@@ -221,7 +223,7 @@ def contact_rows(batch: DataFrame, now) -> DataFrame:
         batch.select(F.col("id").alias("process"), F.explode(everything).alias("e")).select("process", "e.*")
     )
     rows = rows.select(
-        surrogate_key("process", "kind", "type", "place").alias("id"),
+        surrogate_key("process", "kind", "type", "place").alias("id"), "process",
         F.xxhash64("process", F.col("kind")).alias("party"), "type", "area", "value", F.lit(1).alias("principal"),
         stamp(now).alias("loaded_at"),
     )
@@ -346,12 +348,20 @@ def _history_rows(batch: DataFrame, now) -> DataFrame:
 # --- load, backfill, sync ---------------------------------------------------
 
 
-def load_rows(state: State, batch: DataFrame, now) -> State:
-    """The rows the load adds to each table, for the records that are not stored yet.
+def unstored(state: State, batch: DataFrame) -> DataFrame:
+    """The records of the batch that are not stored yet, materialised: a dozen tables read them."""
+    work_dir(batch.sparkSession)
+    return r.missing_in(batch, state["process"], ["id"]).checkpoint()
 
-    The reduced batch feeds a dozen tables: checkpoint ``batch`` before.
-    """
-    new = r.missing_in(batch, state["process"], ["id"])
+
+def stored(state: State, batch: DataFrame) -> DataFrame:
+    """The records of the batch that are stored, materialised."""
+    work_dir(batch.sparkSession)
+    return r.exists_in(batch, state["process"], ["id"]).checkpoint()
+
+
+def load_rows(state: State, new: DataFrame, now) -> State:
+    """The rows the load adds to each table, for records that are not stored yet (``unstored``)."""
     labels = {
         name: absent_rows(state[name], new_labels(state[name], source(new), prefix, False, **defaults), ["code"])
         for name, (source, prefix, defaults) in _DICTIONARIES.items()
@@ -381,7 +391,7 @@ def with_rows(state: State, added: State) -> State:
 
 def load_new(state: State, batch: DataFrame, now) -> State:
     """Split the records that are not stored yet over all tables."""
-    added = load_rows(state, batch, now)
+    added = load_rows(state, unstored(state, batch), now)
     return {name: state[name].unionByName(rows) for name, rows in added.items()}
 
 
@@ -413,12 +423,16 @@ def backfill_events(event: DataFrame, batch: DataFrame, now) -> DataFrame:
 
     Inside the batch the first entry is inserted and the first non-blank text fills it.
     """
+    return upsert(event, event_news(batch, now), ["process", "event"], {"text": "keep_if_blank"})
+
+
+def event_news(batch: DataFrame, now) -> DataFrame:
+    """One row per (process, event) of a backfill."""
     entries = dated_events(batch, need_id=True).withColumnsRenamed({"id": "process", "event_id": "event"})
     spoken = F.min_by("text", F.when(F.col("text") != "", F.col("position")))
-    news = entries.groupBy("process", "event").agg(
+    return entries.groupBy("process", "event").agg(
         F.coalesce(spoken, F.lit("")).alias("text"), F.min_by("happened_at", "position").alias("happened_at")
     ).withColumn("loaded_at", stamp(now))
-    return upsert(event, news, ["process", "event"], {"text": "keep_if_blank"})
 
 
 def backfill_documents(document: DataFrame, batch: DataFrame, now) -> DataFrame:
@@ -431,17 +445,15 @@ def backfill_analyst(party: DataFrame, contact: DataFrame, batch: DataFrame, now
     rows = r.party_of_type(party_rows(named, now), 4)
     stored = r.party_of_type(party, 4)
     parties = party.unionByName(r.missing_in(rows, stored, ["process"]))
-    # the highest id counts when a process has several analysts
-    holder = r.party_of_type(parties, 4).join(rows.select("process"), "process", "left_semi").groupBy("process").agg(
-        F.max("id").alias("party"))
+    holder = r.party_key(r.party_of_type(parties, 4).join(rows.select("process"), "process", "left_semi")).drop("type")
     emails = named.select(
         F.col("id").alias("process"), c.clamp(c.strip(F.col("analyst_email")), 150).alias("value")
     ).filter(F.col("value").contains("@"))
     news = emails.join(holder, "process").select(
-        F.xxhash64("party", F.lit(3), F.lit(0)).alias("id"), "party", F.lit(3).alias("type"),
+        F.xxhash64("party", F.lit(3), F.lit(0)).alias("id"), "process", "party", F.lit(3).alias("type"),
         F.lit(None).cast("int").alias("area"), "value", F.lit(1).alias("principal"), stamp(now).alias("loaded_at"),
     )
-    return {"party": parties, "contact": upsert(contact, news, ["party", "type"], {"value": "overwrite"})}
+    return {"party": parties, "contact": upsert(contact, news, ["process", "party", "type"], {"value": "overwrite"})}
 
 
 def backfill_changes(state: State, known: DataFrame, now) -> tuple[State, State]:
@@ -468,13 +480,12 @@ def backfill_changes(state: State, known: DataFrame, now) -> tuple[State, State]
 
 def backfill(state: State, batch: DataFrame, now) -> State:
     """Refresh stored processes with everything a full record carries."""
-    rewritten, added = backfill_changes(state, r.exists_in(batch, state["process"], ["id"]), now)
+    rewritten, added = backfill_changes(state, stored(state, batch), now)
     return {**rewritten, **{name: state[name].unionByName(rows) for name, rows in added.items()}}
 
 
-def sync_changes(state: State, batch: DataFrame, now) -> tuple[State, State]:
-    """(rewritten tables, added rows) of a sync."""
-    known = r.exists_in(batch, state["process"], ["id"])
+def sync_changes(state: State, known: DataFrame, now) -> tuple[State, State]:
+    """(rewritten tables, added rows) of a sync; ``known`` holds stored processes only (``stored``)."""
     news = known.select("id", c.clamp(c.strip(F.col("phase")), 150).alias("phase"), "portal_status", "alert")
     process = upsert(state["process"], news, ["id"], {
         "phase": "batch_wins", "portal_status": "batch_wins", "alert": "overwrite"}, insert=False)
@@ -490,7 +501,7 @@ def sync_changes(state: State, batch: DataFrame, now) -> tuple[State, State]:
 
 def sync_known(state: State, batch: DataFrame, now) -> State:
     """Phase, status and alert of stored processes; unseen events and steps are appended."""
-    rewritten, added = sync_changes(state, batch, now)
+    rewritten, added = sync_changes(state, stored(state, batch), now)
     return {**rewritten, **{name: state[name].unionByName(rows) for name, rows in added.items()}}
 
 
@@ -512,7 +523,12 @@ def close_disappeared(history: DataFrame, queue: DataFrame, batch: DataFrame, no
     Use the batch before deduplication (the same process may be listed by two users),
     and only if it was read completely. Users without any row in it are not touched.
     """
-    gone = disappeared(history, batch)
+    work_dir(batch.sparkSession)
+    return close_gone(history, queue, disappeared(history, batch).checkpoint(), now)
+
+
+def close_gone(history: DataFrame, queue: DataFrame, gone: DataFrame, now) -> State:
+    """``close_disappeared`` for the (user, process) pairs that are gone."""
     marks = gone.withColumn("_hit", F.lit(True))
     left = history.join(marks, ["user_id", "process"], "left")
     hit = F.col("_hit").isNotNull()
@@ -527,7 +543,12 @@ def close_disappeared(history: DataFrame, queue: DataFrame, batch: DataFrame, no
 
 def repair_opening(process: DataFrame, events: DataFrame, floor) -> DataFrame:
     """A missing or too early opening date becomes the first event on or after ``floor``."""
-    first = r.min_event(events, floor).withColumnRenamed("process", "id")
+    return repair_from(process, r.min_event(events, floor), floor)
+
+
+def repair_from(process: DataFrame, first_events: DataFrame, floor) -> DataFrame:
+    """``repair_opening`` from the first event per process (process, first_event)."""
+    first = first_events.select(F.col("process").alias("id"), "first_event")
     bad = F.col("opened").isNull() | (F.col("opened") < stamp(floor))
     repaired = F.when(bad & F.col("first_event").isNotNull(), F.col("first_event")).otherwise(F.col("opened"))
     return process.join(first, "id", "left").withColumn("opened", repaired).select(*process.columns)
@@ -576,7 +597,16 @@ def audited(process: DataFrame, snapshot: DataFrame, now) -> DataFrame:
 
 def audit_close(state: State, snapshot: DataFrame, now) -> State:
     """Close the stale processes that the snapshot shows as finished or cancelled."""
-    closing = audited(state["process"], snapshot, now).filter(F.col("found").isin(CLOSED_STATUS, CANCELLED_STATUS))
+    return close_found(state, closing_rows(state["process"], snapshot, now), now)
+
+
+def closing_rows(process: DataFrame, snapshot: DataFrame, now) -> DataFrame:
+    """(id, found) of the stale processes that the snapshot shows as finished or cancelled."""
+    return audited(process, snapshot, now).filter(F.col("found").isin(CLOSED_STATUS, CANCELLED_STATUS))
+
+
+def close_found(state: State, closing: DataFrame, now) -> State:
+    """Process, queue and history with the ``closing_rows`` closed."""
     news = closing.select(
         "id", F.when(F.col("found") == CLOSED_STATUS, CLOSED_PHASE).otherwise(CANCELLED_PHASE).alias("phase"),
         F.col("found").alias("portal_status"), F.lit(0).alias("alert"),

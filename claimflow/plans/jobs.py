@@ -6,11 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from claimflow.functions.clock import stamp
 from claimflow.operators import normalise as n
 from claimflow.operators import relational as r
+from claimflow.operators import summaries as m
 from claimflow.operators import transitions as t
 from claimflow.plans import dispatch as d
 from claimflow.plans.views import ready_queue
@@ -48,62 +50,123 @@ def _joined(*parts: t.State) -> t.State:
     return out
 
 
-def capture_changes(state: t.State, seen: DataFrame, batch: DataFrame, now, complete: bool = True) -> tuple[t.State, t.State]:
+def marked(batch: DataFrame, process: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The batch with ``_known``, whether its process is stored, materialised; and what was counted while it was written."""
+    seen = Observation("batch")
+    known = r.stored_keys(batch, process, ["id"]).withColumn("_known", F.lit(True))
+    rows = batch.join(known, "id", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(~F.col("_known")).alias("new"), F.count_if("_known").alias("known"))
+    return rows.checkpoint(), seen.get
+
+
+def _added_facts(added: t.State, extra: DataFrame | None = None) -> DataFrame:
+    history = added["user_history"] if extra is None else added["user_history"].unionByName(extra, allowMissingColumns=True)
+    return m.summarised(added["event"], added["step"], history, EVENT_FLOOR)
+
+
+def _exits(processes: DataFrame, now) -> DataFrame:
+    """History rows that only say when a process left."""
+    return processes.select("process", F.lit(None).cast("int").alias("user_id"), stamp(now).alias("left_at"))
+
+
+def capture_changes(state: t.State, batch: DataFrame, gone: DataFrame | None, now) -> tuple[t.State, t.State]:
     """Load, sync, exits and opening dates, in this order: (rewritten tables, added rows).
 
-    ``complete`` says that every page was read; otherwise nothing counts as gone.
+    ``batch`` is ``marked``; ``gone`` lists the (user, process) pairs that left. The state needs no other buckets
+    than those of both: the first event of a process is kept in its summary.
     """
-    loaded = t.load_rows(state, batch, now)
+    work_dir(batch.sparkSession)
+    rows = batch.drop("_known")
+    loaded = t.load_rows(state, rows.filter(~batch["_known"]), now)
     middle = t.with_rows(state, loaded)
-    rewritten, synced = t.sync_changes(middle, batch, now)
+    # what was new is stored by now
+    rewritten, synced = t.sync_changes(middle, rows, now)
     added = _joined(loaded, synced)
+    added = {**added, "event": added["event"].checkpoint(), "step": added["step"].checkpoint()}  # stored, and summarised
     after = {**t.with_rows(state, added), **rewritten}
-    if complete:
-        rewritten = {**rewritten, **t.close_disappeared(after["user_history"], after["queue"], seen, now)}
-    rewritten["process"] = t.repair_opening(rewritten["process"], after["event"], EVENT_FLOOR)
+    facts = _added_facts(added, None if gone is None else _exits(gone, now))
+    rewritten["summary"] = m.merged(state["summary"], facts).checkpoint()
+    if gone is not None:
+        rewritten = {**rewritten, **t.close_gone(after["user_history"], after["queue"], gone, now)}
+    rewritten["process"] = t.repair_from(rewritten["process"], rewritten["summary"], EVENT_FLOOR)
     return rewritten, {name: rows for name, rows in added.items() if name not in rewritten}
 
 
 def enrichment_changes(state: t.State, batch: DataFrame, now) -> tuple[t.State, t.State]:
-    """Load what is new, backfill what was known before: (rewritten tables, added rows)."""
-    known = r.exists_in(batch, state["process"], ["id"]).checkpoint()
-    loaded = t.load_rows(state, batch, now)
-    rewritten, filled = t.backfill_changes(t.with_rows(state, loaded), known, now)
+    """Load what is new, backfill what was known before: (rewritten tables, added rows). ``batch`` is ``marked``."""
+    work_dir(batch.sparkSession)
+    rows = batch.drop("_known")
+    known = rows.filter(batch["_known"])
+    loaded = t.load_rows(state, rows.filter(~batch["_known"]), now)
+    middle = t.with_rows(state, loaded)
+    rewritten, filled = t.backfill_changes(middle, known, now)
     added = _joined(loaded, filled)
+    inserted = r.missing_in(t.event_news(known, now), state["event"], ["process", "event"])
+    facts = _added_facts({**added, "event": loaded["event"].unionByName(inserted.select(*loaded["event"].columns))})
+    rewritten["summary"] = m.merged(state["summary"], facts)
     return rewritten, {name: rows for name, rows in added.items() if name not in rewritten}
 
 
-def _commit(store: StateTables, version: int, rewritten: t.State, added: t.State | None = None, marker: str | None = None) -> None:
-    if not store.commit(version, rewritten, added, marker):
+def _commit(
+    store: StateTables, version: int, rewritten: t.State, added: t.State | None = None, marker: str | None = None, buckets: list[int] | None = None,
+) -> None:
+    if not store.commit(version, rewritten, added, marker, buckets):
         raise CommitRefused(f"version {version} was committed by another run")
 
 
+def _metrics(spark: SparkSession, counted: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([(counted["read"], counted["new"], counted["known"])], "read long, new long, known long")
+
+
 def capture(
     store: StateTables, records: DataFrame, now, version: int | None = None, complete: bool = True, marker: str | None = None,
     by_id: DataFrame | None = None, follow_up: DataFrame | None = None,
 ) -> RunResult:
-    """Capture run over listed records and, where they landed, their details. Without ``version`` it takes the next one; a given one that is committed is skipped, and so is a booked ``marker``."""
+    """Capture run over listed records and, where they landed, their details. Without ``version`` it takes the next one; a given one that is committed is skipped, and so is a booked ``marker``.
+
+    ``complete`` says that every page was read; otherwise nothing counts as gone. Only the buckets of the
+    batch and of what is gone are read and written.
+    """
     last = store.version()
     version = last + 1 if version is None else version
     if version <= last or marker is not None and store.booked(marker):
         return RunResult(False)
     if by_id is not None or follow_up is not None:
         records = n.merge_layers(records, by_id, follow_up)
-    before, (seen, batch) = store.load(), prepared(records)
-    rewritten, added = capture_changes(before, seen, batch, now, complete)
-    _commit(store, version, rewritten, added, marker)
-    return RunResult(True, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
+    seen, batch = prepared(records)
+    gone, touched = None, batch.select(F.col("id").alias("process"))
+    if complete:
+        gone = t.disappeared(store.load("user_history")["user_history"], seen).checkpoint()
+        touched = touched.union(gone.select("process"))
+    buckets = store.touched(touched)
+    before = store.load(buckets=buckets)
+    batch, counted = marked(batch, before["process"])
+    rewritten, added = capture_changes(before, batch, gone, now)
+    _commit(store, version, rewritten, added, marker, buckets)
+    return RunResult(True, (*rewritten, *added), _metrics(store.spark, counted))
 
 
 def enrich(store: StateTables, records: DataFrame, now, version: int | None = None) -> RunResult:
+    """Enrichment run over full records; reads and writes the buckets of the batch."""
     last = store.version()
     version = last + 1 if version is None else version
     if version <= last:
         return RunResult(False)
-    before, (_, batch) = store.load(), prepared(records)
+    _, batch = prepared(records)
+    buckets = store.touched(batch.select("id"))
+    before = store.load(buckets=buckets)
+    batch, counted = marked(batch, before["process"])
     rewritten, added = enrichment_changes(before, batch, now)
-    _commit(store, version, rewritten, added)
-    return RunResult(True, (*rewritten, *added), r.batch_metrics(batch, before["process"]))
+    _commit(store, version, rewritten, added, buckets=buckets)
+    return RunResult(True, (*rewritten, *added), _metrics(store.spark, counted))
+
+
+def summarise(store: StateTables, version: int | None = None) -> RunResult:
+    """Build the summaries of all processes anew, for a store that was filled in another way."""
+    version = store.version() + 1 if version is None else version
+    state = store.load("event", "step", "user_history")
+    _commit(store, version, {"summary": m.summarised(state["event"], state["step"], state["user_history"], EVENT_FLOOR)})
+    return RunResult(True, ("summary",))
 
 
 def logged(spark: SparkSession, log: str, run_id: str, clock: Callable[[], datetime], run: Callable[[], RunResult]) -> RunResult:
@@ -121,17 +184,23 @@ def logged(spark: SparkSession, log: str, run_id: str, clock: Callable[[], datet
 
 
 def audit(store: StateTables, snapshot: DataFrame, now, version: int | None = None) -> RunResult:
+    """Close what the snapshot shows as finished; only the buckets of these processes are written."""
     version = store.version() + 1 if version is None else version
-    before = store.load("process", "queue", "user_history")
-    changed = t.audit_close(before, snapshot, now)
-    _commit(store, version, changed)
+    work_dir(store.spark)
+    closing = t.closing_rows(store.load("process")["process"], snapshot, now).checkpoint()
+    buckets = store.touched(closing.select("id"))
+    before = store.load("process", "queue", "user_history", "summary", buckets=buckets)
+    left = before["user_history"].filter("is_current = 1").join(closing.select(F.col("id").alias("process")), "process", "left_semi")
+    changed = t.close_found(before, closing, now)
+    changed["summary"] = m.merged(before["summary"], _exits(left.select("process").distinct(), now))
+    _commit(store, version, changed, buckets=buckets)
     return RunResult(True, tuple(changed))
 
 
 def outbox(store: StateTables, now) -> DataFrame:
     """Slots and payloads of everything ready to send."""
     state = store.load()
-    return d.dispatch_batch(ready_queue(state), state["parameter"], now)
+    return d.dispatch_batch(ready_queue(state, summary=state["summary"]), state["parameter"], now)
 
 
 def dispatch(store: StateTables, now, run_id: str) -> RunResult:
@@ -158,10 +227,11 @@ def _booked(sent: DataFrame, responses: DataFrame) -> DataFrame:
 def record_outcomes(store: StateTables, sent: DataFrame, responses: DataFrame, now, version: int | None = None) -> DataFrame:
     """Book the responses of an outbox; returns the outcomes worth a message."""
     version = store.version() + 1 if version is None else version
-    before = store.load("queue", "sla")
     booked = _booked(sent, responses)
+    buckets = store.touched(booked.select("process"))
+    before = store.load("queue", "sla", buckets=buckets)
     _commit(store, version, {
-        "queue": t.apply_outcomes(before["queue"], booked, now), "sla": t.stamp_sla(before["sla"], booked, now)})
+        "queue": t.apply_outcomes(before["queue"], booked, now), "sla": t.stamp_sla(before["sla"], booked, now)}, buckets=buckets)
     return t.notifications(booked)
 
 
@@ -174,9 +244,10 @@ def book(store: StateTables, run_id: str, responses: DataFrame, now, target: str
     if store.booked(marker):
         return RunResult(False)
     version = store.version() + 1
-    before = store.load("queue", "sla", "outbox")
-    sent = before["outbox"].filter(F.col("run_id") == run_id)
+    sent = store.load("outbox")["outbox"].filter(F.col("run_id") == run_id)
     booked = _booked(sent, responses)
+    buckets = store.touched(booked.select("process"))
+    before = store.load("queue", "sla", buckets=buckets)
     outcome = booked.select(F.col("queue_id").alias("id_fila"), "status", "status_code", "request_id", "message")
     sends = sent.join(outcome, "id_fila").select(
         F.col("id_processo").alias("process"), "status_code", F.col("payload_json").alias("payload"), F.col("message").alias("response"))
@@ -187,5 +258,5 @@ def book(store: StateTables, run_id: str, responses: DataFrame, now, target: str
         "queue": t.apply_outcomes(before["queue"], booked, now), "sla": t.stamp_sla(before["sla"], booked, now),
     }, {
         "api_log": api_log_rows(sends, run_id, target, SEND_ACTION, now), "notification_log": notification_log_rows(notes, run_id, now),
-    }, marker)
+    }, marker, buckets)
     return RunResult(True, ("queue", "sla", "api_log", "notification_log"))

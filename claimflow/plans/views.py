@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimflow.functions import cleanse as c
 from claimflow.operators import relational as r
+from claimflow.operators import summaries as m
 
 Tables = dict[str, DataFrame]
 
@@ -18,9 +19,9 @@ def dispatchable(queue: DataFrame) -> DataFrame:
     return queue.filter(F.col("status").isin(1, 3) & (F.col("active") == 1))
 
 
-def _labelled_process(process: DataFrame, history: DataFrame, t: Tables, user_columns: dict[str, str]) -> DataFrame:
-    """One row per process with its labels and current user, before anything multiplies it."""
-    user = r.current_user(history).withColumnsRenamed({"process": "id", "user_id": "_user", "left_at": "_left_at"})
+def _labelled_process(process: DataFrame, user: DataFrame, t: Tables, user_columns: dict[str, str]) -> DataFrame:
+    """One row per process with its labels and current user (process, user_id, left_at), before anything multiplies it."""
+    user = user.withColumnsRenamed({"process": "id", "user_id": "_user", "left_at": "_left_at"})
     return r.with_labels(
         process.join(user, "id", "left"),
         (t["file_type"], "code", "file_type", {"_sigla": "sigla", "_file_label": "label"}),
@@ -35,20 +36,23 @@ def _labelled_process(process: DataFrame, history: DataFrame, t: Tables, user_co
 ROLES = {"insured": (1, 2), "broker": (3,), "analyst": (4,)}
 
 
-def _parties(t: Tables, keys: DataFrame, contact_tie: tuple[str, ...]) -> dict[str, DataFrame]:
-    """Parties of the given processes by role with their best e-mail and phone; at least one row per process.
+def _parties(t: Tables, keys: DataFrame, contact_tie: tuple[str, ...], cut: bool = True) -> dict[str, DataFrame]:
+    """Parties by role with their best e-mail and phone; at least one row per process of ``keys``.
 
-    Contacts are cut down to these parties before they are aggregated. A role's filter reaches its
-    scan of the parties; Spark reuses the exchange of the contacts for all three.
+    With ``cut``, parties and contacts are cut down to the given processes before they are aggregated. A contact
+    belongs to a party by process and party, so no hash has to tell processes apart. Parties are read and
+    joined once; each role's rows are taken out of that.
     """
-    party = t["party"].join(keys.withColumnRenamed("_process", "process"), "process", "left_semi")
-    contact = t["contact"].join(party.select(F.col("id").alias("party")), "party", "left_semi")
-    best = r.best_contact(contact, {"email": 3, "phone": 2}, tie=contact_tie).withColumnRenamed("party", "id")
+    wanted = keys.withColumnRenamed("_process", "process")
+    party, contact = t["party"], t["contact"]
+    if cut:
+        party, contact = party.join(wanted, "process", "left_semi"), contact.join(wanted, "process", "left_semi")
+    best = r.best_contact(contact, {"email": 3, "phone": 2}, ("process", "party"), tie=contact_tie).withColumnRenamed("party", "id")
+    people = party.join(best, ["process", "id"], "left").withColumnRenamed("process", "_process")
 
     def role(prefix: str, types: tuple[int, ...]) -> DataFrame:
-        rows = r.party_of_type(party, *types).join(best, "id", "left")
         names = ("id", "type", "name", "tax_id", "email_value", "phone_area", "phone_value")
-        rows = rows.select(F.col("process").alias("_process"), *[F.col(n).alias(f"{prefix}_{n}") for n in names])
+        rows = r.party_of_type(people, *types).select("_process", *[F.col(n).alias(f"{prefix}_{n}") for n in names])
         return r.with_every_key(rows, keys, "_process")
 
     return {name: role(name, types) for name, types in ROLES.items()}
@@ -77,15 +81,16 @@ def _of(table: DataFrame, keys: DataFrame, name: str = "process") -> DataFrame:
     return table.join(keys.withColumnRenamed("_process", name), name, "left_semi")
 
 
-def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",)) -> DataFrame:
+def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), summary: DataFrame | None = None) -> DataFrame:
     """Dispatchable queue rows, 37 columns. Several parties of a role multiply a row, as they should.
 
-    The queue is filtered first, and every other table is cut down to its processes.
+    The queue is filtered first, and every other table is cut down to its processes. With the kept
+    ``summary`` of processes the user history is not read.
     """
     queue = _prefixed(dispatchable(t["queue"]), "queue", ("id", "slot"))
     keys = _of(t["process"], queue.select("_process").distinct(), "id").select(F.col("id").alias("_process"))
-    process = _labelled_process(
-        _of(t["process"], keys, "id"), _of(t["user_history"], keys), t, {"_user_name": "name", "_user_email": "email"})
+    user = r.current_user(_of(t["user_history"], keys)) if summary is None else m.current_user(_of(summary, keys))
+    process = _labelled_process(_of(t["process"], keys, "id"), user, t, {"_user_name": "name", "_user_email": "email"})
     rows = process.join(queue, "_process").join(_vehicle(_of(t["vehicle"], keys)), "_process", "left")
     for role in _parties(t, keys, contact_tie).values():
         rows = rows.join(role, "_process")
@@ -123,17 +128,23 @@ def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",)) -> DataFrame:
     )
 
 
-def history(t: Tables, contact_tie: tuple[str, ...] = ("id",)) -> DataFrame:
-    """Every process with its queue, SLA, people and vehicle, 37 columns."""
+def history(t: Tables, contact_tie: tuple[str, ...] = ("id",), summary: DataFrame | None = None) -> DataFrame:
+    """Every process with its queue, SLA, people and vehicle, 37 columns.
+
+    With the kept ``summary`` of processes neither events nor steps nor the user history are read.
+    """
     keys = t["process"].select(F.col("id").alias("_process"))
-    parties = _parties(t, keys, contact_tie)
+    parties = _parties(t, keys, contact_tie, cut=False)
     insured = r.with_labels(parties["insured"], (t["party_type"], "code", "insured_type", {"insured_role": "label"}))
     queue = r.with_labels(
         _prefixed(t["queue"], "queue", ("id", "status", "message")),
         (t["queue_status"], "code", "queue_status", {"queue_sigla": "sigla"}),
     )
-    changes = r.last_change(t["process"], t["event"], t["step"]).withColumnRenamed("id", "_process")
-    rows = _labelled_process(t["process"], t["user_history"], t, {"_user_name": "name"}).join(changes, "_process", "left")
+    if summary is None:
+        user, changes = r.current_user(t["user_history"]), r.last_change(t["process"], t["event"], t["step"])
+    else:
+        user, changes = m.current_user(summary), m.last_change(t["process"], summary)
+    rows = _labelled_process(t["process"], user, t, {"_user_name": "name"}).join(changes.withColumnRenamed("id", "_process"), "_process", "left")
     for satellite in (queue, _prefixed(t["sla"], "sla", ("id", "captured", "sent")), _vehicle(t["vehicle"])):
         rows = rows.join(satellite, "_process", "left")
     for role in (insured, parties["broker"], parties["analyst"]):
@@ -188,7 +199,7 @@ def pending_queue(view: DataFrame) -> DataFrame:
     return view.orderBy(F.col("data_portal").asc_nulls_first(), "id_fila")
 
 
-def register_views(spark: SparkSession, t: Tables) -> None:
+def register_views(spark: SparkSession, t: Tables, summary: DataFrame | None = None) -> None:
     """Both views under the names BI queries use."""
-    ready_queue(t).createOrReplaceTempView(VIEW_NAMES["ready"])
-    history(t).createOrReplaceTempView(VIEW_NAMES["history"])
+    ready_queue(t, summary=summary).createOrReplaceTempView(VIEW_NAMES["ready"])
+    history(t, summary=summary).createOrReplaceTempView(VIEW_NAMES["history"])

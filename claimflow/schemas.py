@@ -61,7 +61,8 @@ TABLES: dict[str, StructType] = {
     "party": _struct(
         ("id", LONG), ("process", LONG), ("type", INT), ("name", TEXT), ("tax_id", TEXT), ("loaded_at", TS)),
     "contact": _struct(
-        ("id", LONG), ("party", LONG), ("type", INT), ("area", INT), ("value", TEXT), ("principal", INT), ("loaded_at", TS)),
+        ("id", LONG), ("process", LONG), ("party", LONG), ("type", INT), ("area", INT), ("value", TEXT), ("principal", INT),
+        ("loaded_at", TS)),
     "event": _struct(
         ("process", LONG), ("event", LONG), ("text", TEXT), ("happened_at", TS), ("loaded_at", TS)),
     "step": _struct(
@@ -71,6 +72,8 @@ TABLES: dict[str, StructType] = {
         ("id", LONG), ("process", LONG), ("received", TS), ("captured", TS), ("sent", TS), ("queue_minutes", INT), ("status", TEXT)),
     "user_history": _struct(
         ("process", LONG), ("user_id", INT), ("entered_at", TS), ("left_at", TS), ("is_current", INT)),
+    # what the runs keep of a process's events, steps and users, so that they need not be read again
+    "summary": _struct(("process", LONG), ("first_event", TS), ("changed_at", TS), ("user_id", INT), ("left_at", TS)),
     "robot_user": _struct(("id", INT), ("name", TEXT), ("login", TEXT), ("email", TEXT)),
     "portal_status": _struct(
         ("code", INT), ("label", TEXT), ("context", TEXT), ("operator_status", INT), ("final", INT), ("active", INT)),

@@ -21,37 +21,79 @@ PARTY_TYPES = [(1, "Segurado"), (2, "Terceiro"), (3, "Corretor"), (4, "Analista
 
 CONTACT_TYPES = [(1, "Telefone Fixo"), (2, "Telefone Celular"), (3, "E-mail")]
 
-PARAMETERS = [("ID_SOLICITANTE", None, 80), ("ID_SERVICO", None, 2), ("ID_NATUREZA", None, 3)]
-
-# Telephone area codes by state, and the states with their regions.
-AREA_CODES = """
-11 SP  12 SP  13 SP  14 SP  15 SP  16 SP  17 SP  18 SP  19 SP
-21 RJ  22 RJ  24 RJ  27 ES  28 ES
-31 MG  32 MG  33 MG  34 MG  35 MG  37 MG  38 MG
-41 PR  42 PR  43 PR  44 PR  45 PR  46 PR  47 SC  48 SC  49 SC
-51 RS  53 RS  54 RS  55 RS
-61 DF  62 GO  63 TO  64 GO  65 MT  66 MT  67 MS  68 AC  69 RO
-71 BA  73 BA  74 BA  75 BA  77 BA  79 SE
-81 PE  82 AL  83 PB  84 RN  85 CE  86 PI  87 PE  88 CE  89 PI
-91 PA  92 AM  93 PA  94 PA  95 RR  96 AP  97 AM  98 MA  99 MA
-"""
-
-STATES = {
-    "AC": ("Acre", "Norte"), "AL": ("Alagoas", "Nordeste"), "AM": ("Amazonas", "Norte"), "AP": ("Amapá", "Norte"),
-    "BA": ("Bahia", "Nordeste"), "CE": ("Ceará", "Nordeste"), "DF": ("Distrito Federal", "Centro-Oeste"),
-    "ES": ("Espírito Santo", "Sudeste"), "GO": ("Goiás", "Centro-Oeste"), "MA": ("Maranhão", "Nordeste"),
-    "MG": ("Minas Gerais", "Sudeste"), "MS": ("Mato Grosso do Sul", "Centro-Oeste"),
-    "MT": ("Mato Grosso", "Centro-Oeste"), "PA": ("Pará", "Norte"), "PB": ("Paraíba", "Nordeste"),
-    "PE": ("Pernambuco", "Nordeste"), "PI": ("Piauí", "Nordeste"), "PR": ("Paraná", "Sul"),
-    "RJ": ("Rio de Janeiro", "Sudeste"), "RN": ("Rio Grande do Norte", "Nordeste"), "RO": ("Rondônia", "Norte"),
-    "RR": ("Roraima", "Norte"), "RS": ("Rio Grande do Sul", "Sul"), "SC": ("Santa Catarina", "Sul"),
-    "SE": ("Sergipe", "Nordeste"), "SP": ("São Paulo", "Sudeste"), "TO": ("Tocantins", "Norte"),
-}
-
-
-def area_rows() -> list[tuple[int, str, str, str]]:
-    words = AREA_CODES.split()
-    return [(int(code), uf, *STATES[uf]) for code, uf in zip(words[::2], words[1::2])]
+# the address that notifications go to is set where the engine runs
+PARAMETERS = [("WEBHOOK_POWER_AUTOMATE", "COLE_SUA_URL_AQUI", None), ("ID_SOLICITANTE", None, 80), ("ID_SERVICO", None, 2), ("ID_NATUREZA", None, 3)]
+
+# Telephone area codes with their state and region.
+AREA_CODES = [
+    (11, "SP", "São Paulo", "Sudeste"),
+    (12, "SP", "São Paulo", "Sudeste"),
+    (13, "SP", "São Paulo", "Sudeste"),
+    (14, "SP", "São Paulo", "Sudeste"),
+    (15, "SP", "São Paulo", "Sudeste"),
+    (16, "SP", "São Paulo", "Sudeste"),
+    (17, "SP", "São Paulo", "Sudeste"),
+    (18, "SP", "São Paulo", "Sudeste"),
+    (19, "SP", "São Paulo", "Sudeste"),
+    (21, "RJ", "Rio de Janeiro", "Sudeste"),
+    (22, "RJ", "Rio de Janeiro", "Sudeste"),
+    (24, "RJ", "Rio de Janeiro", "Sudeste"),
+    (27, "ES", "Espírito Santo", "Sudeste"),
+    (28, "ES", "Espírito Santo", "Sudeste"),
+    (31, "MG", "Minas Gerais", "Sudeste"),
+    (32, "MG", "Minas Gerais", "Sudeste"),
+    (33, "MG", "Minas Gerais", "Sudeste"),
+    (34, "MG", "Minas Gerais", "Sudeste"),
+    (35, "MG", "Minas Gerais", "Sudeste"),
+    (37, "MG", "Minas Gerais", "Sudeste"),
+    (38, "MG", "Minas Gerais", "Sudeste"),
+    (41, "PR", "Paraná", "Sul"),
+    (42, "PR", "Paraná", "Sul"),
+    (43, "PR", "Paraná", "Sul"),
+    (44, "PR", "Paraná", "Sul"),
+    (45, "PR", "Paraná", "Sul"),
+    (46, "PR", "Paraná", "Sul"),
+    (47, "SC", "Santa Catarina", "Sul"),
+    (48, "SC", "Santa Catarina", "Sul"),
+    (49, "SC", "Santa Catarina", "Sul"),
+    (51, "RS", "Rio Grande do Sul", "Sul"),
+    (53, "RS", "Rio Grande do Sul", "Sul"),
+    (54, "RS", "Rio Grande do Sul", "Sul"),
+    (55, "RS", "Rio Grande do Sul", "Sul"),
+    (61, "DF", "Distrito Federal", "Centro-Oeste"),
+    (62, "GO", "Goiás", "Centro-Oeste"),
+    (63, "TO", "Tocantins", "Norte"),
+    (64, "GO", "Goiás", "Centro-Oeste"),
+    (65, "MT", "Mato Grosso", "Centro-Oeste"),
+    (66, "MT", "Mato Grosso", "Centro-Oeste"),
+    (67, "MS", "Mato Grosso do Sul", "Centro-Oeste"),
+    (68, "AC", "Acre", "Norte"),
+    (69, "RO", "Rondônia", "Norte"),
+    (71, "BA", "Bahia", "Nordeste"),
+    (73, "BA", "Bahia", "Nordeste"),
+    (74, "BA", "Bahia", "Nordeste"),
+    (75, "BA", "Bahia", "Nordeste"),
+    (77, "BA", "Bahia", "Nordeste"),
+    (79, "SE", "Sergipe", "Nordeste"),
+    (81, "PE", "Pernambuco", "Nordeste"),
+    (82, "AL", "Alagoas", "Nordeste"),
+    (83, "PB", "Paraíba", "Nordeste"),
+    (84, "RN", "Rio Grande do Norte", "Nordeste"),
+    (85, "CE", "Ceará", "Nordeste"),
+    (86, "PI", "Piauí", "Nordeste"),
+    (87, "PE", "Pernambuco", "Nordeste"),
+    (88, "CE", "Ceará", "Nordeste"),
+    (89, "PI", "Piauí", "Nordeste"),
+    (91, "PA", "Pará", "Norte"),
+    (92, "AM", "Amazonas", "Norte"),
+    (93, "PA", "Pará", "Norte"),
+    (94, "PA", "Pará", "Norte"),
+    (95, "RR", "Roraima", "Norte"),
+    (96, "AP", "Amapá", "Norte"),
+    (97, "AM", "Amazonas", "Norte"),
+    (98, "MA", "Maranhão", "Nordeste"),
+    (99, "MA", "Maranhão", "Nordeste"),
+]
 
 
 def dictionaries(spark: SparkSession, *names: str) -> dict[str, DataFrame]:
@@ -61,7 +103,7 @@ def dictionaries(spark: SparkSession, *names: str) -> dict[str, DataFrame]:
         "queue_status": [(*row, 1) for row in QUEUE_STATUSES],
         "party_type": [(*row, 1) for row in PARTY_TYPES],
         "contact_type": [(*row, 1) for row in CONTACT_TYPES],
-        "area_code": [(*row, 1) for row in area_rows()],
+        "area_code": [(*row, 1) for row in AREA_CODES],
         "parameter": PARAMETERS,
     }
     return {name: _inline(spark, name, rows) for name, rows in seeds.items() if not names or name in names}

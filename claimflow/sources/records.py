@@ -19,6 +19,18 @@ def read_portal_records(spark: SparkSession, path: str, streaming: bool = False,
     return records if streaming else with_order(records)
 
 
+def read_detail_records(spark: SparkSession, path: str) -> DataFrame:
+    """JSON-lines records with ``_keys``, the keys each one really has: a key with null is told from no key.
+
+    A line that is no JSON object has neither keys nor values.
+    """
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    read = lines.select(
+        F.from_json("value", RECORD).alias("record"), F.json_object_keys("value").alias("_keys"),
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    return with_order(read.select("record.*", "_keys", "_file", "_start"))
+
+
 def with_order(records: DataFrame) -> DataFrame:
     """Reading order as ``_order``: file, offset of the split, position inside the split.
 

@@ -1,10 +1,8 @@
-"""Table scans, versioned state tables and append-only logs.
+"""Table scans, state tables by bucket, and append-only logs.
 
-State tables are plain parquet. A transition never overwrites what it reads: new rows
-and rewritten tables go to new folders, and appended commit lines make them visible
-together. A run that only adds rows writes only those rows. A version that is already
-committed is skipped. A commit may carry a marker that says what it booked, so that a
-replay is recognised whatever else was committed in between.
+State tables are plain partitioned parquet. The rows of a process lie in one bucket of every table it has rows in, so a
+run reads and rewrites the buckets its batch touches, by dynamic partition overwrite. All tables of a run
+are written to a staging folder first, as their plans read each other's old rows, and then put in place.
 """
 
 from __future__ import annotations
@@ -13,17 +11,23 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from claimflow.functions.clock import stamp
 from claimflow.schemas import TABLES
 from claimflow.sources.dictionaries import dictionaries
 
 WRITERS = 6
-# raw records by capture date, so that reads can prune
-PARTITIONED = {"raw_history": ("capture_date",)}
-_COMMIT = "version long, table string, path string, whole boolean, marker string"
+#: Buckets of a store; a bucket of the largest table should fit a few tasks.
+BUCKETS = 64
+#: Tables kept by bucket of a process, with the column that names it.
+KEYED = {"process": "id", "raw_latest": "id"} | dict.fromkeys(
+    ("queue", "vehicle", "party", "contact", "event", "step", "document", "sla", "user_history", "summary"), "process")
+#: Tables that only grow: a run's rows are partitions of their own, which a repeated run replaces.
+APPENDED = {"raw_history": ("capture_date", "version")} | dict.fromkeys(("outbox", "run_log", "api_log", "notification_log"), ("version",))
+_COMMIT = "version long, marker string, staged string, modes map<string, string>"
 
 
 class CommitRefused(RuntimeError):
@@ -45,88 +49,167 @@ def known_ids(table: DataFrame, key: str = "id") -> DataFrame:
     return table.select(key).distinct()
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("long")), F.lit(buckets)).cast("int")
+
+
 class StateTables:
-    """Committed versions of the state tables under one shared folder."""
+    """The state tables under one shared folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A run loads the buckets it touches, computes their new rows and commits them as the next version. Runs follow one
+    another: a second writer of a version is refused. The commit file is written between staging and putting in place, so
+    a run that was broken off before it has changed nothing, and one after it is finished by the next
+    (``version`` does so). Who reads while tables are put in place may see some of them before others.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
+        self.buckets = self._settled(buckets)
 
     def _path(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _commits(self) -> DataFrame:
-        fs, path = self._path("commits")
-        if not fs.exists(path):
-            return self.spark.createDataFrame([], _COMMIT)
-        return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
-
-    def _publish(self, version: int, rows: list[tuple]) -> None:
-        """One file per version, which only one writer can create."""
-        fs, path = self._path(f"commits/{version:012d}.json")
-        names = [column.split()[0] for column in _COMMIT.split(", ")]
-        text = "".join(json.dumps(dict(zip(names, row))) + "\n" for row in rows)
+    def _create(self, name: str, text: str) -> bool:
+        """Write a small file that only one writer can create."""
+        fs, path = self._path(name)
         try:
             out = fs.create(path, False)
-        except Exception as error:
-            raise CommitRefused(f"version {version} is taken") from error
+        except Exception:
+            if fs.exists(path):
+                return False
+            raise
         out.write(bytearray(text, "utf-8"))
         out.close()
+        return True
+
+    def _settled(self, buckets: int) -> int:
+        """The number of buckets the folder was created with."""
+        self._create("buckets.json", json.dumps({"buckets": buckets}))
+        return self.spark.read.schema("buckets int").json(f"{self.root}/buckets.json").first()["buckets"]
+
+    # --- versions
+
+    def _versions(self) -> list[int]:
+        fs, path = self._path("commits")
+        return [int(file.getPath().getName().split(".")[0]) for file in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
 
     def booked(self, marker: str) -> bool:
-        """Whether a commit with this marker is visible."""
-        return not self._commits().filter(F.col("marker") == marker).isEmpty()
+        """Whether a commit with this marker was made."""
+        return bool(self._versions()) and not self._commits().filter(F.col("marker") == marker).isEmpty()
 
     def version(self) -> int:
-        """Last committed version, -1 for none."""
-        return self._commits().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
-
-    def load(self, *names: str) -> dict[str, DataFrame]:
-        """Each table: its last whole folder and the rows added since."""
-        commits = self._commits()
-        whole = commits.filter("whole").groupBy("table").agg(F.max("version").alias("base"))
-        # a line per table and run since its last rewrite, no data
-        live = commits.join(whole, "table", "left").filter("version >= coalesce(base, 0)")
-        paths: dict[str, list[str]] = {}
-        for row in live.orderBy("version").collect():
-            paths.setdefault(row["table"], []).append(row["path"])
-        return {name: self._scan(name, paths[name]) if name in paths else empty(self.spark, name) for name in names or tuple(TABLES)}
-
-    def _scan(self, name: str, paths: list[str]) -> DataFrame:
-        reader = self.spark.read.schema(TABLES[name])
-        if name in PARTITIONED:  # one table in several folders, each with its partitions
-            reader = reader.option("basePath", f"{self.root}/{name}")
-        return reader.parquet(*paths).select(*TABLES[name].fieldNames())
+        """Last committed version, -1 for none. What a broken-off run left to put in place is put in place."""
+        last = max(self._versions(), default=-1)
+        if last >= 0:
+            commit = self.spark.read.schema(_COMMIT).json(f"{self.root}/commits/{last:012d}.json").first()
+            fs, staged = self._path(f"staged/{commit['staged']}")
+            if fs.exists(staged):
+                self._put_in_place(commit["staged"], commit["modes"])
+        return last
+
+    # --- reading
+
+    def touched(self, keys: DataFrame) -> list[int]:
+        """The buckets of the processes named by the only column; never more than there are buckets."""
+        found = keys.select(bucket_of(F.col(keys.columns[0]), self.buckets).alias("bucket")).distinct()
+        return sorted(row["bucket"] for row in found.collect())
+
+    def load(self, *names: str, buckets: list[int] | None = None) -> dict[str, DataFrame]:
+        """The tables, of those kept by process only the given buckets."""
+        return {name: self._scan(name, buckets) for name in names or tuple(TABLES)}
+
+    def _scan(self, name: str, buckets: list[int] | None) -> DataFrame:
+        fs, path = self._path(name)
+        if not fs.exists(path):
+            return empty(self.spark, name)
+        table = self.spark.read.schema(_stored(name)).parquet(f"{self.root}/{name}")
+        if buckets is not None and name in KEYED:
+            table = table.filter(F.col("bucket").isin(buckets) if buckets else F.lit(False))
+        return table.select(*TABLES[name].fieldNames())
+
+    # --- writing
 
     def commit(
         self, version: int, tables: dict[str, DataFrame], added: dict[str, DataFrame] | None = None, marker: str | None = None,
+        buckets: list[int] | None = None,
     ) -> bool:
-        """Write rewritten ``tables`` and the rows ``added`` to others, and publish them together.
+        """Publish ``tables`` and the rows ``added`` to others as a version.
 
+        With ``buckets``, tables kept by process hold the new rows of these buckets, and other buckets are left alone;
+        without, they are whole tables. Rows for another bucket are refused. A table never loses all rows of a bucket.
         False for a version that is already committed; ``CommitRefused`` if another writer takes it meanwhile.
         """
         if version <= self.version():
             return False
-        rows = []
-
-        def write(name: str, table: DataFrame, whole: bool) -> None:
-            # a folder of its own: a refused writer leaves nothing that another one reads
-            path = f"{self.root}/{name}/v={version}-{uuid4().hex}"
-            fields = [f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in TABLES[name]]
-            table.selectExpr(*fields).write.partitionBy(*PARTITIONED.get(name, ())).mode("overwrite").parquet(path)
-            rows.append((version, name, path, whole, marker))
+        name = f"{version:012d}-{uuid4().hex}"
+        whole = "whole" if buckets is None else "buckets"
+        content = {table: (rows, whole if table in KEYED else "whole") for table, rows in tables.items()}
+        for table, rows in (added or {}).items():
+            if table in APPENDED:
+                content[table] = rows, "added"
+            elif table in KEYED:
+                within = self.touched(rows.select(KEYED[table])) if buckets is None else buckets
+                content[table] = self._scan(table, within).unionByName(rows), "buckets"
+            else:
+                content[table] = self._scan(table, None).unionByName(rows), "whole"
+
+        def stage(table: str) -> None:
+            rows = content[table][0].selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in TABLES[table]])
+            if table in KEYED:  # one file per bucket, more for a large one
+                rows = rows.withColumn("bucket", bucket_of(F.col(KEYED[table]), self.buckets)).hint("rebalance", "bucket")
+            if table in APPENDED:
+                rows = rows.withColumn("version", F.lit(version).cast("long"))
+            rows.write.partitionBy(*_partitions(table)).parquet(f"{self.root}/staged/{name}/{table}")
 
         # the tables are independent: small ones need not wait for large ones
         with ThreadPoolExecutor(WRITERS) as pool:
-            jobs = [pool.submit(write, name, table, True) for name, table in tables.items()]
-            jobs += [pool.submit(write, name, table, False) for name, table in (added or {}).items()]
-            for job in jobs:
+            for job in [pool.submit(stage, table) for table in content]:
                 job.result()
-        self._publish(version, rows)
+        modes = {table: mode for table, (_, mode) in content.items()}
+        if buckets is not None:
+            self._refuse_others(name, modes, set(buckets))
+        commit = {"version": version, "marker": marker, "staged": name, "modes": modes}
+        if not self._create(f"commits/{version:012d}.json", json.dumps(commit) + "\n"):
+            self._drop(name)
+            raise CommitRefused(f"version {version} is taken")
+        self._put_in_place(name, modes)
         return True
 
+    def _refuse_others(self, staged: str, modes: dict[str, str], buckets: set[int]) -> None:
+        for table in [table for table in modes if table in KEYED]:
+            if others := self.written(f"staged/{staged}/{table}") - buckets:
+                self._drop(staged)
+                raise ValueError(f"{table} has rows of the buckets {sorted(others)}, which this run does not touch")
+
+    def written(self, folder: str) -> set[int]:
+        """The buckets that a table's folder has."""
+        fs, path = self._path(folder)
+        names = [file.getPath().getName() for file in fs.listStatus(path)]
+        return {int(name.split("=")[1]) for name in names if name.startswith("bucket=")}
+
+    def _put_in_place(self, staged: str, modes: dict[str, str]) -> None:
+        """Put what was staged in place. Doing it again changes nothing."""
+
+        def put(table: str) -> None:
+            rows = self.spark.read.schema(_stored(table)).parquet(f"{self.root}/staged/{staged}/{table}")
+            how = "static" if modes[table] == "whole" else "dynamic"
+            rows.write.mode("overwrite").option("partitionOverwriteMode", how).partitionBy(*_partitions(table)).parquet(f"{self.root}/{table}")
+
+        with ThreadPoolExecutor(WRITERS) as pool:
+            for job in [pool.submit(put, table) for table in modes]:
+                job.result()
+        self._drop(staged)
+
+    def _drop(self, staged: str) -> None:
+        fs, path = self._path(f"staged/{staged}")
+        fs.delete(path, True)
+
     def compact(self, *names: str) -> bool:
-        """Rewrite tables as one folder each, so that a scan no longer lists what each run added."""
+        """Write tables anew, so that what many runs appended is in few files."""
         return self.commit(self.version() + 1, self.load(*names))
 
     def seed(self) -> bool:
@@ -134,6 +217,17 @@ class StateTables:
         return self.commit(0, dictionaries(self.spark))
 
 
+def _partitions(name: str) -> tuple[str, ...]:
+    return ("bucket",) if name in KEYED else APPENDED.get(name, ())
+
+
+def _stored(name: str) -> StructType:
+    """A table's schema with the columns that only name its folders."""
+    kinds = {"bucket": IntegerType(), "version": LongType()}
+    extra = [StructField(column, kinds[column]) for column in _partitions(name) if column in kinds]
+    return StructType([*TABLES[name].fields, *extra])
+
+
 def append_history(batch: DataFrame, path: str) -> None:
     """Raw history: append-only, one folder per capture date so that reads can prune."""
     dated = batch.withColumn("capture_date", F.col("captured_at").cast("date"))
