@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimflow.llm.scratch import save
-from claimflow.llm.words import Words, chunks, group_hashes, mix, span_hashes, windows, words_of
+from claimflow.llm.words import Words, chunks, group_hashes, mix, run_hash, span_hashes, windows, words_of
 
 WINDOW = 6
 #: A window needs so many words that are no placeholders.
@@ -39,6 +39,8 @@ UNITS = (
 _LITERAL, _NUMBER, _NAME, _UNIT = 0, 1, 2, 3
 #: A capitalised word that begins a sentence, read as a name.
 _START = 4
+#: How a window is looked for, and the sizes of items that have no full one.
+_PATTERN, _EXACT, SHORT = 0, 1, tuple(range(1, WINDOW))
 
 _DIGIT = np.zeros(256, bool)
 _DIGIT[0x30:0x3A] = True
@@ -51,6 +53,17 @@ _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?:;")] = True
 
 
+#: Digits and lower-case letters of a byte, as two counts in one number; capitals apart.
+_COUNTED = _DIGIT.astype(np.int64) + (_LOWERCASE.astype(np.int64) << 32)
+_CAPITALS = _UPPER.astype(np.int64)
+#: What can be read as names of a window's capitalised words at the start of sentences: the non-empty parts of each set.
+_READINGS = [[part for part in range(1, 1 << WINDOW) if part & whole == part] for whole in range(1 << WINDOW)]
+_READING_COUNT = np.array([len(parts) for parts in _READINGS])
+_READING_START = np.concatenate([[0], np.cumsum(_READING_COUNT)[:-1]])
+_READING_LIST = np.array([part for parts in _READINGS for part in parts], np.int64)
+_ONES = np.array([part.bit_count() for part in range(1 << WINDOW)])
+
+
 def _literal_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(hash of the letters and digits of each word, their number)."""
     keep = _DIGIT[words.data] | _LOWERCASE[words.data]
@@ -60,7 +73,7 @@ def _literal_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _known(listed: str) -> np.ndarray:
-    return np.sort(_literal_hashes(words_of(pa.array([listed])))[0])
+    return np.sort(_literal_hashes(words_of(pa.array([listed]), hashed=False))[0])
 
 
 def _in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -69,22 +82,20 @@ def _in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def template(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
     """(words with template hashes, literal hashes, types, whether it may also be a name). Words of symbols alone are left out."""
-    words = words_of(column)
+    words = words_of(column, hashed=False)
     literal, size = _literal_hashes(words)
-
-    def count(mark, start, end):
-        sums = np.concatenate([[0], np.cumsum(mark)])
-        return sums[end] - sums[start]
-
-    digits = count(_DIGIT[words.raw], words.start, words.end)
-    number = ((digits > 0) & (size - digits <= 3)) | _in(literal, _NUMBERS)
     kind, either = np.full(len(literal), _LITERAL, np.int64), np.zeros(len(literal), bool)
     if len(literal):
-        capital = _UPPER[words.raw[words.start]] & (count(_LOWERCASE[words.raw], words.start, words.end) > 0)
-        capital &= count(_UPPER[words.raw], words.start, words.end) == 1
+        def count(values):
+            sums = np.concatenate([[0], np.cumsum(values[words.raw])])
+            return sums[words.end] - sums[words.start]
+
+        digits, small = np.divmod(count(_COUNTED), 1 << 32)[::-1]
+        number = ((digits > 0) & (size - digits <= 3)) | _in(literal, _NUMBERS)
+        capital = _UPPER[words.raw[words.start]] & (small > 0) & (count(_CAPITALS) == 1)
         follows = np.zeros(len(literal), bool)  # inside a sentence
-        gap = count(words.raw == 0x0A, words.end[:-1], words.start[1:])
-        follows[1:] = (words.text[1:] == words.text[:-1]) & ~_ENDS[words.raw[words.end[:-1] - 1]] & (gap == 0)
+        breaks = np.searchsorted(np.flatnonzero(words.raw == 0x0A), words.start)
+        follows[1:] = (words.text[1:] == words.text[:-1]) & ~_ENDS[words.raw[words.end[:-1] - 1]] & (breaks[1:] == breaks[:-1])
         kind[capital & follows] = _NAME
         kind[number] = _NUMBER
         after = np.zeros(len(literal), bool)
@@ -99,68 +110,99 @@ def template(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarra
 
 
 _NUMBERS, _UNITS = _known(NUMBERS), _known(UNITS)
+_AS_NAME = mix(np.array([_NAME], np.uint64))[0]
 
 
-def _windows(column: pa.Array):
-    """(text, place in the text, hash, first word, literals, types of each window, text digests) of all full windows with enough literals.
+def _windows(column: pa.Array, short: tuple[int, ...] = (), passes=None, item: bool = False):
+    """(text, place in the text, hash, literals, types, size, text digests) of the windows of texts, one row per window and reading.
 
-    A capitalised word that begins a sentence may be a name: a window is there under every reading of these words.
+    A full window with enough literals is there by its template. A capitalised word that begins a sentence may be a name,
+    so the window is there under every reading of these words. A full window with fewer literals is there by its own words, and so is
+    every run of one of the ``short`` sizes. A window of an ``item`` is there by its own words, too, if names may leave it with fewer literals:
+    what begins the item may stand inside a sentence elsewhere. literals and types have WINDOW columns, beyond the size of a run zeros.
+    ``passes`` tells by the hashes which windows are wanted at all.
     """
     words, literal, kind, either = template(column)
     text, at, value = windows(words, WINDOW)
     full = words.counts[text] >= WINDOW
     text, at, value = text[full], at[full], value[full]
-    inside = at[:, None] + np.arange(WINDOW)
-    types = kind[inside] if len(at) else np.zeros((0, WINDOW), np.int64)
-    spare = (types == _LITERAL).sum(axis=1) - LEAST_LITERALS
-    open_ = (either[inside] @ (1 << np.arange(WINDOW))) if len(at) else np.zeros(0, np.int64)
-    name = mix(np.array([_NAME], np.uint64))[0]
-    found = [(np.flatnonzero(spare >= 0), value[spare >= 0], types[spare >= 0])]
-    some = np.flatnonzero((open_ > 0) & (spare > 0))
-    for reading in range(1, 1 << WINDOW if len(some) else 0):
-        here = some[(open_[some] & reading == reading) & (spare[some] >= reading.bit_count())]
-        if len(here):
-            chosen = (reading >> np.arange(WINDOW)) & 1 == 1
-            hashes = np.where(chosen, name, words.hash[inside[here]])
-            unit = replace(words, hash=hashes.ravel(), first=np.arange(0, len(here) * WINDOW + 1, WINDOW))
-            found.append((here, windows(unit, WINDOW)[2], np.where(chosen, _START, types[here])))
-    row, value, types = (np.concatenate(parts) for parts in zip(*found))
-    return text[row], at[row] - words.first[text[row]], value, at[row], literal, types, _digests(literal, words)
+    literals = np.concatenate([[0], np.cumsum(kind == _LITERAL)])
+    spare = literals[at + WINDOW] - literals[at] - LEAST_LITERALS
+    enough = np.flatnonzero(spare >= 0)
+    found = [(WINDOW, _PATTERN, text[enough], at[enough], value[enough], np.zeros(len(enough), np.int64))]
+    open_ = np.zeros(len(at), np.int64)
+    if either.any():
+        for i in range(WINDOW if len(at) else 0):
+            open_ |= either[at + i].astype(np.int64) << i
+        some = np.flatnonzero((open_ > 0) & (spare > 0))
+        many = _READING_COUNT[open_[some]]
+        row = np.repeat(some, many)
+        reading = _READING_LIST[np.repeat(_READING_START[open_[some]] - np.concatenate([[0], np.cumsum(many)])[:-1], many) + np.arange(len(row))]
+        right = spare[row] >= _ONES[reading]
+        row, reading = row[right], reading[right]
+        parts = [np.where((reading >> i) & 1 == 1, _AS_NAME, words.hash[at[row] + i]) for i in range(WINDOW if len(row) else 0)]
+        found.append((WINDOW, _PATTERN, text[row], at[row], run_hash(parts, len(row)), reading))
+    few = spare < (_ONES[open_] if item else 0)
+    found.append((WINDOW, _EXACT, *_exact(literal, text[few], at[few], WINDOW)))
+    for size in short:
+        run, start, _ = windows(words, size)
+        whole = words.counts[run] >= size
+        found.append((size, _EXACT, *_exact(literal, run[whole], start[whole], size)))
+    if passes is not None:
+        wanted = [passes(one[4]) for one in found]
+        found = [(size, how, *(part[keep] for part in parts)) for (size, how, *parts), keep in zip(found, wanted)]
+    size, how = (np.repeat([one[i] for one in found], [len(one[2]) for one in found]) for i in (0, 1))
+    text, at, value, reading = (np.concatenate([one[i] for one in found]) for i in (2, 3, 4, 5))
+    inside = np.minimum(at[:, None] + np.arange(WINDOW), max(len(literal) - 1, 0))
+    here = np.arange(WINDOW) < size[:, None]
+    nothing = np.zeros((0, WINDOW), np.int64)
+    taken = np.where(here, literal[inside], np.uint64(0)) if len(at) else nothing.astype(np.uint64)
+    types = np.where((reading[:, None] >> np.arange(WINDOW)) & 1 == 1, _START, kind[inside]) if len(at) else nothing
+    types = np.where((how == _PATTERN)[:, None], types, _LITERAL)
+    return text, at - words.first[text], value, taken, types, np.where(how == _PATTERN, 0, size), words.counts, _digests(literal, words)
+
+
+def _exact(literal: np.ndarray, text: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """(text, first word, hash, no reading) of runs of ``size`` words, by the words themselves."""
+    value = run_hash([literal[at + i] for i in range(size if len(at) else 0)], len(at))
+    return text, at, mix(value + np.uint64(size)), np.zeros(len(at), np.int64)
 
 
 def _digests(literal: np.ndarray, words: Words) -> np.ndarray:
     return group_hashes(literal, words.first) if len(literal) else np.zeros(len(words.first) - 1, np.uint64)
 
 
-def _lists(values: np.ndarray, at: np.ndarray, dtype) -> pa.Array:
-    return _rows(values[(at[:, None] + np.arange(WINDOW)).ravel()], dtype)
-
-
-def _rows(flat: np.ndarray, dtype) -> pa.Array:
-    return pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, WINDOW, dtype=np.int32), pa.array(flat.view(dtype)))
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(0, values.size + 1, WINDOW, dtype=np.int32), pa.array(values.ravel().view(np.int64)))
 
 
 def _item_windows(batches):
+    """The windows of items: by template; for an item without any of these by its own words; for a short one as a whole."""
     for batch in batches:
         for part in chunks(batch, "text"):
-            text, place, value, at, literal, types, _ = _windows(part.column("text"))
+            text, place, value, taken, types, size, counts, _ = _windows(part.column("text"), SHORT, item=True)
+            by_template = np.bincount(text[size == 0], minlength=len(counts)) > 0
+            spot = text * (1 << 32) + place
+            own = (size == np.minimum(counts, WINDOW)[text]) & (~by_template[text] | np.isin(spot, spot[size == 0]))
+            keep = (size == 0) | own
             yield pa.RecordBatch.from_pydict({
-                "item_id": part.column("item_id").take(pa.array(text)), "place": place, "hash": value.view(np.int64),
-                "words": _lists(literal, at, np.int64), "types": _rows(types.ravel(), np.int64),
+                "item_id": part.column("item_id").take(pa.array(text[keep])), "place": place[keep], "hash": value[keep].view(np.int64),
+                "words": _lists(taken[keep]), "types": _lists(types[keep]), "size": size[keep],
             })
 
 
-def _document_windows(bits: np.ndarray):
+def _document_windows(bits: np.ndarray, short: tuple[int, ...]):
+    def passes(value: np.ndarray) -> np.ndarray:
+        bit = (value & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        return (bits[bit >> 6] >> (bit & 63)) & 1 == 1
+
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
-                text, place, value, at, literal, types, digest = _windows(part.column("text"))
-                bit = (value & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                seen = (bits[bit >> 6] >> (bit & 63)) & 1 == 1
+                text, place, value, taken, types, _, _, digest = _windows(part.column("text"), short, passes)
                 yield pa.RecordBatch.from_pydict({
-                    "key": part.column("key").take(pa.array(text[seen])), "copy": digest[text[seen]].view(np.int64), "at": place[seen],
-                    "hash": value[seen].view(np.int64), "found": _lists(literal, at[seen], np.int64),
-                    "plain": pa.array((types[seen] != _START).all(axis=1)),
+                    "key": part.column("key").take(pa.array(text)), "copy": digest[text].view(np.int64), "at": place,
+                    "hash": value.view(np.int64), "found": _lists(taken), "plain": pa.array((types != _START).all(axis=1)),
                 })
 
     return run
@@ -203,22 +245,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = LEAST_SHA
     slot values in them and ``consistent`` the share of these with a single counterpart (1 without
     slots). The whole document is judged as one occurrence, and so is each occurrence in it by its
     position (``_occurrences``); one that passes is enough, and the figures are those of the one
-    with most windows. Items of fewer than WINDOW words have no window and contaminate nothing; so do NULL
-    or empty texts. Rows of docs with one doc_id are one document. Empty tables give an empty table.
+    with most windows. An item of which no window has LEAST_LITERALS words that are no placeholders is looked for by its own words,
+    and one of fewer than WINDOW words as a whole. NULL or empty texts contaminate nothing. Rows of docs with one doc_id are one document. Empty tables give an empty table.
 
     A document's windows pass a filter of FILTER_BITS bits made of the items' hashes (its size
     is fixed, whatever the benchmark's), so few are shuffled. The join then has no hint.
     """
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     listed = save(items.mapInArrow(
-        _item_windows, "item_id bigint, place bigint, hash bigint, words array<bigint>, types array<bigint>"), "items")
+        _item_windows, "item_id bigint, place bigint, hash bigint, words array<bigint>, types array<bigint>, size bigint"), "items")
+    short = tuple(sorted(row["size"] for row in listed.filter(F.col("size").between(1, WINDOW - 1)).select("size").distinct().collect()))  # some of SHORT
     low = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1))
     masks = listed.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, cast(hash & 63 as int))").alias("mask"))
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     for row in masks.groupBy("word").agg(F.bit_or("mask").alias("mask")).collect():  # at most FILTER_BITS / 64 rows
         bits[row["word"]] = row["mask"]
     texts = docs.select(_key(docs).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    seen = texts.mapInArrow(_document_windows(bits), "key string, copy bigint, at bigint, hash bigint, found array<bigint>, plain boolean")
+    seen = texts.mapInArrow(_document_windows(bits, short), "key string, copy bigint, at bigint, hash bigint, found array<bigint>, plain boolean")
     seen = save(seen.dropDuplicates(["key", "copy", "at", "hash", "plain"]), "seen")
     place = F.arrays_zip("words", "found", "types")
     # the words outside the placeholders are the same, not just their hash

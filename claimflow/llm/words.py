@@ -13,8 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are worked on at once; a longer single text is one chunk of its own.
-CHUNK_BYTES = 2 << 20
+#: Bytes of text that are worked on at once; a longer single text is one chunk of its own. Several numbers
+#: are held per byte, so this bounds what a Python worker needs beside its Arrow batch.
+CHUNK_BYTES = 256 << 10
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -85,8 +86,8 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def words_of(column: pa.Array, lower: bool = True) -> Words:
-    """All words of the texts of a column."""
+def words_of(column: pa.Array, lower: bool = True, hashed: bool = True) -> Words:
+    """All words of the texts of a column; their hashes are left 0 if not asked for."""
     raw, offsets = _bytes(column)
     data = _LOWER[raw] if lower else raw
     inside = ~_SPACE[data]
@@ -104,7 +105,8 @@ def words_of(column: pa.Array, lower: bool = True) -> Words:
     end = np.flatnonzero(inside & ~after) + 1
     first = np.searchsorted(start, offsets)
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(data, raw, offsets[:-1], start, end, text, first, span_hashes(data, start, end) if len(start) else np.zeros(0, np.uint64))
+    value = span_hashes(data, start, end) if hashed and len(start) else np.zeros(len(start), np.uint64)
+    return Words(data, raw, offsets[:-1], start, end, text, first, value)
 
 
 def chunks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
@@ -116,6 +118,7 @@ def chunks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         upto = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK_BYTES, "right")) - 1)
         yield batch.slice(row, min(upto, rows) - row)
         row = upto
+    pa.default_memory_pool().release_unused()
 
 
 def windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,13 +128,20 @@ def windows(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(len(counts)), runs)
     at = np.repeat(words.first[:-1], runs) + _within(runs)
     last = np.minimum(at + k, words.first[1:][text])
-    total = np.zeros(len(at), np.uint64)
+    parts = []
     for i in range(k if len(at) else 0):
         here = at + i
-        part = words.hash[np.minimum(here, len(words.hash) - 1)]
-        total = total * np.uint64(0xD6E8FEB86659FD93) + np.where(here < last, part, np.uint64(i + 1))
+        parts.append(np.where(here < last, words.hash[np.minimum(here, len(words.hash) - 1)], np.uint64(i + 1)))
+    return text, at, run_hash(parts, len(at))
+
+
+def run_hash(parts: list[np.ndarray], n: int) -> np.ndarray:
+    """One hash per run of n runs; ``parts`` has the hashes of their first words, of their second ones and so on."""
+    total = np.zeros(n, np.uint64)
+    for part in parts:
+        total = total * np.uint64(0xD6E8FEB86659FD93) + part
         total ^= total >> np.uint64(29)
-    return text, at, mix(total)
+    return mix(total)
 
 
 def _within(counts: np.ndarray) -> np.ndarray:
