@@ -8,8 +8,9 @@ from claimflow.binding import warehouse as w
 from claimflow.binding.catalog import query
 from claimflow.operators.slots import assign_slots, business_base, from_micros, micros
 from claimflow.session import fresh_path
-from claimflow.sources.tables import load
+from claimflow.sources.tables import append_history, load, read_history
 from claimflow.streaming import ingest as i
+from claimflow.streaming import keyed as k
 
 BASE = """
     CASE WHEN isodow({ts}) >= 6 THEN date_trunc('day', {ts}) + (8 - isodow({ts})) * INTERVAL 1 DAY + INTERVAL '8 hours 15 minutes'
@@ -92,6 +93,54 @@ def dedupe_known(spark, sf):
     return i.dedupe_known(lines.select("l_partkey"), lines.filter("l_quantity > 48").select("l_partkey"), "l_partkey")
 
 
+def _in_parts(spark, sf, *parts):
+    """The events as a stream of one micro-batch per part."""
+    path = fresh_path(spark, "parts")
+    events = load(spark, sf, "events")
+    for number, part in enumerate(parts):
+        events.filter(part).coalesce(1).write.parquet(f"{path}/part={number}")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+@query("stream_kept_slots", _chain("user_id"))
+def stream_kept_slots(spark, sf):
+    """Two micro-batches, one after the other in time; the last slots are kept as state."""
+    out, cut = fresh_path(spark, "kept-slots"), F.expr("timestamp_ntz'2024-01-16 00:00:00'")
+    rows = _in_parts(spark, sf, F.col("ts") < cut, F.col("ts") >= cut).select("event_id", "ts", "user_id")
+    i.run_to_end(k.write_once(k.kept_slots(rows, "user_id", "ts", ["ts", "event_id"]), out, f"{out}-progress"))
+    return spark.read.parquet(out).select("event_id", "slot")
+
+
+@query("stream_first_seen", "SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error')")
+def stream_first_seen(spark, sf):
+    """Ids of three micro-batches that no earlier run has stored, each once."""
+    out = fresh_path(spark, "first-seen")
+    known = load(spark, sf, "events").filter("event_type = 'error'").select("user_id")
+    rows = _in_parts(spark, sf, *[F.col("event_id") % 3 == part for part in range(3)]).select("user_id", "ts")
+    i.run_to_end(k.write_once(k.first_seen(rows, "user_id", known), out, f"{out}-progress"))
+    return spark.read.parquet(out).select("user_id")
+
+
+@query("daily_latest", """
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, user_id, arg_max(props, (ts, event_id)) AS props, max(ts) AS ts FROM events GROUP BY 1, 2""")
+def daily_latest(spark, sf):
+    # one event per user and time, as in a history of captures
+    events = load(spark, sf, "events").groupBy("user_id", "ts").agg(F.max_by("props", "event_id").alias("props"))
+    return i.daily_latest(events, "user_id", "props", "ts", "1 day").withColumn("day", F.col("day").cast("string"))
+
+
+@query("snapshots_since", """
+    SELECT user_id AS id, event_type AS claim, ts AS captured_at FROM events e
+    WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts = (SELECT max(ts) FROM events l WHERE l.user_id = e.user_id)""")
+def snapshots_since(spark, sf):
+    path = fresh_path(spark, "snapshots")
+    rows = load(spark, sf, "events").select(
+        F.col("user_id").alias("id"), F.col("event_type").alias("claim"), F.col("props").alias("json"), F.col("ts").alias("captured_at"))
+    append_history(rows, path)
+    latest = rows.groupBy("id").agg(F.max("captured_at").alias("captured_at"))
+    return i.snapshots_since(read_history(spark, path), latest, "2024-01-20 00:00:00").select("id", "claim", "captured_at")
+
+
 def _landed(spark, sf, name):
     """The records of the binding as JSON files."""
     path = fresh_path(spark, name)
