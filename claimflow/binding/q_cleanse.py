@@ -20,13 +20,31 @@ def _std(spark, sf):
     return n.standardise(w.records(spark, sf))
 
 
-@query("standardise", """
+STANDARDISED = """
     SELECT s.id, claim, file_type_text, portal_status, phase, task_name, task_status, cycle, alert, encumbered, uf_text, ddd,
            insured_name, tax_id, insured_email, insured_phone, broker_name, broker_email, broker_phone, broker_ddd, analyst_name,
-           analyst_email, plate, brand, model, chassis, submodel, value_text, year_text, occurred_text, user_id, user_name, o.opened
-    FROM std s LEFT JOIN std_opened o ON o.id = s.id""")
+           analyst_email, plate, brand, model, chassis, submodel, value_text, year_text, occurred_text, user_id, user_name, o.opened,
+           '' AS financing, claim AS raw_claim, CAST(o_orderpriority = '5-LOW' AS INTEGER) AS raw_user_null, coalesce(e.entries, '') AS entries, coalesce(d.papers, '') AS papers
+    FROM std s LEFT JOIN std_opened o ON o.id = s.id
+    LEFT JOIN (SELECT id, string_agg(event_id || text || strftime(happened_at, '%Y-%m-%d %H:%M:%S'), '|' ORDER BY position) AS entries FROM std_event GROUP BY 1) e
+        ON e.id = s.id
+    LEFT JOIN (SELECT id, string_agg(name || ':' || status, '|' ORDER BY position) AS papers FROM std_document GROUP BY 1) d ON d.id = s.id"""
+
+
+@query("standardise", STANDARDISED)
 def standardise(spark, sf):
-    return _std(spark, sf).drop("events", "documents", "raw_json", "_order", "financing")
+    return flat(_std(spark, sf))
+
+
+def flat(std):
+    """The standardised columns, nested lists as text; of the raw record a key with a value and one with null."""
+    entries = F.transform("events", lambda e: F.concat(e["event_id"].cast("string"), e["text"], F.date_format(e["happened_at"], "yyyy-MM-dd HH:mm:ss")))
+    papers = F.transform("documents", lambda d: F.concat_ws(":", d["name"], d["status"]))
+    user = F.get_json_object("raw_json", "$.usuario_origem")
+    return std.withColumns({
+        "entries": F.array_join(entries, "|"), "papers": F.array_join(papers, "|"), "raw_claim": F.get_json_object("raw_json", "$.noSinistro"),
+        "raw_user_null": (user.isNull() & F.array_contains(F.json_object_keys("raw_json"), "usuario_origem")).cast("int"),
+    }).drop("events", "documents", "raw_json", "_order")
 
 
 @query("resolve_phase", "SELECT id, phase FROM std")

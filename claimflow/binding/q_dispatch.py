@@ -88,10 +88,11 @@ def outcomes(spark, sf):
     WITH {_RESPONSE.strip()}
     SELECT q.id, coalesce(b.status, q.status) AS status, q.attempts + CASE WHEN b.queue_id IS NULL THEN 0 ELSE 1 END AS attempts,
            CASE WHEN b.queue_id IS NULL THEN q.last_attempt ELSE {AT} END AS last_attempt,
-           CASE WHEN b.queue_id IS NULL THEN q.message ELSE b.message END AS message
+           CASE WHEN b.queue_id IS NULL THEN q.message ELSE b.message END AS message,
+           CASE WHEN b.queue_id IS NULL THEN q.slot ELSE b.slot END AS slot
     FROM queue q LEFT JOIN booked b ON b.queue_id = q.id""")
 def apply_outcomes(spark, sf):
-    return t.apply_outcomes(w.queue(spark, sf), booked(spark, sf), NOW).select("id", "status", "attempts", "last_attempt", "message")
+    return t.apply_outcomes(w.queue(spark, sf), booked(spark, sf), NOW).select("id", "status", "attempts", "last_attempt", "message", "slot")
 
 
 @query("sla_minutes", f"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from claimflow.binding import sql as s
 from claimflow.binding import warehouse as w
 from claimflow.binding.catalog import query
-from claimflow.binding.q_transitions import _KEPT, AT, FLOOR, NOW
+from claimflow.binding.q_transitions import _KEPT, AT, BEFORE, FLOOR, NOW
 from claimflow.operators import normalise as n
 from claimflow.operators import summaries as m
 from claimflow.operators import transitions as t
@@ -19,8 +19,6 @@ from claimflow.sources import dictionaries as dic
 from claimflow.sources.records import read_detail_records, read_portal_records
 from claimflow.sources.tables import StateTables, load
 
-BEFORE = "2001-08-15 12:00:00"
-
 
 def _records(spark, sf, status):
     """What the portal shows: all orders but those of a status."""

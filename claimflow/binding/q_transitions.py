@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from claimflow.binding import sql as s
 from claimflow.binding import warehouse as w
 from claimflow.binding.catalog import query
+from claimflow.binding.q_cleanse import STANDARDISED, flat
 from claimflow.operators import normalise as n
 from claimflow.operators import relational as r
 from claimflow.operators import transitions as t
 from claimflow.session import work_dir
-from claimflow.sources.tables import empty, load
+from claimflow.sources.tables import load
 
-NOW = "2001-08-16 12:00:00"
+NOW, BEFORE = "2001-08-16 12:00:00", "2001-08-15 12:00:00"
 FLOOR = "1998-01-01 00:00:00"
 AT = f"TIMESTAMP '{NOW}'"
 # the stored side and the batch side, as SQL conditions
@@ -39,19 +40,41 @@ def batch(spark, sf):
     return _prepared(spark.sparkContext.applicationId, spark, sf)
 
 
-@query("prepared_batch", """
-    SELECT id, claim, phase, alert, portal_status, cycle FROM std WHERE o_orderstatus <> 'F'""")
+@query("prepared_batch", f"{STANDARDISED} WHERE o_orderstatus <> 'F'")
 def prepared_batch(spark, sf):
-    return batch(spark, sf).select("id", "claim", "phase", "alert", "portal_status", "cycle")
+    return flat(batch(spark, sf))
+
+
+@lru_cache(maxsize=4)
+def _earlier(application, spark, sf):
+    work_dir(spark)
+    return n.standardise(w._as_records(w.cases(spark, sf).filter("o_orderstatus <> 'O'"))).checkpoint()
+
+
+def _stored_event_labels(spark, sf):
+    """Labels of odd kinds of events, of which some wait for a real one."""
+    label = F.when(F.col("n_regionkey") == 0, F.concat(F.lit("Evento ID: "), F.col("n_nationkey"))).otherwise(F.col("n_name"))
+    return t._typed(load(spark, sf, "nation").filter("n_nationkey % 2 = 1").select(
+        F.col("n_nationkey").alias("code"), label.alias("label"), F.lit("Stored").alias("phase"), F.lit(1).alias("active")), "workflow_event")
+
+
+#: People, contacts and captures of the stored processes, as an earlier load left them, marked so that nothing may change them.
+_PRIOR = {
+    "party": lambda rows: t.party_rows(rows, BEFORE).withColumn("name", F.concat(F.lit("Old "), F.col("name"))),
+    "contact": lambda rows: t.contact_rows(rows, BEFORE).withColumn("principal", F.lit(0)),
+    "raw_latest": lambda rows: t.raw_latest_rows(rows, BEFORE),
+    "raw_history": lambda rows: t._history_rows(rows, BEFORE),
+}
 
 
 class State(w.Claims):
     """The stored part of the binding."""
 
     def __missing__(self, name):
-        # ids of the binding are text, those of the warehouse are not: people start empty
-        if name in ("party", "contact", "raw_latest", "raw_history", "workflow_event"):
-            self[name] = empty(self.spark, name)
+        if name in _PRIOR:  # the ids of the binding are text, those of the warehouse are not
+            self[name] = _PRIOR[name](_earlier(self.spark.sparkContext.applicationId, self.spark, self.sf))
+        elif name == "workflow_event":
+            self[name] = _stored_event_labels(self.spark, self.sf)
         elif name in ("queue", "vehicle", "event", "step", "document", "sla", "user_history", "process"):
             table = super().__missing__(name)
             self[name] = w.known(table, self.spark, self.sf, "id" if name == "process" else "process")
@@ -198,12 +221,12 @@ def load_vehicle(spark, sf):
     return _vehicle(_loaded(spark, sf, "vehicle"))
 
 
-@query("load_party", "SELECT process, type, name, tax_id FROM load_party_rows WHERE o_orderstatus = 'O'")
+@query("load_party", "SELECT process, type, CASE WHEN o_orderstatus <> 'O' THEN 'Old ' ELSE '' END || name AS name, tax_id FROM load_party_rows")
 def load_party(spark, sf):
     return _loaded(spark, sf, "party").drop("id", "loaded_at")
 
 
-@query("load_contact", "SELECT process, kind, type, area, value, 1 AS principal FROM load_contact_rows WHERE o_orderstatus = 'O'")
+@query("load_contact", "SELECT process, kind, type, area, value, CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS principal FROM load_contact_rows")
 def load_contact(spark, sf):
     loaded = t.load_new(state(spark, sf), batch(spark, sf), NOW)
     party = loaded["party"].select(F.col("id").alias("party"), "process", F.col("type").alias("kind"))
@@ -262,17 +285,28 @@ def load_status_dictionary(spark, sf):
 
 
 @query("load_event_dictionary", f"""
-    SELECT event_id AS code, arg_min(coalesce({s.text_or_null('text', 100)}, 'Evento ID: ' || event_id), (id, position)) AS label, 'Fase a Mapear' AS phase
-    FROM std_event WHERE o_orderstatus = 'O' AND event_id > 0 GROUP BY 1""")
+    SELECT n_nationkey AS code, CASE WHEN n_regionkey = 0 THEN 'Evento ID: ' || n_nationkey ELSE n_name END AS label, 'Stored' AS phase
+    FROM nation WHERE n_nationkey % 2 = 1
+    UNION ALL
+    SELECT event_id, arg_min(coalesce({s.text_or_null('text', 100)}, 'Evento ID: ' || event_id), (id, position)) AS label, 'Fase a Mapear' AS phase
+    FROM std_event WHERE o_orderstatus = 'O' AND event_id > 0 AND event_id % 2 = 0 GROUP BY 1""")
 def load_event_dictionary(spark, sf):
     return _loaded(spark, sf, "workflow_event").select("code", "label", "phase")
 
 
-@query("load_raw", f"SELECT o_orderkey AS id, 'C' || o_orderkey AS claim, {AT} AS captured_at FROM orders WHERE o_orderstatus = 'O' AND o_orderkey <> 0")
+_CAPTURED = f"SELECT id, claim, CASE WHEN o_orderstatus = 'O' THEN {AT} ELSE TIMESTAMP '{BEFORE}' END AS captured_at FROM std"
+
+
+@query("load_raw", _CAPTURED)
 def load_raw(spark, sf):
     return _loaded(spark, sf, "raw_latest").select("id", "claim", "captured_at")
 
 
+@query("load_raw_history", _CAPTURED)
+def load_raw_history(spark, sf):
+    return _loaded(spark, sf, "raw_history").select("id", "claim", "captured_at")
+
+
 # --- backfill and sync ------------------------------------------------------
 
 

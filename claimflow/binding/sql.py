@@ -300,8 +300,7 @@ def compose(body: str) -> str:
     if not needed:
         return body
     ctes = ",\n".join(f"{name} AS MATERIALIZED ({TABLES[name]})" for name in needed)
-    for opening in ("WITH RECURSIVE ", "WITH "):
-        if body.startswith(opening):
-            return f"{opening}{ctes},\n{body.removeprefix(opening)}"
     # the wide views are put as the recursive queries are, whose expressions are the same
-    return f"WITH {'RECURSIVE ' if 'reach' in needed else ''}{ctes}\n{body}"
+    opening = "WITH RECURSIVE " if "reach" in needed or body.startswith("WITH RECURSIVE ") else "WITH "
+    own_part = body.removeprefix("WITH ").removeprefix("RECURSIVE ") if body.startswith("WITH ") else None
+    return f"{opening}{ctes}\n{body}" if own_part is None else f"{opening}{ctes},\n{own_part}"
