@@ -15,7 +15,7 @@ from claimflow.operators import relational as r
 from claimflow.operators import summaries as m
 from claimflow.operators import transitions as t
 from claimflow.plans import dispatch as d
-from claimflow.plans.views import ready_queue
+from claimflow.plans.views import ready_keys, ready_queue
 from claimflow.session import work_dir
 from claimflow.sources.tables import CommitRefused, StateTables, api_log_rows, append_log, close_run, notification_log_rows, open_run
 
@@ -199,8 +199,10 @@ def audit(store: StateTables, snapshot: DataFrame, now, version: int | None = No
 
 def outbox(store: StateTables, now) -> DataFrame:
     """Slots and payloads of everything ready to send."""
+    work_dir(store.spark)
     state = store.load()
-    return d.dispatch_batch(ready_queue(state, summary=state["summary"]), state["parameter"], now)
+    keys = ready_keys(state).checkpoint()  # every table is cut down to them
+    return d.dispatch_batch(ready_queue(state, summary=state["summary"], keys=keys), state["parameter"], now)
 
 
 def dispatch(store: StateTables, now, run_id: str) -> RunResult:

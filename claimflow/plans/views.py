@@ -81,14 +81,22 @@ def _of(table: DataFrame, keys: DataFrame, name: str = "process") -> DataFrame:
     return table.join(keys.withColumnRenamed("_process", name), name, "left_semi")
 
 
-def ready_queue(t: Tables, contact_tie: tuple[str, ...] = ("id",), summary: DataFrame | None = None) -> DataFrame:
+def ready_keys(t: Tables) -> DataFrame:
+    """The processes (_process) that the ready view has rows of."""
+    queue = dispatchable(t["queue"]).select(F.col("process").alias("_process")).distinct()
+    return _of(t["process"], queue, "id").select(F.col("id").alias("_process"))
+
+
+def ready_queue(
+    t: Tables, contact_tie: tuple[str, ...] = ("id",), summary: DataFrame | None = None, keys: DataFrame | None = None,
+) -> DataFrame:
     """Dispatchable queue rows, 37 columns. Several parties of a role multiply a row, as they should.
 
-    The queue is filtered first, and every other table is cut down to its processes. With the kept
-    ``summary`` of processes the user history is not read.
+    The queue is filtered first, and every other table is cut down to its processes; a job passes ``keys``, the
+    ``ready_keys`` written once. With the kept ``summary`` of processes the user history is not read.
     """
     queue = _prefixed(dispatchable(t["queue"]), "queue", ("id", "slot"))
-    keys = _of(t["process"], queue.select("_process").distinct(), "id").select(F.col("id").alias("_process"))
+    keys = ready_keys(t) if keys is None else keys
     user = r.current_user(_of(t["user_history"], keys)) if summary is None else m.current_user(_of(summary, keys))
     process = _labelled_process(_of(t["process"], keys, "id"), user, t, {"_user_name": "name", "_user_email": "email"})
     rows = process.join(queue, "_process").join(_vehicle(_of(t["vehicle"], keys)), "_process", "left")

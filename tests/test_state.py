@@ -232,3 +232,23 @@ def test_contacts_belong_to_a_process_and_party(spark):
         [(1, 10, 5, 3, None, "a@x", 1), (2, 20, 5, 3, None, "b@x", 1)], "id long, process long, party long, type int, area int, value string, principal int")
     best = r.best_contact(contact, {"email": 3, "phone": 2}, ("process", "party"))
     assert rows(best, "process", "party", "email_value") == [(10, 5, "a@x"), (20, 5, "b@x")]
+
+
+def test_plans(spark, store, land):
+    """One load plans its new records once; the views read each table of people as often as a role needs it, and no more."""
+    from claimflow.operators import transitions as t
+
+    jobs.capture(store, land([record(i) for i in range(1, 11)], "one"), DAYS[0])
+    state = store.load()
+    _, batch = jobs.prepared(land([record(i) for i in range(8, 15)], "two"))
+    loaded = t.load_rows(state, t.unstored(state, batch), DAYS[1])
+    count = lambda df, word: df._jdf.queryExecution().optimizedPlan().toString().count(word)
+    # the guard against stored processes is in none of them
+    assert sum(count(df, "LeftAnti") for name, df in loaded.items()) == 6
+    assert all(count(loaded[name], "Join") == 0 for name in ("queue", "party", "contact", "event", "step", "document", "raw_history"))
+    assert sum(count(df, "Relation") for df in loaded.values()) <= 20
+    keys = v.ready_keys(state).checkpoint()
+    with_keys, without = v.ready_queue(state, summary=state["summary"], keys=keys), v.ready_queue(state, summary=state["summary"])
+    assert rows(with_keys, "*") == rows(without, "*") and count(with_keys, "Relation") < count(without, "Relation") / 2
+    history = v.history(state, summary=state["summary"])
+    assert count(history, "LeftSemi") <= 3 and count(r.first_per_key(batch, "id", "_order"), "to_json") == 0
