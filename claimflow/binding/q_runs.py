@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from claimflow.binding import sql as s
 from claimflow.binding import warehouse as w
 from claimflow.binding.catalog import query
-from claimflow.binding.q_transitions import _KEPT, AT, BEFORE, FLOOR, NOW
+from claimflow.binding.q_transitions import _KEPT, AT, BEFORE, FLOOR, NOW, _snapshot
 from claimflow.operators import normalise as n
 from claimflow.operators import summaries as m
 from claimflow.operators import transitions as t
@@ -100,6 +100,87 @@ def run_summary(spark, sf):
     return stored(spark, sf)[0].load("summary")["summary"].drop("first_event")
 
 
+@lru_cache(maxsize=2)
+def _worked(application, spark, sf):
+    """A store after a capture, an enrichment, a dispatch with its outcomes booked, and an audit."""
+    store = StateTables(spark, fresh_path(spark, "worked"), buckets=8)
+    store.seed()
+    jobs.capture(store, _records(spark, sf, "O"), BEFORE)
+    enriched = jobs.enrich(store, _records(spark, sf, "F"), NOW)
+    jobs.dispatch(store, NOW, "r")
+    key = F.col("o_orderkey")
+    code = F.when(key % 3 == 0, 201).when(key % 3 == 1, 409)
+    body = F.when(key % 3 == 0, F.concat(F.lit('{"id":'), key, F.lit(',"message":"ok"}'))).when(key % 3 == 1, F.lit('{"message":"twice"}'))
+    responses = load(spark, sf, "orders", ["o_orderkey"]).select(
+        key.alias("process"), code.alias("status_code"), body.alias("body"), F.when(key % 3 == 2, "timeout").alias("error"))
+    jobs.book(store, "r", responses, NOW)
+    jobs.audit(store, _snapshot(spark, sf), NOW)
+    return store, enriched.metrics
+
+
+def worked(spark, sf):
+    return _worked(spark.sparkContext.applicationId, spark, sf)
+
+
+@query("run_enrich_metrics", """
+    SELECT count(*) AS read, count(*) FILTER (WHERE o_orderstatus = 'O') AS new, count(*) FILTER (WHERE o_orderstatus = 'P') AS known
+    FROM std WHERE o_orderstatus <> 'F'""")
+def run_enrich_metrics(spark, sf):
+    return worked(spark, sf)[1]
+
+
+@query("run_enrich_vehicle", f"""
+    SELECT v.process, CASE WHEN s.o_orderstatus = 'P' THEN left(s.plate, 10) ELSE v.plate END AS plate, v.chassis,
+           CASE WHEN s.o_orderstatus = 'P' THEN left(s.brand, 50) ELSE v.brand END AS brand,
+           CASE WHEN s.o_orderstatus = 'P' THEN left(s.model, 100) ELSE v.model END AS model, v.submodel, v.year, CAST(v.value AS DOUBLE) AS value, v.encumbered
+    FROM load_vehicle_rows v JOIN std s ON s.id = v.process""")
+def run_enrich_vehicle(spark, sf):
+    return worked(spark, sf)[0].load("vehicle")["vehicle"].withColumn("value", F.col("value").cast("double")).drop("id", "loaded_at")
+
+
+_CLOSING = f"""
+    closing AS (
+        SELECT p.id, CASE WHEN p.o_orderstatus = 'O' THEN 22 WHEN o_orderpriority = '1-URGENT' THEN 22 WHEN o_orderpriority = '2-HIGH' THEN 98 END AS found
+        FROM load_process_rows p JOIN orders ON o_orderkey = p.id
+        WHERE o_orderpriority <> '4-NOT SPECIFIED' AND portal_status NOT IN (22, 98) AND date_diff('day', opened, {AT}) > 15)"""
+
+
+@query("run_book_queue", f"""
+    WITH {_CLOSING.strip()}
+    SELECT s.id AS process, CASE s.id % 3 WHEN 0 THEN 2 WHEN 1 THEN 4 ELSE 3 END AS status, 1 AS attempts, {AT} AS last_attempt,
+           CASE WHEN found IS NULL THEN 1 ELSE 0 END AS active
+    FROM std s LEFT JOIN closing c ON c.id = s.id""")
+def run_book_queue(spark, sf):
+    return worked(spark, sf)[0].load("queue")["queue"].select("process", "status", "attempts", "last_attempt", "active")
+
+
+@query("run_book_sla", f"""
+    SELECT id AS process, CASE WHEN id % 3 = 0 THEN {AT} END AS sent,
+           CASE WHEN id % 3 = 0 THEN CAST(date_diff('minute', CASE WHEN o_orderstatus = 'O' THEN {AT} ELSE TIMESTAMP '{BEFORE}' END, {AT}) AS INTEGER) END AS queue_minutes
+    FROM std""")
+def run_book_sla(spark, sf):
+    return worked(spark, sf)[0].load("sla")["sla"].select("process", "sent", "queue_minutes")
+
+
+@query("run_book_logs", """
+    SELECT 'api' AS log, id AS process, CASE id % 3 WHEN 0 THEN 201 WHEN 1 THEN 409 ELSE 500 END AS status_code FROM std
+    UNION ALL SELECT 'notification', id, CASE id % 3 WHEN 0 THEN 201 ELSE 500 END FROM std WHERE id % 3 <> 1""")
+def run_book_logs(spark, sf):
+    logs = worked(spark, sf)[0].load("api_log", "notification_log")
+    return logs["api_log"].select(F.lit("api").alias("log"), "process", "status_code").union(
+        logs["notification_log"].select(F.lit("notification"), "process", "status_code"))
+
+
+@query("run_audit_process", f"""
+    WITH {_CLOSING.strip()}
+    SELECT p.id, coalesce(found, portal_status) AS portal_status,
+           CASE found WHEN 22 THEN '{t.CLOSED_PHASE}' WHEN 98 THEN '{t.CANCELLED_PHASE}' ELSE phase END AS phase,
+           CASE WHEN found IS NOT NULL THEN 0 ELSE alert END AS alert
+    FROM load_process_rows p LEFT JOIN closing c ON c.id = p.id""")
+def run_audit_process(spark, sf):
+    return worked(spark, sf)[0].load("process")["process"].select("id", "portal_status", "phase", "alert")
+
+
 def _summary(spark, sf):
     """The summary kept over three runs, of which each brings a part of the events, steps and users."""
     event, step, history = w.event(spark, sf), w.step(spark, sf), w.user_history(spark, sf)
