@@ -22,9 +22,10 @@ from math import comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimflow.llm.columns import fresh_name
 from claimflow.llm.components import components
 from claimflow.llm.scratch import drop, release, save
 from claimflow.llm.words import chunks, mix, shingle_sets, words_of
@@ -304,10 +305,21 @@ def jaccard_groups(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The documents of docs that name their component, each once, with their own columns.
 
-    Documents that link with nothing stay, rows without doc_id as well.
+    Documents that link with nothing stay, rows without doc_id as well. Texts are judged: of rows with one doc_id, different
+    texts each are a document of their own, under a number made of id and text. Of rows equal in both the one with
+    the smallest hash of the other columns stays. NULL and empty texts link with nothing. An empty table stays empty.
     """
-    groups = jaccard_groups(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    key, twice, turn = (fresh_name(docs, name) for name in ("key", "twice", "turn"))
+    digest = F.xxhash64("text")
+    several = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    several = several.filter("low <> high").select("doc_id", F.lit(True).alias(twice))
+    several = save(several, "several")  # few, as a rule: no shuffle of the texts then
+    named = F.when(F.col(twice), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id"))
+    keyed = docs.join(several, "doc_id", "left").withColumn(key, named).select(*docs.columns, key)
+    groups = jaccard_groups(keyed.select(F.col(key).alias("doc_id"), "text"), k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    rest = [name for name in docs.columns if name not in ("doc_id", "text")]
+    order = Window.partitionBy(key).orderBy(F.xxhash64(*rest) if rest else F.lit(0))
+    kept = keyed.join(groups, key, "left_semi").withColumn(turn, F.row_number().over(order)).filter(F.col(turn) == 1)
     return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 

@@ -105,7 +105,9 @@ def mix_sources(
         F.sum("certain").over(source).alias("certain"),
     )
     inside = Window.partitionBy("source", "bucket").orderBy("rank", "u", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    listed = ranked.withColumn("earlier", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    # documents without a rank need no order
+    listed = ranked.filter("rank IS NOT NULL").withColumn("earlier", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    listed = listed.union(ranked.filter("rank IS NULL").withColumn("earlier", F.lit(0).cast("bigint")))
     middle = F.col("before") + F.col("earlier") + F.col("size") / 2
     more = F.col("rank").isNotNull() & (middle <= F.col("target") - F.col("certain"))
     return (

@@ -73,7 +73,7 @@ def test_quotations(spark):
 
 
 def test_paragraphs(docs, none):
-    assert rows(paragraphs.repeated_passages(docs)) == [(2, 0, 60, 1)]
+    assert rows(paragraphs.repeated_passages(docs).drop("copy")) == [(2, 0, 60, 1)]
     left = paragraphs.remove_repeated(docs)
     assert left.columns == docs.columns and left.dtypes == docs.dtypes
     assert sorted(str(row.doc_id) for row in left.collect()) == sorted(map(str, [1, 3, 4, 5, 6, 7, 8, 9, None, None]))
@@ -165,3 +165,7 @@ def test_stages(spark, docs, none, tmp_path, labels, benchmark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        nothing = stage(spark, none, str(tmp_path))
+        assert nothing.columns == docs.columns and nothing.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(ROWS)
+    assert corpus_pipeline.STAGES[-1][1](spark, none, str(tmp_path)).count() == 0
