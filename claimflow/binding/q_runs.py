@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from claimflow.binding import sql as s
 from claimflow.binding import warehouse as w
 from claimflow.binding.catalog import query
-from claimflow.binding.q_transitions import _KEPT, AT, BEFORE, FLOOR, NOW, _snapshot
+from claimflow.binding.q_transitions import _GONE as _EXITS
+from claimflow.binding.q_transitions import _KEPT, AT, BEFORE, FLOOR, NOW, _shown, _snapshot
 from claimflow.operators import normalise as n
+from claimflow.operators import relational as r
 from claimflow.operators import summaries as m
 from claimflow.operators import transitions as t
 from claimflow.plans import jobs
 from claimflow.session import fresh_path
 from claimflow.sources import dictionaries as dic
+from claimflow.sources.bucketed import save_bucketed
 from claimflow.sources.records import read_detail_records, read_portal_records
 from claimflow.sources.tables import StateTables, load
 
@@ -221,6 +224,29 @@ def kept_opening_repair(spark, sf):
     return t.repair_from(w.process(spark, sf), _summary(spark, sf), FLOOR).select("id", "opened")
 
 
+def _bucketed(spark, sf, *names):
+    """Claims tables of the binding, bucketed by process."""
+    path = fresh_path(spark, "bucketed")
+    prefix = "t" + path.rsplit("-", 1)[-1]
+    tables = w.claims(spark, sf)
+    return {name: save_bucketed(tables[name], f"{prefix}_{name}", "id" if name == "process" else "process", 8, f"{path}/{name}") for name in names}
+
+
+@query("bucketed_last_change", "SELECT id, last_change FROM changes")
+def bucketed_last_change(spark, sf):
+    return r.last_change(*_bucketed(spark, sf, "process", "event", "step").values())
+
+
+@query("bucketed_close_history", f"""
+    WITH {_EXITS.strip()}
+    SELECT h.process, h.user_id, h.entered_at, CASE WHEN g.process IS NOT NULL THEN {AT} ELSE h.left_at END AS left_at,
+           CASE WHEN g.process IS NOT NULL THEN 0 ELSE h.is_current END AS is_current
+    FROM user_history h LEFT JOIN gone g ON g.process = h.process AND g.user_id = h.user_id""")
+def bucketed_close_history(spark, sf):
+    tables = _bucketed(spark, sf, "user_history", "queue")
+    return t.close_disappeared(tables["user_history"], tables["queue"], _shown(spark, sf), NOW)["user_history"]
+
+
 @query("state_buckets", """
     SELECT o_orderkey AS process, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'P' THEN 3 ELSE 2 END AS status,
            CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS attempts FROM orders""")

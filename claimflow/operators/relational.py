@@ -164,12 +164,12 @@ def current_user(history: DataFrame) -> DataFrame:
 
 
 def last_change(process: DataFrame, event: DataFrame, step: DataFrame) -> DataFrame:
-    """Latest load time of a process, its events and its steps."""
-    facts = reduce(DataFrame.unionByName, [df.select("process", "loaded_at") for df in (event, step)])
-    newest = facts.groupBy("process").agg(F.max("loaded_at").alias("_newest"))
-    return process.join(newest, process["id"] == newest["process"], "left").select(
-        "id", F.greatest(process["loaded_at"], F.col("_newest")).alias("last_change")
-    )
+    """Latest load time of a process, its events and its steps. Each table is aggregated where it lies: tables bucketed by process stay in place."""
+    rows = process.select("id", F.col("loaded_at").alias("_own"))
+    for number, facts in enumerate((event, step)):
+        newest = facts.groupBy(F.col("process").alias("id")).agg(F.max("loaded_at").alias(f"_newest{number}"))
+        rows = rows.join(newest, "id", "left")
+    return rows.select("id", F.greatest("_own", "_newest0", "_newest1").alias("last_change"))
 
 
 def union_dates(*sources: DataFrame) -> DataFrame:

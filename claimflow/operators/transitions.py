@@ -529,9 +529,10 @@ def close_disappeared(history: DataFrame, queue: DataFrame, batch: DataFrame, no
 
 def close_gone(history: DataFrame, queue: DataFrame, gone: DataFrame, now) -> State:
     """``close_disappeared`` for the (user, process) pairs that are gone."""
-    marks = gone.withColumn("_hit", F.lit(True))
-    left = history.join(marks, ["user_id", "process"], "left")
-    hit = F.col("_hit").isNotNull()
+    # by process alone, as the tables are kept; a process has few users
+    marks = gone.groupBy("process").agg(F.collect_set("user_id").alias("_users"))
+    left = history.join(marks, "process", "left")
+    hit = F.coalesce(F.array_contains("_users", F.col("user_id")), F.lit(False))
     closed = left.withColumns({
         "left_at": F.when(hit, stamp(now)).otherwise(F.col("left_at")),
         "is_current": F.when(hit, 0).otherwise(F.col("is_current")),

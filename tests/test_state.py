@@ -252,3 +252,34 @@ def test_plans(spark, store, land):
     assert rows(with_keys, "*") == rows(without, "*") and count(with_keys, "Relation") < count(without, "Relation") / 2
     history = v.history(state, summary=state["summary"])
     assert count(history, "LeftSemi") <= 3 and count(r.first_per_key(batch, "id", "_order"), "to_json") == 0
+
+
+def test_bucketed_tables_stay_in_place(spark, store, land, tmp_path):
+    from claimflow.operators import transitions as t
+    from claimflow.sources.bucketed import serve, served
+
+    jobs.capture(store, land([record(i, user=7 + i % 2, logWorkFlow=[entry(i % 4, 5, "x")], idCicloCorrente=i % 3) for i in range(1, 61)], "all"), DAYS[0])
+    names = ("process", "event", "step", "queue", "user_history", "summary")
+    state = serve(store, "served", 4, *names, path=str(tmp_path / "served"))
+    again = served(spark, "served", *names)
+    plain = store.load(*names)
+    assert all(rows(again[name], "*") == rows(plain[name], "*") == rows(state[name], "*") for name in names)
+    gone = spark.createDataFrame([(8, 1), (7, 2), (9, 3)], "user_id int, process long").checkpoint()
+    closed = t.close_gone(again["user_history"], again["queue"], gone, DAYS[1])
+    whole = t.close_gone(plain["user_history"], plain["queue"], gone, DAYS[1])
+    for name in closed:
+        assert rows(closed[name], "*") == rows(whole[name], "*")
+    assert rows(closed["user_history"].filter("is_current = 0"), "process") == [(1,), (2,)]
+    changes = r.last_change(again["process"], again["event"], again["step"])
+    assert rows(changes, "*") == rows(r.last_change(plain["process"], plain["event"], plain["step"]), "*")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        joined = r.last_change(*served(spark, "served", "process", "event", "step").values())
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        tables = served(spark, "served", "user_history", "queue")
+        for table in t.close_gone(tables["user_history"], tables["queue"], gone, DAYS[1]).values():
+            # what is moved comes from the exits alone
+            assert all("FileScan" not in part.split("SortMergeJoin")[0] for part in plan(table).split("Exchange")[1:]) and "Bucketed: true" in plan(table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
