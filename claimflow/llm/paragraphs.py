@@ -78,6 +78,11 @@ def _lines(column: pa.Array):
     return units, group_hashes(units.hash, units.first)
 
 
+def _checks(units: Words) -> np.ndarray:
+    """32 bits of a second hash of the words of each unit, independent of the first."""
+    return (group_hashes(mix(units.hash ^ np.uint64(0xA5A5A5A55A5A5A5A)), units.first) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _keys(batches):
     """(key, content): the bands of each line content of a chunk."""
     many = bands()
@@ -95,7 +100,7 @@ def _keys(batches):
 
 
 def _sets(batches):
-    """(node, tokens): the distinct shingles of each line content of a chunk."""
+    """(node, check, tokens): the distinct shingles of each line content of a chunk."""
     for batch in batches:
         for part in chunks(batch, "text"):
             units, content = _lines(part.column("text"))
@@ -110,12 +115,12 @@ def _sets(batches):
             line, shingle = line[keep], shingle[keep]
             offsets = np.append(np.searchsorted(line, np.flatnonzero(wanted)), len(line)).astype(np.int32)
             yield pa.RecordBatch.from_pydict({
-                "node": content[wanted].view(np.int64), "tokens": pa.ListArray.from_arrays(offsets, pa.array(shingle.view(np.int64))),
+                "node": content[wanted].view(np.int64), "check": _checks(units)[wanted], "tokens": pa.ListArray.from_arrays(offsets, pa.array(shingle.view(np.int64))),
             })
 
 
 def _occurrences(batches):
-    """(content, doc_id, start, words) of every piece and every line of several pieces; start counts words."""
+    """(content, check, doc_id, copy, start, words) of every piece and every line of several pieces; start counts words."""
     for batch in batches:
         for part in chunks(batch, "text"):
             words = words_of(part.column("text"))
@@ -123,15 +128,16 @@ def _occurrences(batches):
             several = np.diff(np.searchsorted(pieces.first, whole.first)) > 1
             for units, wanted in ((pieces, slice(None)), (whole, several)):
                 content, first = group_hashes(units.hash, units.first)[wanted], units.first[:-1][wanted]
-                text = words.text[first]
+                text = pa.array(words.text[first])
                 yield pa.RecordBatch.from_pydict({
-                    "content": content.view(np.int64), "doc_id": part.column("doc_id").take(pa.array(text)),
-                    "start": (first - words.first[text]).astype(np.int32), "words": np.diff(units.first)[wanted].astype(np.int32),
+                    "content": content.view(np.int64), "check": _checks(units)[wanted],
+                    "doc_id": part.column("doc_id").take(text), "copy": part.column("copy").take(text),
+                    "start": (first - words.first[words.text[first]]).astype(np.int32), "words": np.diff(units.first)[wanted].astype(np.int32),
                 })
 
 
 def _similar(texts: DataFrame) -> DataFrame:
-    """(content, component) of the line contents that are similar to another one."""
+    """(content, check, component) of the line contents that are similar to another one."""
     # counted before the shuffle, then joined: no band or word that very many lines share is in one task
     keys = texts.mapInArrow(_keys, "key bigint, content bigint")
     met = keys.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low <> high").select("key")
@@ -141,7 +147,7 @@ def _similar(texts: DataFrame) -> DataFrame:
     drop(met)
     release(texts.sparkSession)
     wanted = near.select(F.col("content").alias("node")).distinct()
-    sets = texts.mapInArrow(_sets, "node bigint, tokens array<bigint>").join(wanted, "node", "left_semi")
+    sets = texts.mapInArrow(_sets, "node bigint, check int, tokens array<bigint>").join(wanted, "node", "left_semi")
     sets = save(sets.dropDuplicates(["node"]), "lines")
     release(texts.sparkSession)
     # a line with too few shingles of others cannot be similar to any
@@ -150,40 +156,52 @@ def _similar(texts: DataFrame) -> DataFrame:
     typical = save(typical, "typical")
     lists = save(near.withColumnRenamed("content", "node").join(typical, "node").select(
         F.col("key").alias("token"), F.lit(0).alias("band"), "node", "n", "m"), "lists")
-    found = components(link_lists(lists, sets, PERCENT))
-    found = save(found.withColumnRenamed("node", "content"), "similar")
+    found = components(link_lists(lists, sets.select("node", "tokens"), PERCENT))
+    found = save(found.join(sets.select("node", "check"), "node").withColumnRenamed("node", "content"), "similar")
     drop(near, sets, typical, lists)
     return found
 
 
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """One row per passage to cut: doc_id, first_word, n_words, kept_doc_id (the document that keeps its beginning).
+    """One row per passage to cut: doc_id, first_word, n_words, kept_doc_id (the document that keeps its beginning), copy.
 
     docs has a bigint doc_id and text; other columns are ignored. Words count from 0 within the
     text. NULL and empty texts have no passages. Rows without doc_id take no part. Repeated
-    rows are one document, and a passage repeated within one document alone stays; different
-    texts under one doc_id are one document, too. An empty table gives an empty table.
+    rows are one document, and a passage repeated within one document alone stays. Different
+    texts under one doc_id are one document, too, each with passages of its own: ``copy``, a hash of the text, tells
+    them apart. An empty table gives an empty table.
+
+    Words count as equal by 96 bits of two hashes.
     """
-    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    similar = _similar(texts)
-    pieces = texts.mapInArrow(_occurrences, "content bigint, doc_id bigint, start int, words int")
+    texts = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", _copy().alias("copy"))
+    similar = _similar(texts.select("text"))
+    pieces = texts.mapInArrow(_occurrences, "content bigint, check int, doc_id bigint, copy bigint, start int, words int")
     shared = pieces.groupBy("content").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low <> high").select("content")
-    groups = shared.join(similar, "content", "full").select("content", F.coalesce("component", "content").alias("group"))
+    groups = shared.join(similar.withColumnRenamed("check", "like"), "content", "full").select("content", "like", "component")
     groups = save(groups, "groups")
     release(docs.sparkSession)
-    pieces = save(pieces.join(groups, "content").select("doc_id", "start", "words", "group"), "repeated")
+    similar_too = F.coalesce(F.col("check") == F.col("like"), F.lit(False))
+    pieces = save(pieces.join(groups, "content").select(
+        "doc_id", "copy", "start", "words", F.when(similar_too, F.col("component")).otherwise(F.col("content")).alias("group"),
+        F.when(similar_too, F.lit(None)).otherwise(F.col("check")).alias("check")), "repeated")
     release(docs.sparkSession)
-    keepers = save(pieces.groupBy("group").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).filter("kept <> last").select("group", "kept"), "keepers")
-    extra = pieces.join(keepers, "group").filter("doc_id <> kept").select("doc_id", "start", "words", "kept").distinct()
+    pieces = pieces.withColumn("check", F.coalesce(F.col("check").cast("bigint"), F.lit(1 << 32)))  # components have none
+    keepers = pieces.groupBy("group", "check").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).filter("kept <> last")
+    keepers = save(keepers.select("group", "check", "kept"), "keepers")
+    extra = pieces.join(keepers, ["group", "check"]).filter("doc_id <> kept").select("doc_id", "copy", "start", "words", "kept").distinct()
     # lines and pieces of them overlap: a run ends where none reaches on
-    order = Window.partitionBy("doc_id").orderBy("start", F.desc("words"), "kept")
+    order = Window.partitionBy("doc_id", "copy").orderBy("start", F.desc("words"), "kept")
     extra = extra.withColumn("end", F.col("start") + F.col("words"))
     fresh = (F.col("start") > F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))).cast("int")
     runs = extra.withColumn("fresh", F.coalesce(fresh, F.lit(1))).withColumn("run", F.sum("fresh").over(order))
-    runs = runs.groupBy("doc_id", "run").agg(
+    runs = runs.groupBy("doc_id", "copy", "run").agg(
         F.min("start").alias("first_word"), (F.max("end") - F.min("start")).cast("bigint").alias("n_words"),
         F.min(F.struct("start", -F.col("words"), "kept"))["kept"].alias("kept_doc_id"))
-    return runs.filter(F.col("n_words") >= least_words).select("doc_id", "first_word", "n_words", "kept_doc_id")
+    return runs.filter(F.col("n_words") >= least_words).select("doc_id", "first_word", "n_words", "kept_doc_id", "copy")
+
+
+def _copy():
+    return F.xxhash64("text")
 
 
 def _without(text: str, spans: str):
@@ -214,11 +232,12 @@ def _cut(data: bytes, starts: np.ndarray, spans: list[tuple[int, int]]) -> str:
 def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """docs without the passages, in their own columns; n_chars, if there, is the length of what is left.
 
-    A document of which no word is left goes; one that had no passage is unchanged.
+    A document of which no word is left goes; one that had no passage is unchanged. Rows without doc_id
+    or text are unchanged.
     """
-    text, spans = fresh_name(docs, "left_text"), fresh_name(docs, "spans")
-    cuts = passages.groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias(spans))
-    joined = docs.withColumn(text, F.col("text")).join(cuts, "doc_id", "left").select(*docs.columns, text, spans)
+    text, spans, copy = fresh_name(docs, "left_text"), fresh_name(docs, "spans"), fresh_name(docs, "copy")
+    cuts = passages.groupBy("doc_id", F.col("copy").alias(copy)).agg(F.collect_list(F.struct("first_word", "n_words")).alias(spans))
+    joined = docs.withColumn(text, F.col("text")).withColumn(copy, _copy()).join(cuts, ["doc_id", copy], "left").select(*docs.columns, text, spans)
     left = joined.mapInArrow(_without(text, spans), joined.schema)
     left = left.filter(F.col(spans).isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
 
