@@ -38,7 +38,7 @@ INSULTS = (
     "abschaum dumm dummkopf idiotisch trottel versager wertlos con connard débile minable nul ordure "
     "basura estúpido imbécil inútil patético tonto"
 )
-SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine euch ihr tu te toi ton ta tes vous votre vos tú ti usted ustedes eres vosotros"
+SECOND_PERSON = "you your yours yourself ur du dich dir dein deine euch ihr tu te toi ton ta tes vous votre vos tú ti usted ustedes eres vosotros"
 
 _LETTERS = np.arange(256, dtype=np.uint8)
 _LETTERS[0x41:0x5B] += 0x20
@@ -73,7 +73,8 @@ def _entries(words: Words) -> list[np.ndarray]:
 
 
 def _hashes(listed: str) -> np.ndarray:
-    return np.unique(_entries(words_of(pa.array([listed])))[0])
+    found = np.unique(_entries(words_of(pa.array([listed])))[0])
+    return found[found != 0]  # 0 stands for words that are too short
 
 
 def _neighbours(words: Words) -> np.ndarray:
