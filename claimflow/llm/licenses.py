@@ -9,6 +9,8 @@ in a text if one window holds LEAST of its shingles.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,6 @@ from claimflow.llm.scratch import save
 SHINGLE = 5
 BANDS = 32
 LEAST = 0.8
-#: Window sizes, about a factor of the root of 2 apart.
-SIZES = (10, 14, 20, 28, 40, 56, 80, 112, 160, 224, 320, 448)
 #: Bits of the fixed-size filter that keeps texts without any template shingle out of the windows.
 FILTER_BITS = 1 << 20
 
@@ -42,9 +42,20 @@ TEMPLATES = (
 )
 
 
+_LOWER = {code: code + 32 for code in range(65, 91)}
+
+
+def sizes(words: int) -> list[int]:
+    """Window sizes up to one for a template of so many words, about a factor of the root of 2 apart."""
+    found = [10, 14]
+    while found[-1] < 2 * words:
+        found.append(2 * found[-2])
+    return found
+
+
 def chance(words: int) -> float:
     """The probability that a window with LEAST of the shingles of a template of so many words meets it."""
-    size = next(s for s in SIZES if s >= 2 * words)
+    size = next(s for s in sizes(words) if s >= 2 * words)
     own, window = words - SHINGLE + 1, size - SHINGLE + 1
     held = -(-own * LEAST // 1)
     return 1 - (1 - held / (own + window - held)) ** BANDS
@@ -65,12 +76,15 @@ def _keys(shingles: Column) -> Column:
 
 
 def templates_table(spark, templates=TEMPLATES) -> DataFrame:
-    """(template, license, size, shingles, keys) per template of SHINGLE words or more that fits the sizes."""
+    """(template, license, size, shingles, keys) per template, however long. One of fewer than SHINGLE words has no shingle and is refused."""
+    lengths = [len(re.findall("[a-z0-9]+", text.translate(_LOWER))) for _, text in templates]
+    if short := [text for (_, text), length in zip(templates, lengths) if length < SHINGLE]:
+        raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
     listed = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(text).alias("text")) for i, (name, text) in enumerate(templates)])
     rows = spark.range(1).select(F.inline(listed)).withColumn("all", _shingles(F.col("text"))).filter(F.size("all") > 0)
     room = 2 * (F.size("all") + SHINGLE - 1)
-    size = F.array_min(F.filter(F.array(*[F.lit(s) for s in SIZES]), lambda s: s >= room))
-    rows = rows.withColumn("size", size).filter("size IS NOT NULL").withColumn("shingles", F.array_distinct("all"))
+    size = F.array_min(F.filter(F.array(*[F.lit(s) for s in sizes(max(lengths, default=0))]), lambda s: s >= room))
+    rows = rows.withColumn("size", size).withColumn("shingles", F.array_distinct("all"))
     return rows.select("template", "license", "size", "shingles", _keys(F.col("shingles")).alias("keys"))
 
 
@@ -81,9 +95,9 @@ def _filter(known: DataFrame) -> tuple[Column, list[int]]:
     masks = [0] * (FILTER_BITS // 64)
     for row in words.collect():  # at most FILTER_BITS / 64 rows
         masks[row["word"]] = row["mask"]
-    sizes = sorted(row["size"] for row in known.select("size").distinct().collect())  # some of SIZES
+    used = sorted(row["size"] for row in known.select("size").distinct().collect())  # about two for each doubling of the longest template
     # one literal, which Spark folds into an array
-    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>"), sizes
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>"), used
 
 
 def _bits(shingle: Column) -> list[Column]:
@@ -103,7 +117,7 @@ def scan(docs: DataFrame, known: DataFrame, least: float = LEAST) -> DataFrame:
     Rows with one doc_id each have their own result; a NULL doc_id stays NULL. Empty tables give
     an empty table.
     """
-    bits, sizes = _filter(known)
+    bits, used = _filter(known)
 
     def passes(s: Column) -> Column:
         word = lambda bit: F.get(bits, F.shiftright(bit, 6).cast("int"))
@@ -122,7 +136,7 @@ def scan(docs: DataFrame, known: DataFrame, least: float = LEAST) -> DataFrame:
             F.lit(size).alias("size"), (i * step).cast("bigint").alias("start"),
             F.array_distinct(F.slice("all", (i * step + 1).cast("int"), F.lit(size - SHINGLE + 1))).alias("held")))
 
-    listed = F.concat(*[windows(size) for size in sizes]) if sizes else F.array().cast("array<struct<size:int,start:bigint,held:array<bigint>>>")
+    listed = F.concat(*[windows(size) for size in used]) if used else F.array().cast("array<struct<size:int,start:bigint,held:array<bigint>>>")
     numbered = held.select(F.monotonically_increasing_id().alias("row"), "doc_id", listed.alias("listed"))
     found = numbered.select("row", "doc_id", F.explode("listed").alias("w")).select("row", "doc_id", "w.*")
     found = save(found.filter(F.size("held") > 0).withColumn("keys", _keys(F.col("held"))), "windows")
