@@ -50,7 +50,7 @@ def test_ingest(spark, tmp_path):
     for number in range(2):
         text = "\n".join(json.dumps({"idProcesso": n, "noSinistro": str(n), "idUsuario": 1}) for n in range(1 + number, 4 + number))
         (landing / f"{number}.json").write_text(text)
-    store = StateTables(spark, str(tmp_path / "state"))
+    store = StateTables(spark, str(tmp_path / "state"), buckets=4)
     store.seed()
 
     def run(progress):
@@ -67,7 +67,7 @@ def test_ingest(spark, tmp_path):
 def test_ingest_beside_other_runs(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
-    store = StateTables(spark, str(tmp_path / "state"))
+    store = StateTables(spark, str(tmp_path / "state"), buckets=4)
     store.seed()
 
     def run(number, *ids):

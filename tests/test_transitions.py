@@ -230,7 +230,7 @@ def test_payload(spark, start, land):
 
 
 def test_run_log(spark, land, tmp_path):
-    store, log = StateTables(spark, str(tmp_path / "state")), str(tmp_path / "log")
+    store, log = StateTables(spark, str(tmp_path / "state"), buckets=4), str(tmp_path / "log")
     store.seed()
     times = iter([NOW, LATER] * 2)
     jobs.logged(spark, log, "r1", lambda: next(times), lambda: jobs.capture(store, land(ANA, BOB), NOW))
@@ -279,7 +279,7 @@ def test_one_outcome_per_queue_row(spark):
 
 
 def test_details_are_merged_into_the_listing(spark, land, tmp_path):
-    store = StateTables(spark, str(tmp_path / "state"))
+    store = StateTables(spark, str(tmp_path / "state"), buckets=4)
     store.seed()
     listed = [{"idProcesso": 1, "noSinistro": "1", "nmAnalista": "Caio", "idUsuario": 7, "nomeSegurado": "Old"},
               {"idProcesso": 2, "noSinistro": "2", "dsStatus": "Listed", "idUsuario": 7}, {"idProcesso": 3, "noSinistro": "3", "idUsuario": 7}]
@@ -298,7 +298,7 @@ def test_details_are_merged_into_the_listing(spark, land, tmp_path):
 
 
 def test_dispatch_and_book(spark, land, tmp_path):
-    store = StateTables(spark, str(tmp_path / "state"))
+    store = StateTables(spark, str(tmp_path / "state"), buckets=4)
     store.seed()
     jobs.capture(store, land(ANA, BOB, EVA), NOW)
     assert jobs.dispatch(store, NOW, "r1").committed and not jobs.dispatch(store, LATER, "r1").committed
@@ -316,7 +316,7 @@ def test_dispatch_and_book(spark, land, tmp_path):
 
 
 def test_a_taken_version_is_refused(spark, land, tmp_path):
-    store = StateTables(spark, str(tmp_path / "state"))
+    store = StateTables(spark, str(tmp_path / "state"), buckets=4)
     store.seed()
     other = StateTables(spark, store.root)
     queue = spark.createDataFrame([], store.load("queue")["queue"].schema)
@@ -333,7 +333,7 @@ def test_a_closing_row_is_later_than_an_opening_one(spark):
 
 
 def test_runs_on_committed_state(spark, land, tmp_path):
-    store = StateTables(spark, str(tmp_path / "state"))
+    store = StateTables(spark, str(tmp_path / "state"), buckets=4)
     assert store.version() == -1 and store.seed() and not store.seed()
     assert jobs.capture(store, land(ANA, BOB, name="one"), NOW).committed
     assert not jobs.capture(store, land(EVA, name="two"), NOW, version=1).committed
