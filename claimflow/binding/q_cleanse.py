@@ -38,12 +38,12 @@ def standardise(spark, sf):
 
 def flat(std):
     """The standardised columns, nested lists as text; of the raw record a key with a value and one with null."""
-    entries = F.transform("events", lambda e: F.concat(e["event_id"].cast("string"), e["text"], F.date_format(e["happened_at"], "yyyy-MM-dd HH:mm:ss")))
+    entries = F.transform("events", lambda e: F.concat(e["event_id"].cast("string"), e["text"], e["happened_at"].cast("string")))
     papers = F.transform("documents", lambda d: F.concat_ws(":", d["name"], d["status"]))
-    user = F.get_json_object("raw_json", "$.usuario_origem")
+    own = F.concat(F.lit('"noSinistro":"'), F.col("claim"), F.lit('"'))
     return std.withColumns({
-        "entries": F.array_join(entries, "|"), "papers": F.array_join(papers, "|"), "raw_claim": F.get_json_object("raw_json", "$.noSinistro"),
-        "raw_user_null": (user.isNull() & F.array_contains(F.json_object_keys("raw_json"), "usuario_origem")).cast("int"),
+        "entries": F.array_join(entries, "|"), "papers": F.array_join(papers, "|"), "raw_claim": F.when(F.col("raw_json").contains(own), F.col("claim")),
+        "raw_user_null": F.col("raw_json").contains('"usuario_origem":null').cast("int"),
     }).drop("events", "documents", "raw_json", "_order")
 
 

@@ -204,12 +204,13 @@ def changed_count(before: DataFrame, after: DataFrame, key: str, columns: list[s
 # --- satellites of a base table ---------------------------------------------
 
 
-def with_every_key(satellite: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def with_every_key(satellite: DataFrame, keys: DataFrame, key: str, present: DataFrame | None = None) -> DataFrame:
     """The satellite's rows of the given keys, and a row of NULLs for each key without any.
 
     Joined inner, this is a left join whose satellite may be split at a hot key: of a plain left
-    join Spark can only split the left side. ``keys`` is unique.
+    join Spark can only split the left side. ``keys`` is unique. Where ``present`` (key) lists the satellite's keys more
+    cheaply than its rows do, it does so, and rows of other keys are left for the inner join to drop.
     """
-    held = satellite.join(keys, key, "left_semi")
-    bare = keys.join(satellite.select(key), key, "left_anti")
+    held = satellite.join(keys, key, "left_semi") if present is None else satellite
+    bare = keys.join(satellite.select(key) if present is None else present, key, "left_anti")
     return held.unionByName(bare, allowMissingColumns=True)

@@ -48,12 +48,14 @@ def _parties(t: Tables, keys: DataFrame, contact_tie: tuple[str, ...], cut: bool
     if cut:
         party, contact = party.join(wanted, "process", "left_semi"), contact.join(wanted, "process", "left_semi")
     best = r.best_contact(contact, {"email": 3, "phone": 2}, ("process", "party"), tie=contact_tie).withColumnRenamed("party", "id")
+    best = best.repartition("process", "id")  # as the join needs it, and written once for all roles
     people = party.join(best, ["process", "id"], "left").withColumnRenamed("process", "_process")
 
     def role(prefix: str, types: tuple[int, ...]) -> DataFrame:
         names = ("id", "type", "name", "tax_id", "email_value", "phone_area", "phone_value")
         rows = r.party_of_type(people, *types).select("_process", *[F.col(n).alias(f"{prefix}_{n}") for n in names])
-        return r.with_every_key(rows, keys, "_process")
+        present = r.party_of_type(party, *types).select(F.col("process").alias("_process"))
+        return r.with_every_key(rows, keys, "_process", present)
 
     return {name: role(name, types) for name, types in ROLES.items()}
 
