@@ -291,3 +291,45 @@ def test_bucketed_tables_stay_in_place(spark, store, land, tmp_path):
             assert all("FileScan" not in part.split("SortMergeJoin")[0] for part in plan(table).split("Exchange")[1:]) and "Bucketed: true" in plan(table)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_added_rows_leave_stored_files_alone(spark, store, land):
+    """New processes are put beside the stored ones of their bucket; doing it again changes nothing."""
+    jobs.capture(store, land([record(i) for i in range(1, 41)], "one"), DAYS[0])
+    before = {name: files(store, name) for name in ("raw_latest", "party", "vehicle")}
+    jobs.capture(store, land([record(i) for i in range(1, 61)], "two"), DAYS[1])
+    for name, old in before.items():
+        new = files(store, name)
+        assert all(set(old[bucket]) <= set(new[bucket]) for bucket in old) and new != old and store.load(name)[name].count() == 60, name
+    store.compact("party")
+    assert store.load("party")["party"].count() == 60
+
+
+def test_a_half_moved_run_is_finished(spark, store, land, monkeypatch):
+    jobs.capture(store, land([record(i) for i in range(1, 30)], "one"), DAYS[0])
+    move, left = StateTables._move, [9]
+
+    def some(self, source, target):
+        left[0] -= 1
+        if left[0] < 0:
+            raise OSError("lost")
+        move(self, source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(StateTables, "_move", some)
+        with pytest.raises(OSError):
+            jobs.capture(store, land([record(i) for i in range(1, 50)], "two"), DAYS[1])
+    other = StateTables(spark, store.root)
+    assert other.version() == 2
+    for name in ("process", "queue", "raw_latest", "summary", "party"):
+        assert other.load(name)[name].count() == 49 and other.load(name)[name].distinct().count() == 49, name
+    assert other.load("raw_history")["raw_history"].count() == 29 + 20
+
+
+def test_prepared_batch_is_written_by_column(spark, land):
+    """No table reads the raw text of a record for its other columns, and only repeated records are shuffled."""
+    seen, batch = jobs.prepared(land([record(1), record(2), record(2, nomeSegurado="Later"), record(3)], "one"))
+    assert seen.count() == 4 and rows(batch, "id", "insured_name") == [(1, "Name 1"), (2, "Name 2"), (3, "Name 3")]
+    narrow = plan(batch.select("id", "user_id")).split("Union")[1]
+    once = narrow.split("FileScan")[1].split("ReadSchema: ")[1].split("\n")[0]
+    assert "user_id" in once and "raw_json" not in once and "Exchange hashpartitioning" not in narrow.split("FileScan")[1]
