@@ -333,3 +333,11 @@ def test_prepared_batch_is_written_by_column(spark, land):
     narrow = plan(batch.select("id", "user_id")).split("Union")[1]
     once = narrow.split("FileScan")[1].split("ReadSchema: ")[1].split("\n")[0]
     assert "user_id" in once and "raw_json" not in once and "Exchange hashpartitioning" not in narrow.split("FileScan")[1]
+
+
+def test_a_load_reads_only_its_columns(spark):
+    """Of the prepared batch a load reads the columns of its table, and makes no stored people that it does not need."""
+    from claimflow.binding import q_transitions as q
+
+    text = plan(q.load_user_history(spark, "/root/testdata/sf0.001"))
+    assert "ExistingRDD" not in text and "FileScan parquet" in text and not any(name in text for name in ("raw_json", "insured_name", "plate"))
