@@ -11,6 +11,7 @@ from claimflow.operators import relational as r
 from claimflow.operators import summaries as m
 from claimflow.plans import jobs
 from claimflow.plans import views as v
+from claimflow.schemas import TABLES
 from claimflow.sources.records import read_detail_records, read_portal_records
 from claimflow.sources.tables import KEYED, StateTables
 
@@ -341,3 +342,41 @@ def test_a_load_reads_only_its_columns(spark):
 
     text = plan(q.load_user_history(spark, "/root/testdata/sf0.001"))
     assert "ExistingRDD" not in text and "FileScan parquet" in text and not any(name in text for name in ("raw_json", "insured_name", "plate"))
+
+
+def test_a_run_keeps_no_copies_of_its_batch(spark, store, land):
+    """What a run wrote for itself is gone when it ends, and so are its shuffle files."""
+    from claimflow.session import work_dir
+
+    listed = [record(i, logWorkFlow=[entry(0, 5, "x")]) for i in range(1, 41)]
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    names = ("seen-*", "marked-*", "stored-*")
+    before = {path for name in names for path in Path(work_dir(spark)).glob(name)}
+    during = []
+    commit = store.commit
+    store.commit = lambda *args, **kwargs: during.append(spark.conf.get(cleanup, None)) or commit(*args, **kwargs)
+    jobs.capture(store, land(listed[:30], "one"), DAYS[0])
+    jobs.enrich(store, land(listed, "two"), DAYS[1])
+    assert during == ["true", "true"] and spark.conf.get(cleanup, None) != "true"
+    assert {path for name in names for path in Path(work_dir(spark)).glob(name)} == before
+    assert store.load("process")["process"].count() == store.load("raw_latest")["raw_latest"].count() == 40
+
+
+def test_a_capture_without_its_process_is_kept_once(spark, store, land):
+    """A stored capture stays when its process is loaded; the others are added."""
+    old = spark.createDataFrame([(2, "old", "{}")], "id long, claim string, json string").withColumn("captured_at", F.lit(DAYS[0]).cast("timestamp_ntz"))
+    store.commit(store.version() + 1, {"raw_latest": old})
+    jobs.capture(store, land([record(i) for i in range(1, 5)], "one"), DAYS[1])
+    assert rows(store.load("raw_latest")["raw_latest"], "id", "claim") == [(1, "1"), (2, "old"), (3, "3"), (4, "4")]
+
+
+def test_empty_tables_move_nothing(spark, land):
+    """A first run has no stored rows to compare its batch with: no record is shuffled or sorted for them."""
+    from claimflow.sources.tables import empty
+
+    _, batch = jobs.prepared(land([record(i) for i in range(1, 5)], "one"))
+    joined = batch.join(empty(spark, "process").select("id", "active"), "id", "left").select("id", "active")
+    assert "process" not in plan(joined) and plan(joined).count("Join") == plan(batch).count("Join")
+    missing = r.missing_in(batch, empty(spark, "process"), ["id"])
+    assert plan(missing).count("Join") == plan(batch).count("Join") and missing.count() == 4
+    assert empty(spark, "queue").count() == 0 and empty(spark, "queue").dtypes == [(f.name, f.dataType.simpleString()) for f in TABLES["queue"]]
