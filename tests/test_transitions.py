@@ -350,3 +350,20 @@ def test_runs_on_committed_state(spark, land, tmp_path):
     snapshot = spark.createDataFrame([(1, 22, None)], "process long, status int, status_text string")
     jobs.audit(store, snapshot, LATER)
     assert store.load("process")["process"].filter("id = 1").first().portal_status == 22
+
+
+def test_no_task_aggregates_a_whole_table(spark):
+    """A table may be one row group: its rows are dealt out by order before they are grouped, and guards keep no table of stored keys."""
+    from claimflow.binding import q_transitions as q
+    from claimflow.binding import warehouse as w
+
+    sf = "/root/testdata/sf0.001"
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for table in (w.vehicle(spark, sf), w.user_history(spark, sf), w.document(spark, sf), q._people(spark, sf)[0]):
+        scan = plan(table).split("lineitem.parquet")[0].rsplit("FileScan", 1)[0]
+        last = scan.rsplit("Aggregate", 1)[1]
+        assert "REPARTITION_BY_NUM" in last
+    news, stored = spark.range(5).withColumnRenamed("id", "key"), spark.range(3, 9).withColumnRenamed("id", "key").repartition(2)
+    missing, known = r.missing_in(news, stored, ["key"]), r.exists_in(news, stored, ["key"])
+    assert sorted(row.key for row in missing.collect()) == [0, 1, 2] and sorted(row.key for row in known.collect()) == [3, 4]
+    assert missing._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1  # the keys of the batch
