@@ -383,3 +383,55 @@ def test_empty_tables_move_nothing(spark, land):
     missing = r.missing_in(batch, empty(spark, "process"), ["id"])
     assert plan(missing).count("Join") == plan(batch).count("Join") and missing.count() == 4
     assert empty(spark, "queue").count() == 0 and empty(spark, "queue").dtypes == [(f.name, f.dataType.simpleString()) for f in TABLES["queue"]]
+
+
+def test_what_a_run_wrote_for_itself_goes_with_it(spark, store, land):
+    """Of everything that a run saved or checkpointed only the store is left."""
+    from claimflow.session import work_dir
+
+    left = lambda: {str(path) for path in Path(work_dir(spark).removeprefix("file:")).rglob("part-*")}
+    listed = [record(i, placa="ABC1234", logWorkFlow=[entry(0, 5, "x")]) for i in range(1, 41)]
+    before = left()
+    jobs.capture(store, land(listed[:30], "one"), DAYS[0])
+    jobs.capture(store, land(listed[5:], "two"), DAYS[1])
+    jobs.enrich(store, land(listed, "three"), DAYS[2])
+    jobs.dispatch(store, DAYS[2], "r")
+    answers = spark.createDataFrame([(i, 201, None, None) for i in range(1, 41)], "process long, status_code int, body string, error string")
+    jobs.book(store, "r", answers, DAYS[3])
+    jobs.audit(store, spark.createDataFrame([(7, 22, None)], "process long, status int, status_text string"), DAYS[3])
+    assert left() == before
+    assert store.load("outbox")["outbox"].count() == store.load("api_log")["api_log"].count() == 40 - 5
+
+
+def test_raw_text_is_written_alone(spark, store, land, monkeypatch):
+    """While a table of raw text is staged no other one is: the disk holds the shuffle files of one."""
+    from pyspark.sql import DataFrameWriter
+
+    write, open_now, beside = DataFrameWriter.parquet, [], {}
+
+    def noted(self, path, *args, **kwargs):
+        name = path.rsplit("/", 1)[1]
+        open_now.append(name)
+        for one in open_now:
+            beside.setdefault(one, set()).update(open_now)
+        write(self, path, *args, **kwargs)
+        open_now.remove(name)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    jobs.capture(store, land([record(i) for i in range(1, 31)], "one"), DAYS[0])
+    assert beside["raw_latest"] == {"raw_latest"} and beside["raw_history"] == {"raw_history"}
+    assert len(beside["process"]) > 1
+
+
+def test_stored_captures_are_replaced(spark):
+    """Every stored row of a listed id gets the new text and keeps its claim, and stored text is not joined with new text."""
+    from claimflow.operators import transitions as t
+
+    shape = "id long, claim string, json string, captured_at timestamp_ntz"
+    at = lambda table: table.withColumn("captured_at", F.lit(DAYS[0]).cast("timestamp_ntz"))
+    stored = at(spark.createDataFrame([(1, "a", "old", None), (2, None, "old", None), (2, "c", "old", None), (None, "n", "old", None), (9, "z", "old", None)], shape))
+    news = spark.createDataFrame([(1, "A", "new", None), (2, "B", "new", None), (3, "C", "new", None), (None, "N", "new", None)], shape)
+    expected = t.upsert(stored, news, ["id"], {"json": "overwrite", "captured_at": "overwrite"})
+    found = t.backfill_raw(stored, news)
+    assert rows(found, "*") == rows(expected, "*") and found.columns == expected.columns and found.count() == 7
+    assert "_json" in plan(expected) and "_json" not in plan(found)
