@@ -435,3 +435,12 @@ def test_stored_captures_are_replaced(spark):
     found = t.backfill_raw(stored, news)
     assert rows(found, "*") == rows(expected, "*") and found.columns == expected.columns and found.count() == 7
     assert "_json" in plan(expected) and "_json" not in plan(found)
+
+
+def test_guards_keep_no_table_of_keys(spark):
+    """Neither the stored keys nor those of the batch are grouped."""
+    stored, batch = (spark.createDataFrame(ids, "id long") for ids in ([(1,), (2,), (2,), (None,)], [(2,), (2,), (3,), (None,)]))
+    for guard, left in ((r.exists_in, [(2,), (2,)]), (r.missing_in, [(3,), (None,)])):
+        found = guard(batch, stored, ["id"])
+        assert rows(found, "id") == left and "Aggregate" not in plan(found)
+    assert rows(r.stored_keys(batch, stored, ["id"]), "id") == [(2,)]
