@@ -444,3 +444,31 @@ def test_guards_keep_no_table_of_keys(spark):
         found = guard(batch, stored, ["id"])
         assert rows(found, "id") == left and "Aggregate" not in plan(found)
     assert rows(r.stored_keys(batch, stored, ["id"]), "id") == [(2,)]
+
+
+def test_large_batch_is_staged_a_few_buckets_at_a_time(spark, land, tmp_path, monkeypatch):
+    """The parts of a table are written one after the other, and together they are what one write holds."""
+    papers = [{"dsDocumento": "Report", "status": "S1"}]
+    listed = [record(i, user=7 + i % 2, documentos=papers, nmCorretor=f"Broker {i}", emailCorretor=f"b{i}@b.com") for i in range(1, 60)]
+    later = [record(i, user=7 + i % 2, dsStatus="LATER", nmAnalista="Ana", emailAnalistaTw="ana@t.com") for i in range(20, 80)]
+    found = {}
+    for name, size in (("one", 1 << 40), ("each", 1)):
+        monkeypatch.setattr("claimflow.sources.tables.PART_BYTES", size)
+        store = StateTables(spark, str(tmp_path / name), buckets=8)
+        store.seed()
+        jobs.capture(store, land(listed, f"{name}-1"), DAYS[0])
+        if name == "each":  # every write names its files anew
+            writes = {file.split("-")[2:7][0] + file.split("-")[3] for bucket in files(store, "raw_latest").values() for file in bucket}
+            assert len(writes) == len(files(store, "raw_latest")) == 8
+        jobs.enrich(store, land(later, f"{name}-2"), DAYS[1])
+        jobs.dispatch(store, DAYS[2], "r")
+        state = store.load(*KEYED, "outbox", "robot_user", "portal_status")
+        found[name] = {table: sorted(map(str, rows.collect())) for table, rows in state.items()}
+    assert found["each"]["outbox"] and found["each"] == found["one"]
+
+
+def test_part_refuses_rows_of_other_buckets(spark, store, land, monkeypatch):
+    monkeypatch.setattr("claimflow.sources.tables.PART_BYTES", 1)
+    jobs.capture(store, land([record(i) for i in range(1, 40)], "a"), DAYS[0])
+    with pytest.raises(ValueError, match="does not touch"):
+        store.commit(store.version() + 1, {"process": store.load("process")["process"]}, buckets=[1, 2], size=100)
