@@ -472,3 +472,27 @@ def test_part_refuses_rows_of_other_buckets(spark, store, land, monkeypatch):
     jobs.capture(store, land([record(i) for i in range(1, 40)], "a"), DAYS[0])
     with pytest.raises(ValueError, match="does not touch"):
         store.commit(store.version() + 1, {"process": store.load("process")["process"]}, buckets=[1, 2], size=100)
+
+
+def test_each_part_is_made_of_its_own_rows(spark, land, tmp_path, monkeypatch):
+    """A large batch is kept by part: what stages a part reads the batch's rows of that part alone, and exits go with theirs."""
+    listed = [record(i, logWorkFlow=[entry(0, 5, "x")]) for i in range(1, 40)]
+    changes, made, found = jobs.capture_changes, [], {}
+
+    def noted(state, batch, gone, now):
+        made.append(({row.id for row in batch.select("id").collect()}, plan(batch.select("id")).split("PartitionFilters: [")[1].split("]")[0]))
+        return changes(state, batch, gone, now)
+
+    monkeypatch.setattr(jobs, "capture_changes", noted)
+    for name, size in (("one", 1 << 40), ("each", 1)):
+        monkeypatch.setattr("claimflow.sources.tables.PART_BYTES", size)
+        store = StateTables(spark, str(tmp_path / name), buckets=2)
+        store.seed()
+        made.clear()
+        jobs.capture(store, land(listed[:30], f"{name}-1"), DAYS[0])
+        jobs.capture(store, land(listed[10:], f"{name}-2"), DAYS[1])
+        state = store.load("queue", "user_history", "summary", "robot_user")
+        found[name] = {table: rows(df, *[c for c in df.columns if c != "id"]) for table, df in state.items()}
+    assert found["each"] == found["one"] and store.load("queue")["queue"].filter("status = 2").count() == 10
+    assert ["(_part" in filters for _, filters in made] == [True] * 4
+    assert made[0][0] | made[1][0] == set(range(1, 31)) and not made[0][0] & made[1][0]
