@@ -90,3 +90,13 @@ def test_ingest_beside_other_runs(spark, tmp_path):
     run(2, 5)
     assert sorted(row.id for row in store.load("process")["process"].collect()) == [1, 2, 3, 4, 5]
     assert store.version() == before + 1
+
+
+def test_landed_records_are_compressed(spark):
+    """The records of the binding are landed as packed files and read back whole."""
+    from claimflow.binding.q_stateful import _landed
+    from claimflow.sources.records import read_portal_records
+
+    read = read_portal_records(spark, _landed(spark, "/root/testdata/sf0.001", "packed"))
+    assert all(file.endswith(".json.gz") for file in read.inputFiles())
+    assert read.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
