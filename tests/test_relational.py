@@ -101,3 +101,25 @@ def test_quality(spark):
     assert rows_of(q.orphans(df, parent, "id", "pid")) == [(2, 1)]
     bad = q.constraint_violations(df.filter("id IS NOT NULL"), "id", {"note": None, "name": 2})
     assert none_first(tuple(x) for x in bad.collect()) == none_first([(1, "note", "missing", None), (2, "name", "too long", 3)])
+
+
+def test_contacts_are_shuffled_once(spark):
+    """Both kinds of a party go through one exchange, which all roles of a view read; ties and unknown principals as before."""
+    from claimflow.binding import warehouse as w
+    from claimflow.plans import views as v
+
+    shape = "id long, party long, type int, value string, area int, principal int"
+    df = spark.createDataFrame([
+        (1, 1, 3, "b@x", None, 1), (2, 1, 3, "a@x", None, 1), (3, 1, 3, None, None, 0), (4, 1, 2, "99", 11, None), (5, 1, 2, "98", None, 0),
+        (6, None, 2, "97", 21, None), (7, 2, 1, "other", None, 1)], shape)
+    best = r.best_contact(df, {"email": 3, "phone": 2})
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert text(best).count("Exchange") == 1
+    assert sorted(map(tuple, best.collect()), key=str) == [(1, None, "b@x", None, "98"), (None, None, None, 21, "97")]
+    tables = w.claims(spark, "/root/testdata/sf0.001")
+    keys = tables["process"].select(tables["process"]["id"].alias("_process"))
+    whole = v._parties(tables, keys, w.CONTACT_TIE, cut=False)
+    # a role that needs fewer columns writes no exchange of its own
+    for role in ("insured", "analyst"):
+        narrow = whole[role].select("_process", f"{role}_email_value")._jdf.queryExecution().optimizedPlan().toString()
+        assert "phone" in narrow
